@@ -19,7 +19,10 @@ __all__ = [
     "token_sort", "build_prompt", "display_cut", "percent",
 ]
 
-SUFFIX_RE = r"(?iU),?\s*\b(" + LEGAL_SUFFIX_ALTERNATIVES + r")\s*$"
+# Whitespace as a Python ``str`` regex sees it: Unicode White_Space plus the
+# ASCII separators U+001C..U+001F.
+WS = r"[\s\x1c-\x1f]"
+SUFFIX_RE = r"(?iU),?" + WS + r"*\b(" + LEGAL_SUFFIX_ALTERNATIVES + r")" + WS + r"*$"
 
 
 def col_of(c) -> Column:
@@ -28,7 +31,7 @@ def col_of(c) -> Column:
 
 def ustrip(c) -> Column:
     """Strip leading/trailing Unicode whitespace (SQL ``trim`` only strips spaces)."""
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col_of(c), r"(?U)^" + WS + r"+|" + WS + r"+$", "")
 
 
 def strip_legal_suffix(c) -> Column:
@@ -40,7 +43,7 @@ def normalize_name(c) -> Column:
     """Trim, strip one legal suffix, delete ``.``/``-``, collapse spaces, lower."""
     n = strip_legal_suffix(c)
     n = F.regexp_replace(n, r"[.\-]", "")
-    n = ustrip(F.regexp_replace(n, r"(?U)\s+", " "))
+    n = ustrip(F.regexp_replace(n, r"(?U)" + WS + "+", " "))
     return F.lower(n)
 
 
@@ -57,7 +60,7 @@ def first_nonempty(*cols) -> Column:
 
 def collapse_space(c) -> Column:
     """Every whitespace run to one space, then trim."""
-    return F.trim(F.regexp_replace(col_of(c), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(col_of(c), r"(?U)" + WS + "+", " "))
 
 
 def cut_text(c, n: int = 2000) -> Column:
@@ -113,7 +116,7 @@ def array_text(c, sep: str) -> Column:
 
 def token_sort(c) -> Column:
     """Split on whitespace, sort tokens by code point, join with one space."""
-    toks = F.filter(F.split(col_of(c), r"(?U)\s+"), lambda x: x != "")
+    toks = F.filter(F.split(col_of(c), r"(?U)" + WS + "+"), lambda x: x != "")
     return F.array_join(F.array_sort(toks), " ")
 
 

@@ -21,12 +21,26 @@ def register(name: str, sql: str | None = None):
 
 
 def load(spark: SparkSession, sf: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf.rstrip('/')}/{table}.parquet")
+    """Read a driver table.  Naive parquet timestamps (TIMESTAMP_NTZ) are
+    read as UTC instants; the session zone is pinned to UTC for that."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    df = spark.read.parquet(f"{sf.rstrip('/')}/{table}.parquet")
+    for f in df.schema.fields:
+        if f.dataType.typeName() == "timestamp_ntz":
+            df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
+    return df
+
+
+def ntz(c):
+    """Output form of an instant: UTC wall time without zone (compares equal
+    to DuckDB's naive TIMESTAMP whatever the client time zone)."""
+    return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
 def events_as_of(spark: SparkSession, sf: str):
     """``as_of`` for the dated fixtures: the latest event time (one scalar)."""
-    return load(spark, sf, "events").agg(F.max("ts")).first()[0]
+    v = load(spark, sf, "events").agg(F.max("ts").cast("timestamp_ntz")).first()[0]
+    return v.replace(tzinfo=__import__("datetime").timezone.utc)
 
 
 AS_OF_SQL = "(SELECT max(ts) FROM events)"

@@ -8,9 +8,20 @@ from __future__ import annotations
 
 from lodestar.schemas import LEGAL_SUFFIX_ALTERNATIVES
 
+# Python-str whitespace, spelled out for RE2 (whose \s is ASCII only).
+DWS = (r"[\t\n\x{0B}\f\r \x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
 SUFFIX = r"(?i),?\s*\b(" + LEGAL_SUFFIX_ALTERNATIVES + r")\s*$"
 
 
+def ustrip(x: str) -> str:
+    return f"regexp_replace({x}, '^{DWS}+|{DWS}+$', '', 'g')"
+
+
+def collapse(x: str) -> str:
+    return f"trim(regexp_replace({x}, '{DWS}+', ' ', 'g'))"
+
+
 def strip_suffix(x: str) -> str:
     return f"trim(regexp_replace(trim({x}), '{SUFFIX}', ''))"
 
