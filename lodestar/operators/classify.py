@@ -20,11 +20,13 @@ from lodestar.functions.text import build_prompt, col_of
 # FIXED VALUES (ours): cue words for the rule tier.  Deterministic stand-in
 # for the model's guidance; not claimed to equal any model.
 # --------------------------------------------------------------------------
-FREE_CUES = r"\b(free|open[ -]source|no cost)\b"
-PAID_CUES = r"\b(premium|subscription|paid|pro plan|upgrade|pricing)\b"
-B2B_CUES = (r"\b(business(es)?|enterprises?|companies|clients|teams|law firms|retailers|"
-            r"b2b|api|developers|organi[sz]ations|customers include)\b")
-CONSUMER_CUES = r"\b(consumers?|individuals|personal|app for)\b"
+# Whole-word tests use explicit ASCII boundaries so every regex engine agrees.
+_L, _R = r"(^|[^a-z0-9_])(", r")([^a-z0-9_]|$)"
+FREE_CUES = _L + r"free|open[ -]source|no cost" + _R
+PAID_CUES = _L + r"premium|subscription|paid|pro plan|upgrade|pricing" + _R
+B2B_CUES = (_L + r"business|businesses|enterprise|enterprises|companies|clients|teams|law firms|"
+            r"retailers|b2b|api|developers|organizations|organisations|customers include" + _R)
+CONSUMER_CUES = _L + r"consumer|consumers|individuals|personal|app for" + _R
 
 
 def first_success(replies: DataFrame, key: str = "record_key") -> DataFrame:

@@ -34,6 +34,13 @@ def require(df: DataFrame, *cols) -> DataFrame:
     return df.where(cond)
 
 
+def content_struct(record_type: str, **fields) -> Column:
+    """A full content struct of ``record_type``: given fields, null elsewhere."""
+    schema = CONTENT_BY_TYPE[record_type]
+    return F.struct(*[(fields[f.name] if f.name in fields else F.lit(None))
+                      .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def envelope(record_type: str, source_name, source_url, collected_at, content: Column,
              keep=()) -> list:
     """Envelope columns (constants, provenance, collection time)."""
