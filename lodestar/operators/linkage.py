@@ -16,13 +16,15 @@ from lodestar.functions.text import bare_id, repo_owner_repo
 from lodestar.operators.filters import is_aggregator
 from lodestar.operators.records import truthy
 
-# A new-style paper id (yymm.number); group 0 is the bare id.
-ARXIV_ID_RE = r"\b\d{4}\.\d{4,5}\b"
+# A new-style paper id (yymm.number) with an optional version; group 1 is
+# the bare id.
+ARXIV_ID_RE = r"\b(\d{4}\.\d{4,5})(v\d+)?\b"
 
 
-def extract_refs(repos: DataFrame, text_col: str = "text", id_regex: str = ARXIV_ID_RE) -> DataFrame:
-    """J6 (repo side): one row per (repo, distinct paper id mentioned)."""
-    ids = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(id_regex), 0))
+def extract_refs(repos: DataFrame, text_col: str = "text", id_regex: str = ARXIV_ID_RE,
+                 group: int = 1) -> DataFrame:
+    """J6 (repo side): one row per (repo, distinct bare paper id mentioned)."""
+    ids = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(id_regex), group))
     return repos.withColumn("ref_id", F.explode(ids))
 
 
