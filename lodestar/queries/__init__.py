@@ -1,4 +1,4 @@
 """Registered queries over the driver tables, each with a DuckDB oracle."""
 
 from lodestar.queries.common import ORACLES, QUERIES  # noqa: F401
-from lodestar.queries import linkage, records, resolution, scalars  # noqa: F401
+from lodestar.queries import classify, linkage, records, resolution, scalars  # noqa: F401
