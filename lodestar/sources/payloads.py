@@ -103,15 +103,15 @@ def feed_items(payloads: DataFrame, payload_col: str = "payload", keep=()) -> Da
         F.lit("rss").alias("kind"), clean(i["title"]).alias("title"),
         clean(i["link"]).alias("link"),
         first_nonempty(clean(i["description"]), clean(i["summary"]),
-                       clean(i["`content:encoded`"])).alias("summary"),
+                       clean(i["content:encoded"])).alias("summary"),
         first_nonempty(clean(i["pubDate"]), clean(i["published"]), clean(i["updated"]),
-                       clean(i["`dc:date`"])).alias("date_raw")))
+                       clean(i["dc:date"])).alias("date_raw")))
     atom = F.transform(F.coalesce(doc["entry"], F.array()), lambda e: F.struct(
         F.lit("atom").alias("kind"), clean(e["title"]).alias("title"),
         clean(F.get(e["link"], 0)["_href"]).alias("link"),
         first_nonempty(clean(e["summary"]), clean(e["content"])).alias("summary"),
         first_nonempty(clean(e["published"]), clean(e["updated"]),
-                       clean(e["`dc:date`"])).alias("date_raw")))
+                       clean(e["dc:date"])).alias("date_raw")))
     both = F.concat(rss, atom)
     return (payloads.select(*[F.col(k) for k in keep], F.posexplode(both).alias("pos", "__e__"))
             .select(*keep, "pos", "__e__.*"))
