@@ -83,7 +83,8 @@ def _blocked_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFr
     s0, sl = seg(F.col("i"))
     f = f.withColumn("seg", F.substr(F.col("sorted_norm"), s0 + 1, sl)).drop("tau")
 
-    q = names.select("norm", "q_sorted", F.length("q_sorted").alias("l1"))
+    kcols = [c for c in names.columns if c not in ("q_sorted",)]
+    q = names.select(*kcols, "q_sorted", F.length("q_sorted").alias("l1"))
     lo, hi = _length_range(F.col("l1"), threshold)
     q = (q.withColumn("l2", F.explode(F.sequence(lo, hi)))
          .where((F.col("l2") >= 0) & _compatible(F.col("l1"), F.col("l2"), threshold))
@@ -97,10 +98,10 @@ def _blocked_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFr
          .where(F.col("qlo") <= F.col("qhi"))
          .withColumn("qpos", F.explode(F.sequence(F.col("qlo"), F.col("qhi"))))
          .withColumn("seg", F.substr(F.col("q_sorted"), F.col("qpos") + 1, F.col("sl")))
-         .select("norm", "q_sorted", "l1", "l2", "i", "seg"))
+         .select(*kcols, "q_sorted", "l1", "l2", "i", "seg"))
     pairs = q.join(f, ["l1", "l2", "i", "seg"], "inner")
-    return (pairs.select("norm", "q_sorted", "seed_order", "form_pos", "canonical", "sorted_norm")
-            .dropDuplicates(["norm", "seed_order", "form_pos"]))
+    return (pairs.select(*kcols, "q_sorted", "seed_order", "form_pos", "canonical", "sorted_norm")
+            .dropDuplicates([kcols[0], "seed_order", "form_pos"]))
 
 
 def _broadcast_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
@@ -110,11 +111,15 @@ def _broadcast_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> Data
 
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
-               mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """For each ``norm`` in ``names`` the best-scoring seed form, kept only
-    if its token-sort ratio reaches ``threshold``.  Returns
-    ``(norm, canonical, confidence)``."""
-    names = names.select("norm").withColumn("q_sorted", token_sort("norm"))
+               mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
+               key: str = "norm") -> DataFrame:
+    """For each distinct ``key`` of ``names`` (with its ``norm``) the
+    best-scoring seed form, kept only if its token-sort ratio reaches
+    ``threshold``.  Returns ``(key, canonical, confidence)``."""
+    cols = [key] if key == "norm" else [key, "norm"]
+    # Non-nullable on purpose: a nullable derived key lets Catalyst infer an
+    # IsNotNull filter and push it below the distinct, i.e. onto every row.
+    names = names.select(*cols).withColumn("q_sorted", F.coalesce(token_sort("norm"), F.lit("")))
     if mode == "auto":
         mode = "broadcast" if forms.count() <= broadcast_limit else "blocked"
     if mode == "broadcast":
@@ -131,29 +136,39 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
     scored = (scored.withColumn("indel", F.col("total") - 2 * F.col("lcs"))
               .withColumn("score", F.when(F.col("total") == 0, F.lit(100.0))
                           .otherwise((F.lit(1.0) - F.col("indel") / F.col("total")) * F.lit(100.0))))
-    best = (scored.groupBy("norm")
+    best = (scored.groupBy(key)
             .agg(F.min_by(F.struct("canonical", "score", "indel", "total"),
                           F.struct((-F.col("score")).alias("neg_score"), "seed_order", "form_pos"))
                  .alias("b")))
     ok = F.lit(100) * F.col("b.indel") <= F.lit(100 - threshold) * F.col("b.total")
-    return best.where(ok).select("norm", F.col("b.canonical").alias("canonical"),
+    return best.where(ok).select(key, F.col("b.canonical").alias("canonical"),
                                  F.col("b.score").alias("confidence"))
 
 
 def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOLD,
               mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-              order_col: str = "seed_idx") -> DataFrame:
-    """Resolution of distinct normalised names: ``(norm, canonical, method,
-    confidence)`` for names that hit the seed (exact first, fuzzy for the rest)."""
+              order_col: str = "seed_idx", key: str = "norm") -> DataFrame:
+    """Resolution of names that hit the seed: ``(key, canonical, method,
+    confidence)``, exact first, fuzzy for the rest.  ``names`` must hold one
+    row per ``key`` and a ``norm`` column (``key`` may be ``norm`` itself).
+
+    No distinct is taken here: the caller dedupes once, before the regex
+    normalisation, so Catalyst cannot fold two distincts into one below the
+    (costly) normalisation."""
     forms = seed_forms(seed, order_col)
     exact = exact_lookup(forms)
-    names = names.select("norm").where(F.col("norm").isNotNull()).distinct()
-    hit = names.join(exact, "norm", "inner")
-    rest = names.join(exact.select("norm"), "norm", "left_anti")
-    fuzzy = fuzzy_best(rest, forms, threshold, mode, broadcast_limit)
-    return (hit.select("norm", "canonical", F.lit(METHOD_EXACT).alias("method"),
+    cols = [key] if key == "norm" else [key, "norm"]
+    names = names.select(*cols)
+    # One left join instead of inner + left_anti: Catalyst pushes semi/anti
+    # joins through the distinct below it, which would evaluate ``norm``
+    # on every input row.
+    j = names.join(exact.withColumnRenamed("canonical", "__exact__"), "norm", "left")
+    hit = j.where(F.col("__exact__").isNotNull()).withColumnRenamed("__exact__", "canonical")
+    rest = j.where(F.col("__exact__").isNull()).drop("__exact__")
+    fuzzy = fuzzy_best(rest, forms, threshold, mode, broadcast_limit, key=key)
+    return (hit.select(key, "canonical", F.lit(METHOD_EXACT).alias("method"),
                        F.lit(100.0).alias("confidence"))
-            .unionByName(fuzzy.select("norm", "canonical", F.lit(METHOD_FUZZY).alias("method"),
+            .unionByName(fuzzy.select(key, "canonical", F.lit(METHOD_FUZZY).alias("method"),
                                       "confidence")))
 
 
@@ -166,19 +181,26 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
     one legal suffix stripped (or the raw name if that leaves nothing),
     method ``no_seed_match``, confidence 0.  A null name resolves to a null
     canonical with ``no_seed_match`` (D6).
+
+    All regex and similarity work runs once per *distinct raw name*; the
+    per-row cost is one equi join with the resulting name map (AQE picks a
+    broadcast at runtime when the map is small, and splits skewed names).
     """
-    tmp = "__norm__"
-    base = df.withColumn(tmp, normalize_name(F.col(name_col)))
-    mm = match_map(base.select(F.col(tmp).alias("norm")), seed, threshold, mode,
-                   broadcast_limit, order_col)
-    mm = mm.select(F.col("norm").alias(tmp), F.col("canonical").alias("__c__"),
-                   F.col("method").alias("__m__"), F.col("confidence").alias("__s__"))
-    out = base.join(mm, tmp, "left")
-    return (out.withColumn(prefix + "canonical_name",
-                           F.coalesce(F.col("__c__"), self_canonical(F.col(name_col))))
+    raw = df.select(F.col(name_col).alias("__raw__")).where(F.col("__raw__").isNotNull()).distinct()
+    # coalesce keeps ``norm`` non-nullable, so no inferred IsNotNull(norm)
+    # filter is pushed below the distinct onto every input row.
+    raw = raw.withColumn("norm", F.coalesce(normalize_name(F.col("__raw__")), F.lit("")))
+    mm = match_map(raw, seed, threshold, mode, broadcast_limit, order_col, key="__raw__")
+    names = (raw.join(mm, "__raw__", "left")
+             .select(F.col("__raw__"),
+                     F.coalesce(F.col("canonical"), self_canonical(F.col("__raw__"))).alias("__c__"),
+                     F.coalesce(F.col("method"), F.lit(METHOD_NONE)).alias("__m__"),
+                     F.coalesce(F.col("confidence"), F.lit(0.0)).alias("__s__")))
+    out = df.join(names, F.col(name_col) == F.col("__raw__"), "left")
+    return (out.withColumn(prefix + "canonical_name", F.col("__c__"))
             .withColumn(prefix + "method", F.coalesce(F.col("__m__"), F.lit(METHOD_NONE)))
             .withColumn(prefix + "confidence", F.coalesce(F.col("__s__"), F.lit(0.0)))
-            .drop(tmp, "__c__", "__m__", "__s__"))
+            .drop("__raw__", "__c__", "__m__", "__s__"))
 
 
 def mapping_log(resolved: DataFrame, entity_type: str, raw_col: str, url_col) -> DataFrame:
