@@ -59,73 +59,90 @@ def epoch_to_ts(c) -> Column:
     return F.when((d >= MIN_EPOCH) & (d <= MAX_EPOCH), F.timestamp_micros(micros))
 
 
+SEP = "\u0001"
+
+
+def _let(value: Column, fn) -> Column:
+    """Bind ``value`` once and use it several times in ``fn`` (a one-element
+    ``transform``); keeps big parse trees small and each regex single-pass."""
+    return F.get(F.transform(F.array(value), fn), 0)
+
+
+def _groups(s: Column, pattern: str, n: int) -> Column:
+    """All ``n`` capture groups of a full-string match in one regex pass:
+    ``split(regexp_replace(s, pattern, '$1<SEP>$2...'), SEP)``; a string that
+    does not match gives an array of size 1."""
+    repl = SEP.join(f"${i}" for i in range(1, n + 1))
+    return F.when(~F.contains(s, F.lit(SEP)), F.split(F.regexp_replace(s, pattern, repl), SEP))
+
+
+REL_FULL_RE = r"(?isU)^.*?(\d+)\s*(second|minute|hour|day)s?\s*ago.*$"
+UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
 def relative_date(raw, as_of) -> Column:
     """``N second/minute/hour/day(s) ago`` found anywhere -> as_of - N units.
     Non-matching text or an amount that overflows -> null (D16)."""
-    raw = col_of(raw)
-    n = F.regexp_extract(raw, REL_RE, 1).try_cast("bigint")
-    unit = F.lower(F.regexp_extract(raw, REL_RE, 2))
-    secs = (F.when(unit == "second", 1).when(unit == "minute", 60)
-            .when(unit == "hour", 3600).when(unit == "day", 86400)).cast("bigint")
-    micros = F.try_multiply(F.try_multiply(n, secs), F.lit(1_000_000).cast("bigint"))
-    res = F.try_subtract(F.unix_micros(as_of_lit(as_of)), micros)
-    return F.when(raw.rlike(REL_RE) & (res >= F.lit(MIN_MICROS)), F.timestamp_micros(res))
+    a = as_of_lit(as_of)
+
+    def body(g):
+        n = g[0].try_cast("bigint")
+        unit = F.lower(g[1])
+        secs = F.try_element_at(F.create_map(*[x for k, v in UNIT_SECONDS.items()
+                                               for x in (F.lit(k), F.lit(v).cast("bigint"))]), unit)
+        micros = F.try_multiply(F.try_multiply(n, secs), F.lit(1_000_000).cast("bigint"))
+        res = F.try_subtract(F.unix_micros(a), micros)
+        return F.when((F.size(g) == 2) & (res >= F.lit(MIN_MICROS)), F.timestamp_micros(res))
+    return _let(_groups(col_of(raw), REL_FULL_RE, 2), body)
 
 
 def rfc822_date(raw) -> Column:
     """RFC 822 / 2822 dates the way ``email.utils`` reads them: optional day
     name, day and month in either order, 2- or 4-digit year, optional seconds,
     zone from the fixed table, a signed ``hhmm`` number, else UTC."""
-    s = ustrip(raw)
-    s = F.regexp_replace(s, RFC_PREFIX_RE, "")
-    s = F.regexp_replace(s, RFC_SWAP_RE, "$2$3$1 ")
-    ok = s.rlike(RFC_RE)
-
-    def g(i):
-        return F.regexp_extract(s, RFC_RE, i)
-
-    dd = g(1).try_cast("int")
-    mon_idx = F.array_position(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.lower(g(2)))
-    mm = F.when(mon_idx > 0, ((mon_idx - 1) % 12) + 1).cast("int")
-    yy = g(3).try_cast("int")
-    yy = F.when(yy < 100, F.when(yy > 68, yy + 1900).otherwise(yy + 2000)).otherwise(yy)
-    hh = g(4).try_cast("int")
-    mi = g(5).try_cast("int")
-    ss = F.coalesce(F.nullif(g(6), F.lit("")).try_cast("int"), F.lit(0))
-    ztok = F.upper(F.when(g(7) != "", g(7)).otherwise(g(8)))
+    s = F.regexp_replace(F.regexp_replace(ustrip(raw), RFC_PREFIX_RE, ""), RFC_SWAP_RE, "$2$3$1 ")
     zmap = F.create_map(*[x for k, v in ZONE_OFFSETS.items() for x in (F.lit(k), F.lit(v))])
-    named = F.try_element_at(zmap, ztok)
-    num = F.when(ztok.rlike(r"^[+-]?\d+$"), ztok.try_cast("int"))
-    hhmm = F.coalesce(named, num, F.lit(0))
-    off = F.signum(hhmm).cast("int") * ((F.abs(hhmm) / 100).cast("int") * 3600 + (F.abs(hhmm) % 100) * 60)
-    local = F.try_make_timestamp(yy, mm, dd, hh, mi, ss.cast("decimal(16,6)"), F.lit("UTC"))
-    valid = ok & (ss < 60) & (F.abs(off) < 86400) & (yy >= 1)
-    res_micros = F.unix_micros(local) - off.cast("bigint") * F.lit(1_000_000)
-    return F.when(valid & local.isNotNull(), F.timestamp_micros(res_micros))
+    months = F.array(*[F.lit(m) for m in MONTH_NAMES])
+
+    def body(g):
+        dd = g[0].try_cast("int")
+        mon_idx = F.array_position(months, F.lower(g[1]))
+        mm = F.when(mon_idx > 0, ((mon_idx - 1) % 12) + 1).cast("int")
+        y = g[2].try_cast("int")
+        yy = F.when(y < 100, F.when(y > 68, y + 1900).otherwise(y + 2000)).otherwise(y)
+        hh, mi = g[3].try_cast("int"), g[4].try_cast("int")
+        ss = F.coalesce(F.nullif(g[5], F.lit("")).try_cast("int"), F.lit(0))
+        ztok = F.upper(F.when(g[6] != "", g[6]).otherwise(g[7]))
+        num = F.when(ztok.rlike(r"^[+-]?\d+$"), ztok.try_cast("int"))
+        hhmm = F.coalesce(F.try_element_at(zmap, ztok), num, F.lit(0))
+        off = F.signum(hhmm).cast("int") * ((F.abs(hhmm) / 100).cast("int") * 3600
+                                            + (F.abs(hhmm) % 100) * 60)
+        local = F.try_make_timestamp(yy, mm, dd, hh, mi, ss.cast("decimal(16,6)"), F.lit("UTC"))
+        valid = (F.size(g) == 8) & (ss < 60) & (F.abs(off) < 86400) & (yy >= 1) & local.isNotNull()
+        return F.when(valid, F.timestamp_micros(F.unix_micros(local) - off.cast("bigint") * F.lit(1_000_000)))
+    return _let(_groups(s, RFC_RE, 8), body)
 
 
 def iso_date(raw, compact: bool = False) -> Column:
     """ISO 8601 date or date-time; no zone means UTC.  ``compact`` also reads
     a bare ``yyyyMMdd``."""
     s = ustrip(raw)
-    ok = s.rlike(ISO_RE)
-
-    def g(i):
-        return F.regexp_extract(s, ISO_RE, i)
 
     def dflt(c, v):
         return F.when(c == "", F.lit(v)).otherwise(c)
 
-    zone = dflt(g(8), "Z")
-    canon = F.concat(g(1), F.lit("-"), g(2), F.lit("-"), g(3), F.lit("T"),
-                     dflt(g(4), "00"), F.lit(":"), dflt(g(5), "00"), F.lit(":"),
-                     dflt(g(6), "00"), g(7), zone)
-    res = F.when(ok, canon.try_cast("timestamp"))
+    def body(g):
+        canon = F.concat(g[0], F.lit("-"), g[1], F.lit("-"), g[2], F.lit("T"),
+                         dflt(g[3], "00"), F.lit(":"), dflt(g[4], "00"), F.lit(":"),
+                         dflt(g[5], "00"), g[6], dflt(g[7], "Z"))
+        return F.when(F.size(g) == 8, canon.try_cast("timestamp"))
+    res = _let(_groups(s, ISO_RE, 8), body)
     if compact:
-        c8 = s.rlike(r"^\d{8}$")
-        cd = F.concat(F.substring(s, 1, 4), F.lit("-"), F.substring(s, 5, 2), F.lit("-"),
-                      F.substring(s, 7, 2), F.lit("T00:00:00Z")).try_cast("timestamp")
-        res = F.when(c8, cd).otherwise(res)
+        def cbody(t):
+            cd = F.concat(F.substring(t, 1, 4), F.lit("-"), F.substring(t, 5, 2), F.lit("-"),
+                          F.substring(t, 7, 2), F.lit("T00:00:00Z")).try_cast("timestamp")
+            return F.when(t.rlike(r"^\d{8}$"), cd)
+        res = F.coalesce(_let(s, cbody), res)
     return res
 
 
@@ -134,18 +151,15 @@ def parse_flexible_date(raw, as_of, epoch: bool = True) -> Column:
     applies wins: digits as epoch seconds, relative phrase, RFC 822, ISO 8601.
     Unparseable or empty -> null."""
     raw = col_of(raw).cast("string")
-    s = ustrip(raw)
-    empty = raw.isNull() | (raw == "")
-    rel = s.rlike(REL_RE)
-    out = F.when(empty, F.lit(None).cast("timestamp"))
-    if epoch:
-        digits = s.rlike(r"^\d+$")
-        small = digits & (F.length(s) <= 12)
-        epoch_ts = F.when(small, epoch_to_ts(s.try_cast("bigint")))
-        out = out.when(digits, epoch_ts)
-    out = out.when(rel, relative_date(s, as_of))
-    out = out.otherwise(F.coalesce(rfc822_date(s), iso_date(s, compact=not epoch)))
-    return out
+
+    def body(s):
+        out = F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
+        if epoch:
+            digits = s.rlike(r"^\d+$")
+            out = out.when(digits, F.when(F.length(s) <= 12, epoch_to_ts(s.try_cast("bigint"))))
+        out = out.when(s.rlike(REL_RE), relative_date(s, as_of))
+        return out.otherwise(F.coalesce(rfc822_date(s), iso_date(s, compact=not epoch)))
+    return _let(ustrip(raw), body)
 
 
 def parse_news_date(raw, as_of) -> Column:
