@@ -34,11 +34,25 @@ def require(df: DataFrame, *cols) -> DataFrame:
     return df.where(cond)
 
 
+def typed_struct(schema, fields: dict) -> Column:
+    """Struct of ``schema`` built field by field (given fields, null
+    elsewhere; nested dicts for nested structs).  Casting each field, not
+    the whole struct, keeps ``content.x`` references foldable by Catalyst."""
+    from pyspark.sql import types as T
+    cols = []
+    for f in schema.fields:
+        v = fields.get(f.name)
+        if isinstance(v, dict) and isinstance(f.dataType, T.StructType):
+            cols.append(typed_struct(f.dataType, v).alias(f.name))
+        else:
+            c = F.lit(None) if v is None else v
+            cols.append(c.cast(f.dataType).alias(f.name))
+    return F.struct(*cols)
+
+
 def content_struct(record_type: str, **fields) -> Column:
     """A full content struct of ``record_type``: given fields, null elsewhere."""
-    schema = CONTENT_BY_TYPE[record_type]
-    return F.struct(*[(fields[f.name] if f.name in fields else F.lit(None))
-                      .cast(f.dataType).alias(f.name) for f in schema.fields])
+    return typed_struct(CONTENT_BY_TYPE[record_type], fields)
 
 
 def envelope(record_type: str, source_name, source_url, collected_at, content: Column,
@@ -49,38 +63,32 @@ def envelope(record_type: str, source_name, source_url, collected_at, content: C
             F.lit(record_type).alias("recordType"),
             F.struct(name.alias("name"), col_of(source_url).alias("url")).alias("source"),
             as_of_lit(collected_at).alias("collectedAt"),
-            content.cast(CONTENT_BY_TYPE[record_type]).alias("content"), *keep]
+            content.alias("content"), *keep]
 
 
 def startup_records(companies: DataFrame, collected_at, source_name: str = STARTUP_SOURCE_NAME,
                     keep=()) -> DataFrame:
     """Raw company rows -> STARTUP records (rows without name/url dropped)."""
     c = require(companies, "name", "url")
-    content = F.struct(
-        F.col("name").alias("entityName"), F.col("name").alias("rawName"),
-        first_nonempty("long_description", "one_liner").alias("description"),
-        F.col("website").alias("website"),
-        F.struct(F.col("team_size").cast("bigint").alias("employeeCount"),
-                 epoch_year("launched_at").alias("foundedYear"),
-                 first_nonempty("all_locations").alias("hq"),
-                 F.col("industry").alias("industry")).alias("data"))
+    content = content_struct(
+        "STARTUP", entityName=F.col("name"), rawName=F.col("name"),
+        description=first_nonempty("long_description", "one_liner"), website=F.col("website"),
+        data={"employeeCount": F.col("team_size"), "foundedYear": epoch_year("launched_at"),
+              "hq": first_nonempty("all_locations"), "industry": F.col("industry")})
     return c.select(*envelope("STARTUP", source_name, F.col("url"), collected_at, content,
                               keep=[F.col(k) for k in keep]))
 
 
 def product_records(startups: DataFrame, pricing_col: str = "pricingModel", keep=()) -> DataFrame:
     """STARTUP records + a pricing column -> PRODUCT records, 1:1."""
-    content = F.struct(
-        F.col("content.entityName").alias("startupName"),
-        F.col("content.entityName").alias("productName"),
-        F.col("content.rawName").alias("rawStartupName"),
-        F.col(pricing_col).alias("pricingModel"),
-        F.col("content.description").alias("description"),
-        F.col("content.website").alias("website"))
+    content = content_struct(
+        "PRODUCT", startupName=F.col("content.entityName"), productName=F.col("content.entityName"),
+        rawStartupName=F.col("content.rawName"), pricingModel=F.col(pricing_col),
+        description=F.col("content.description"), website=F.col("content.website"))
     return startups.select(F.lit(SCHEMA_VERSION).alias("schemaVersion"),
                            F.lit("PRODUCT").alias("recordType"),
                            F.col("source"), F.col("collectedAt"),
-                           content.cast(CONTENT_BY_TYPE["PRODUCT"]).alias("content"),
+                           content.alias("content"),
                            *[F.col(k) for k in keep])
 
 
@@ -93,26 +101,21 @@ def paper_records(entries: DataFrame, collected_at, keep=()) -> DataFrame:
         collapse_space(F.coalesce(F.col("title"), F.lit(""))).alias("__title__"),
         F.coalesce(F.col("id"), F.lit("")).alias("__url__"))
     e = require(e, "__aid__", "__title__", "__url__")
-    content = F.struct(
-        F.col("__title__").alias("title"),
-        drop_empty(F.coalesce(F.col("authors"), F.array().cast("array<string>"))).alias("authors"),
-        F.nullif(collapse_space(F.coalesce(F.col("summary"), F.lit(""))), F.lit("")).alias("abstract"),
-        F.col("__url__").alias("paper_url"),
-        F.lit(None).cast("string").alias("github_url"),
-        F.lit(None).cast("bigint").alias("github_stars"),
-        strict_iso_ts(F.col("published")).alias("published_date"),
-        F.col("__aid__").alias("arxiv_id"),
-        drop_empty(F.coalesce(F.col("categories"), F.array().cast("array<string>"))).alias("categories"))
+    content = content_struct(
+        "RESEARCH_PAPER", title=F.col("__title__"),
+        authors=drop_empty(F.coalesce(F.col("authors"), F.array().cast("array<string>"))),
+        abstract=F.nullif(collapse_space(F.coalesce(F.col("summary"), F.lit(""))), F.lit("")),
+        paper_url=F.col("__url__"), published_date=strict_iso_ts(F.col("published")),
+        arxiv_id=F.col("__aid__"),
+        categories=drop_empty(F.coalesce(F.col("categories"), F.array().cast("array<string>"))))
     return e.select(*envelope("RESEARCH_PAPER", PAPER_SOURCE_NAME, F.col("__url__"), collected_at,
                               content, keep=[F.col(k) for k in keep]))
 
 
 def _job_content(title, company, date, is_remote, location, url, description) -> Column:
-    return F.struct(title.alias("title"), company.alias("company"),
-                    F.lit(None).cast("string").alias("rawCompany"), date.alias("date"),
-                    is_remote.alias("is_remote"), F.lit("Engineering").alias("role_family"),
-                    location.alias("location"), url.alias("job_url"),
-                    description.alias("description"))
+    return content_struct("JOB", title=title, company=company, date=date, is_remote=is_remote,
+                          role_family=F.lit("Engineering"), location=location, job_url=url,
+                          description=description)
 
 
 def job_flags_a(items: DataFrame, as_of) -> DataFrame:
@@ -190,12 +193,10 @@ def news_records(items: DataFrame, as_of, collected_at=None) -> DataFrame:
     from lodestar.functions.dates import is_fresh
     e = require(news_flags(items, as_of), "__title__", "__link__")
     e = e.where(is_fresh(F.col("__date__"), as_of))
-    content = F.struct(F.col("__title__").alias("title"),
-                       cut_text(F.coalesce(F.col("__summary__"), F.lit(""))).alias("summary"),
-                       F.lit(None).cast("string").alias("full_text"),
-                       F.col("__date__").alias("published_date"),
-                       F.col("__link__").alias("article_url"),
-                       F.array().cast("array<string>").alias("entities_mentioned"))
+    content = content_struct("NEWS", title=F.col("__title__"),
+                             summary=cut_text(F.coalesce(F.col("__summary__"), F.lit(""))),
+                             published_date=F.col("__date__"), article_url=F.col("__link__"),
+                             entities_mentioned=F.array().cast("array<string>"))
     return e.select(*envelope("NEWS", F.col("source_name"), F.col("__link__"),
                               collected_at or as_of, content))
 
