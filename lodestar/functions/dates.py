@@ -157,8 +157,14 @@ def parse_flexible_date(raw, as_of, epoch: bool = True) -> Column:
         if epoch:
             digits = s.rlike(r"^\d+$")
             out = out.when(digits, F.when(F.length(s) <= 12, epoch_to_ts(s.try_cast("bigint"))))
-        out = out.when(s.rlike(REL_RE), relative_date(s, as_of))
-        return out.otherwise(F.coalesce(rfc822_date(s), iso_date(s, compact=not epoch)))
+        out = out.when((F.instr(F.lower(s), "ago") > 0) & s.rlike(REL_RE), relative_date(s, as_of))
+        # ISO needs ``dddd-`` up front and RFC 822 never has it: route by the
+        # 5th character instead of trying both regexes.
+        iso_shaped = F.substr(s, F.lit(5), F.lit(1)) == "-"
+        out = out.when(iso_shaped, iso_date(s, compact=False))
+        if not epoch:
+            out = out.when(F.length(s) == 8, iso_date(s, compact=True))
+        return out.otherwise(rfc822_date(s))
     return _let(ustrip(raw), body)
 
 
