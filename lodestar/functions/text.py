@@ -37,10 +37,9 @@ WS_CHARS = ([chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0,
 
 def ustrip(c) -> Column:
     """Strip leading/trailing Unicode whitespace (SQL ``trim`` only strips spaces).
-    The regex runs only when the first or last character is whitespace."""
-    c = col_of(c)
-    edge = F.substr(c, F.lit(1), F.lit(1)).isin(*WS_CHARS) | F.right(c, F.lit(1)).isin(*WS_CHARS)
-    return F.when(edge, F.regexp_replace(c, r"(?U)^" + WS + r"+|" + WS + r"+$", "")).otherwise(c)
+    One anchored regex; the input is referenced once, so nested calls stay
+    linear (a CASE guard would repeat the input and compound when nested)."""
+    return F.regexp_replace(col_of(c), r"(?U)^" + WS + r"+|" + WS + r"+$", "")
 
 
 def strip_legal_suffix(c) -> Column:

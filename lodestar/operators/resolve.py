@@ -105,9 +105,16 @@ def _blocked_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFr
 
 
 def _broadcast_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
-    f = forms.select("seed_order", "form_pos", "canonical", "sorted_norm")
-    cond = _compatible(F.length(names["q_sorted"]), F.length(f["sorted_norm"]), threshold)
-    return names.join(F.broadcast(f), cond, "inner")
+    """Pairs under the length bound via a broadcast *hash* join: each name is
+    exploded over the form lengths it is compatible with and joined on the
+    exact length, so incompatible pairs are never generated (no nested loop)."""
+    f = forms.select("seed_order", "form_pos", "canonical", "sorted_norm",
+                     F.length("sorted_norm").alias("__l2__"))
+    q = names.withColumn("__l1__", F.length("q_sorted"))
+    lo, hi = _length_range(F.col("__l1__"), threshold)
+    q = (q.withColumn("__l2__", F.explode(F.sequence(lo, hi)))
+         .where(_compatible(F.col("__l1__"), F.col("__l2__"), threshold)))
+    return q.join(F.broadcast(f), "__l2__", "inner").drop("__l1__", "__l2__")
 
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
@@ -120,6 +127,13 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
     # Non-nullable on purpose: a nullable derived key lets Catalyst infer an
     # IsNotNull filter and push it below the distinct, i.e. onto every row.
     names = names.select(*cols).withColumn("q_sorted", F.coalesce(token_sort("norm"), F.lit("")))
+    # Pairing and LCS are CPU-bound (names x forms), but the names are few
+    # bytes, so AQE would coalesce them into very few tasks.  An explicit
+    # partition count (the configured shuffle parallelism) is kept by AQE;
+    # hashing an expression of the key (not the key itself) stops Catalyst
+    # from dropping the exchange as already satisfied by the distinct.
+    n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = names.repartition(n_parts, F.xxhash64(key))
     if mode == "auto":
         mode = "broadcast" if forms.count() <= broadcast_limit else "blocked"
     if mode == "broadcast":
@@ -130,6 +144,8 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
         raise ValueError(f"unknown mode {mode!r}")
     # Cheap lossless tests guard the quadratic LCS (CASE keeps the order).
     a, b = F.col("q_sorted"), F.col("sorted_norm")
+    if mode == "blocked":
+        pairs = pairs.repartition(n_parts, F.xxhash64(key))
     pairs = pairs.where(F.when(cheap_bound_ok(a, b, threshold), F.lit(True)).otherwise(F.lit(False)))
     scored = (pairs.withColumn("lcs", lcs_length(a, b))
               .withColumn("total", F.length(a) + F.length(b)))
@@ -174,7 +190,7 @@ def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOL
 
 def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZY_THRESHOLD,
             mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-            order_col: str = "seed_idx", prefix: str = "") -> DataFrame:
+            order_col: str = "seed_idx", prefix: str = "", materialized: bool = False) -> DataFrame:
     """Add ``canonical_name``, ``method``, ``confidence`` to every row.
 
     exact -> confidence 100; fuzzy -> the score; otherwise the raw name with
@@ -185,17 +201,30 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
     All regex and similarity work runs once per *distinct raw name*; the
     per-row cost is one equi join with the resulting name map (AQE picks a
     broadcast at runtime when the map is small, and splits skewed names).
+
+    With ``materialized`` (default) the distinct names and the name map are
+    each written once to the shared checkpoint folder (eager), so the input
+    is not rescanned per plan branch and the lineage is cut.
     """
+    from lodestar.session import materialize
     raw = df.select(F.col(name_col).alias("__raw__")).where(F.col("__raw__").isNotNull()).distinct()
     # coalesce keeps ``norm`` non-nullable, so no inferred IsNotNull(norm)
     # filter is pushed below the distinct onto every input row.
+    # Regex work per distinct name is CPU-bound on few bytes: keep the
+    # configured parallelism (AQE would coalesce this small shuffle).
+    n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    raw = raw.repartition(n_parts, F.xxhash64("__raw__"))
     raw = raw.withColumn("norm", F.coalesce(normalize_name(F.col("__raw__")), F.lit("")))
+    if materialized:
+        raw = materialize(raw, "resolve-names")
     mm = match_map(raw, seed, threshold, mode, broadcast_limit, order_col, key="__raw__")
     names = (raw.join(mm, "__raw__", "left")
              .select(F.col("__raw__"),
                      F.coalesce(F.col("canonical"), self_canonical(F.col("__raw__"))).alias("__c__"),
                      F.coalesce(F.col("method"), F.lit(METHOD_NONE)).alias("__m__"),
                      F.coalesce(F.col("confidence"), F.lit(0.0)).alias("__s__")))
+    if materialized:
+        names = materialize(names, "resolve-map")
     out = df.join(names, F.col(name_col) == F.col("__raw__"), "left")
     return (out.withColumn(prefix + "canonical_name", F.col("__c__"))
             .withColumn(prefix + "method", F.coalesce(F.col("__m__"), F.lit(METHOD_NONE)))

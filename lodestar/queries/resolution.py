@@ -96,6 +96,8 @@ pairs AS (
          length(qs.q) + length(f.sorted_norm) AS total,
          {lcs} AS l
   FROM qs, nforms2 f
+  WHERE 100 * abs(length(qs.q) - length(f.sorted_norm)) <= 10 * (length(qs.q) + length(f.sorted_norm))
+    AND levenshtein(qs.q, f.sorted_norm) <= ((length(qs.q) + length(f.sorted_norm)) * 10) // 100
 ), scored AS (
   SELECT *, total - 2 * l AS indel,
          CASE WHEN total = 0 THEN 100.0 ELSE (1.0 - (total - 2 * l)::DOUBLE / total) * 100.0 END AS score
@@ -219,3 +221,38 @@ def q_resolve_lineitem(spark, sf):
     fuzzy step and join the small match map back."""
     r = resolve(raw_lineitem_names(spark, sf), "raw_name", part_seed(spark, sf))
     return r.select("l_orderkey", "l_linenumber", "canonical_name", "method", "confidence")
+
+
+def raw_generated_names(spark, sf):
+    """About one distinct name per order: a part name with one letter
+    replaced at an order-dependent position, half of them with an extra
+    numeric token (these fail the threshold after the cheap tests)."""
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    p = load(spark, sf, "part").select("p_partkey", "p_name")
+    j = o.join(p, (o.o_orderkey % 2000) == p.p_partkey, "inner")
+    pos = (F.col("o_orderkey") % F.length("p_name")).cast("int") + 1
+    letter = F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), (F.floor(F.col("o_orderkey") / 7) % 26).cast("int") + 1, F.lit(1))
+    typo = F.concat(F.substr("p_name", F.lit(1), pos - 1), letter, F.substr("p_name", pos + 1))
+    raw = F.when(F.col("o_orderkey") % 2 == 0, typo).otherwise(
+        F.concat(typo, F.lit(" "), (F.col("o_custkey") % 1000).cast("string")))
+    return j.select("o_orderkey", raw.alias("raw_name"))
+
+
+_RAW_GEN = """rawgen AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN t ELSE t || ' ' || (o_custkey % 1000)::VARCHAR END AS raw_name
+  FROM (SELECT o_orderkey, o_custkey,
+          substr(p_name, 1, (o_orderkey % length(p_name))::INTEGER) ||
+          substr('abcdefghijklmnopqrstuvwxyz', ((o_orderkey // 7) % 26)::INTEGER + 1, 1) ||
+          substr(p_name, (o_orderkey % length(p_name))::INTEGER + 2) AS t
+        FROM orders JOIN part ON p_partkey = o_orderkey % 2000)
+)"""
+
+
+@register("resolve_generated",
+          f"WITH {_SEED}, {_RAW_GEN}, {_resolve_sql('rawgen', 'o_orderkey')} "
+          "SELECT o_orderkey, canonical_name, method, confidence FROM resolved")
+def q_resolve_generated(spark, sf):
+    """J4/J5 with many distinct names (one per order): the fuzzy theta join
+    runs on every distinct name that misses the exact lookup."""
+    r = resolve(raw_generated_names(spark, sf), "raw_name", part_seed(spark, sf))
+    return r.select("o_orderkey", "canonical_name", "method", "confidence")

@@ -80,3 +80,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a table in the shared checkpoint folder and read
+    it back: later plans reuse the result instead of recomputing it, and the
+    lineage is cut (an executor loss re-reads the files, not the history)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
