@@ -93,3 +93,52 @@ def test_csv_round_trip(spark, tmp_path):
     back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(p)
     rows = sorted((r.id, r.s, r.t, r.b) for r in back.collect())
     assert rows == [("1", 'a, "quoted"', None, "True"), ("2", None, "line\nbreak", "False")]
+
+
+def test_required_scan_errors_on_missing_path(spark, tmp_path):
+    import pytest as _pt
+    from pyspark.sql import types as T
+
+    from lodestar.sources.files import read_jsonl
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    assert read_jsonl(spark, str(tmp_path / "nope"), schema).count() == 0
+    with _pt.raises(Exception):
+        read_jsonl(spark, str(tmp_path / "nope"), schema, missing_ok=False).count()
+
+
+def test_strict_scan_fails_on_bad_line(spark, tmp_path):
+    import pytest as _pt
+    from pyspark.sql import types as T
+
+    from lodestar.sources.files import read_jsonl
+    p = tmp_path / "bad.jsonl"
+    p.write_text('{"a": 1}\n\n{"a": oops\n')
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    with _pt.raises(Exception):
+        read_jsonl(spark, str(p), schema).collect()
+
+
+def test_bounded_stream_dedupe(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from lodestar import streaming as ST
+    src = tmp_path / "in"
+    rows = [(1, "2026-09-15 10:00:00"), (1, "2026-09-15 10:00:05"), (2, "2026-09-15 10:01:00")]
+    spark.createDataFrame(rows, "k long, t string").write.json(str(src))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("t", T.StringType())])
+    s = ST.landed_stream(spark, str(src), schema).withColumn("ts", F.to_timestamp("t"))
+    d = ST.dedupe_within_watermark(s, ["k"], "ts", "1 hour")
+    ST.run_available(d, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2]
+
+
+def test_stream_rerun_adds_nothing(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from lodestar import streaming as ST
+    src = tmp_path / "in"
+    spark.range(10).write.json(str(src))
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    for _ in range(2):
+        ST.run_available(ST.landed_stream(spark, str(src), schema), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 10
