@@ -20,16 +20,25 @@ def _ev(spark, sf):
     return e.withColumn("page", F.floor(F.col("event_id") / PAGE).cast("bigint"))
 
 
+def landed(df):
+    """Stand-in for a landed payload table (many files in production): the
+    packed pages come out of a small shuffle that AQE would coalesce into
+    one task, so they are spread over the configured parallelism before the
+    CPU-heavy parsing."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.xxhash64("page"))
+
+
 def _pack_json(df, struct_col):
     """One JSON array payload per page, items ordered by event_id."""
     g = df.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", struct_col))).alias("a"))
-    return g.select("page", F.to_json(F.transform("a", lambda x: x[struct_col])).alias("payload"))
+    return landed(g.select("page", F.to_json(F.transform("a", lambda x: x[struct_col])).alias("payload")))
 
 
 def _pack_text(df, text_col, head, tail):
     g = df.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("event_id", text_col))).alias("a"))
-    return g.select("page", F.concat(F.lit(head), F.array_join(F.transform("a", lambda x: x[text_col]), ""),
-                                     F.lit(tail)).alias("payload"))
+    return landed(g.select("page", F.concat(F.lit(head), F.array_join(F.transform("a", lambda x: x[text_col]), ""),
+                                            F.lit(tail)).alias("payload")))
 
 
 # ---------------------------------------------------------------- S5
