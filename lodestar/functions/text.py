@@ -29,12 +29,6 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# The same whitespace set as single characters, for cheap edge tests.
-WS_CHARS = ([chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680)]
-            + [chr(c) for c in range(0x2000, 0x200B)]
-            + [chr(c) for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
-
-
 def ustrip(c) -> Column:
     """Strip leading/trailing Unicode whitespace (SQL ``trim`` only strips spaces).
     One anchored regex; the input is referenced once, so nested calls stay

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.records import flatten
 from lodestar.plans.papers import papers_from_feeds
 from lodestar.plans.startups import startups_from_tags
-from lodestar.queries.common import events_as_of, load, ntz, register
+from lodestar.queries.common import events_as_of, load, register
 from lodestar.queries.linkage import _CANDS, _OW, _RP, candidates, repo_dim
 from lodestar.queries.records import STARTUPS_SQL, _TAG_SQL, _tag_idx, companies, underscored
 
@@ -67,5 +67,3 @@ def q_papers_flow(spark, sf):
                       F.col("content.github_url").alias("github_url"),
                       F.col("content.github_stars").alias("github_stars"))
 
-
-__all__ = ["q_startups_flow", "q_papers_flow", "ntz"]

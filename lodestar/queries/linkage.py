@@ -8,10 +8,8 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import linkage as L
 from lodestar.operators import profile as A
-from lodestar.operators.filters import is_aggregator
 from lodestar.queries.common import load, register
 from lodestar.queries.records import _REPO_DESC_SQL, _REPO_NAME_SQL, _agg_sql, _repo_cols
-from lodestar.queries.sqlfrag import DWS  # noqa: F401
 
 
 def _pid(c):

@@ -1,7 +1,6 @@
 """Parity vectors for name normalisation and resolution (FIXTURES §3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lodestar.functions.text import normalize_name, self_canonical
 from lodestar.operators.resolve import resolve
