@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.text import col_of, token_sort
 
-__all__ = ["chars", "lcs_length", "indel_distance", "indel_ratio", "token_sort_ratio",
+__all__ = ["chars", "lcs_length", "lcs_length_batched", "indel_distance", "indel_ratio", "token_sort_ratio",
            "passes_threshold", "cheap_bound_ok"]
 
 
@@ -79,3 +79,22 @@ def passes_threshold(a, b, threshold: int = 90, lcs=None) -> Column:
     a, b = col_of(a), col_of(b)
     total = F.length(a) + F.length(b)
     return (F.lit(100) * indel_distance(a, b, lcs)) <= F.lit(100 - threshold) * total
+
+
+_LCS_UDF = None
+
+
+def lcs_length_batched(a, b) -> Column:
+    """LCS length via an Arrow-batched pandas UDF (numpy bit-parallel LCS,
+    see ``lcs_batch``).  Same values as :func:`lcs_length`; far cheaper when
+    many pairs need an exact score.  The helper module is pickled by value,
+    so executors need only numpy/pandas, not this package."""
+    global _LCS_UDF
+    if _LCS_UDF is None:
+        from pyspark import cloudpickle
+        from pyspark.sql.functions import pandas_udf
+
+        from lodestar.functions import lcs_batch
+        cloudpickle.register_pickle_by_value(lcs_batch)
+        _LCS_UDF = pandas_udf(lcs_batch.lcs_lengths, "long")
+    return _LCS_UDF(col_of(a), col_of(b))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.similarity import cheap_bound_ok, lcs_length
+from lodestar.functions.similarity import cheap_bound_ok, lcs_length, lcs_length_batched
 from lodestar.functions.text import normalize_name, self_canonical, token_sort
 from lodestar.schemas import FUZZY_THRESHOLD, METHOD_EXACT, METHOD_FUZZY, METHOD_NONE
 from lodestar.sources.seed import seed_forms
@@ -119,7 +119,7 @@ def _broadcast_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> Data
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
                mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
-               key: str = "norm") -> DataFrame:
+               key: str = "norm", lcs_impl: str = "batched") -> DataFrame:
     """For each distinct ``key`` of ``names`` (with its ``norm``) the
     best-scoring seed form, kept only if its token-sort ratio reaches
     ``threshold``.  Returns ``(key, canonical, confidence)``."""
@@ -147,7 +147,8 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
     if mode == "blocked":
         pairs = pairs.repartition(n_parts, F.xxhash64(key))
     pairs = pairs.where(F.when(cheap_bound_ok(a, b, threshold), F.lit(True)).otherwise(F.lit(False)))
-    scored = (pairs.withColumn("lcs", lcs_length(a, b))
+    lcs_fn = lcs_length_batched if lcs_impl == "batched" else lcs_length
+    scored = (pairs.withColumn("lcs", lcs_fn(a, b))
               .withColumn("total", F.length(a) + F.length(b)))
     scored = (scored.withColumn("indel", F.col("total") - 2 * F.col("lcs"))
               .withColumn("score", F.when(F.col("total") == 0, F.lit(100.0))

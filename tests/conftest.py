@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from lodestar.session import get_session
-    s = get_session("local[4]", shuffle_partitions=4)
+    s = get_session("local[4]", shuffle_partitions=4, extra={"spark.driver.memory": "6g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
