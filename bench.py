@@ -40,16 +40,24 @@ def main():
     warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm):
         QUERIES["method_breakdown"](spark, warm).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, {}
     for name in names:
         t0 = time.time()
-        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - one failure must not lose the report
+            failed[name] = str(e).splitlines()[0][:200]
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr)
+            continue
         times[name] = round(time.time() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr)
     total = round(sum(times.values()), 3)
     sf_name = os.path.basename(sf.rstrip("/"))
-    print(json.dumps({"metric": "headline_total", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf_name.replace("sf", "")}))
+    out = {"metric": "headline_total", "value": total, "unit": "sec",
+           "queries": times, "sf": sf_name.replace("sf", "")}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
