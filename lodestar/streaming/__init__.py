@@ -41,8 +41,10 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet
 
 def dedupe_into(spark: SparkSession, sink: str, key: str, order, schema: T.StructType):
     """T2 (exact, unbounded): a ``foreachBatch`` function that keeps the first
-    row per key inside the batch, drops keys already in the sink (anti join
-    against the sink table) and appends the rest."""
+    row per key inside the batch (by ``order``), drops keys already in the
+    sink (anti join against the sink's key column, column-pruned) and
+    appends the rest.  The anti join reads every sink key per batch; for
+    very large sinks prefer :func:`dedupe_stateful`."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = first_wins(batch, key, order)
         if path_exists(spark, sink):
@@ -52,6 +54,15 @@ def dedupe_into(spark: SparkSession, sink: str, key: str, order, schema: T.Struc
     return fn
 
 
+def dedupe_stateful(df: DataFrame, keys) -> DataFrame:
+    """T2 (exact, incremental): keys live in the state store (use the RocksDB
+    provider for large key sets), so each batch costs O(batch), not a scan
+    of the sink.  Which duplicate *within one batch* survives is arrival
+    order, not a column order; use :func:`dedupe_into` when the first row by
+    an explicit order must win."""
+    return df.dropDuplicates(list(keys))
+
+
 def dedupe_within_watermark(df: DataFrame, keys, event_time: str, delay: str) -> DataFrame:
     """T2 (bounded): state kept only until the watermark passes; a key seen
     again after that is emitted again (documented approximation)."""

@@ -142,3 +142,16 @@ def test_stream_rerun_adds_nothing(spark, tmp_path):
     for _ in range(2):
         ST.run_available(ST.landed_stream(spark, str(src), schema), str(tmp_path / "out"), str(tmp_path / "ck"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 10
+
+
+def test_stateful_stream_dedupe_across_runs(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from lodestar import streaming as ST
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    src = tmp_path / "in"
+    for i, rows in enumerate([[(1, "a"), (2, "b"), (1, "c")], [(2, "d"), (3, "e")]]):
+        spark.createDataFrame(rows, schema).write.json(str(src / f"drop{i}"))
+        s = ST.dedupe_stateful(ST.landed_stream(spark, str(src / "*"), schema), ["k"])
+        ST.run_available(s, str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
