@@ -31,6 +31,10 @@ REL_RE = r"(?iU)(\d+)\s*(second|minute|hour|day)s?\s*ago"
 _DAYS = "|".join(DAY_NAMES)
 RFC_PREFIX_RE = r"(?i)^(?:\S*,\s*|(?:" + _DAYS + r")\s+)"
 RFC_SWAP_RE = r"^([A-Za-z]+)\s+(\d+),?(\s+)"
+# RFC 850 ``15-Sep-26 10:00:00 GMT`` (exactly three tokens) -> spaced form.
+RFC850_RE = r"^(\d+)-([A-Za-z]+)-(\d+)(\s+\S+\s+\S+)$"
+# Time written before the year: ``15 Sep 10:00:00 2026 ...``.
+RFC_TIME_FIRST_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+)(\d+:[\d:]+)(\s+)(\d+)\b"
 RFC_RE = (r"^(\d+),?\s+([A-Za-z]+),?\s+(\d+),?\s+(\d+):(\d+)(?::(\d+))?,?"
           r"(?:([+-]\d+)\s*$|\s+(\S+)(?:\s+.*)?$|\s*$)")
 
@@ -100,7 +104,10 @@ def rfc822_date(raw) -> Column:
     """RFC 822 / 2822 dates the way ``email.utils`` reads them: optional day
     name, day and month in either order, 2- or 4-digit year, optional seconds,
     zone from the fixed table, a signed ``hhmm`` number, else UTC."""
-    s = F.regexp_replace(F.regexp_replace(ustrip(raw), RFC_PREFIX_RE, ""), RFC_SWAP_RE, "$2$3$1 ")
+    s = F.regexp_replace(ustrip(raw), RFC_PREFIX_RE, "")
+    s = F.regexp_replace(s, RFC850_RE, "$1 $2 $3$4")
+    s = F.regexp_replace(s, RFC_SWAP_RE, "$2$3$1 ")
+    s = F.regexp_replace(s, RFC_TIME_FIRST_RE, "$1$4$3$2")
     zmap = F.create_map(*[x for k, v in ZONE_OFFSETS.items() for x in (F.lit(k), F.lit(v))])
     months = F.array(*[F.lit(m) for m in MONTH_NAMES])
 

@@ -27,6 +27,12 @@ VECTORS = [
     ("2 hours ago", T(2026, 9, 15, 10), T(2026, 9, 15, 10)),
     ("posted 3 days ago", T(2026, 9, 12, 12), T(2026, 9, 12, 12)),
     ("99999999999999999999 days ago", None, None),
+    ("Monday, 15-Sep-26 10:00:00 GMT", T(2026, 9, 15, 10), T(2026, 9, 15, 10)),
+    ("15 Sep 10:00:00 2026 +0100", T(2026, 9, 15, 9), T(2026, 9, 15, 9)),
+    ("Sep 15 2026 10:00 PST", T(2026, 9, 15, 18), T(2026, 9, 15, 18)),
+    ("15 September 2026 10:00:00 UT", T(2026, 9, 15, 10), T(2026, 9, 15, 10)),
+    ("15 Sep 2026 24:00:00 GMT", None, None),
+    ("15 Sep 2026 10:00:60 GMT", None, None),
 ]
 
 
