@@ -155,3 +155,25 @@ def test_stateful_stream_dedupe_across_runs(spark, tmp_path):
         s = ST.dedupe_stateful(ST.landed_stream(spark, str(src / "*"), schema), ["k"])
         ST.run_available(s, str(tmp_path / "out"), str(tmp_path / "ck"))
     assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
+def test_cross_category_dedupe_strict_parity(spark):
+    df = spark.createDataFrame([("p1", 0, 0), ("p1", 0, 1), ("p1", 1, 0), ("p2", 1, 3), ("p2", 2, 0)],
+                               "k string, cat int, pos int")
+    dedup = W.cross_group_dedupe(df, "k", ["cat", "pos"])
+    assert sorted((r.k, r.cat, r.pos) for r in dedup.collect()) == [("p1", 0, 0), ("p2", 1, 3)]
+    strict = W.cross_group_dedupe(df, "k", ["cat", "pos"], group="cat", strict_parity=True)
+    assert sorted((r.k, r.cat, r.pos) for r in strict.collect()) == [("p1", 0, 0), ("p1", 0, 1), ("p2", 1, 3)]
+
+
+def test_product_enum_quarantine(spark):
+    from lodestar.operators.records import product_records, split_valid
+    s = spark.createDataFrame([("u1", "A", "FREE"), ("u2", "B", "CHEAP")], "url string, name string, p string")
+    s = s.select(F.struct(F.lit("src").alias("name"), F.col("url").alias("url")).alias("source"),
+                 F.current_timestamp().alias("collectedAt"),
+                 F.struct(F.col("name").alias("entityName"), F.col("name").alias("rawName"),
+                          F.lit(None).cast("string").alias("description"),
+                          F.lit(None).cast("string").alias("website")).alias("content"), "p")
+    good, bad = split_valid(product_records(s, "p"), "PRODUCT")
+    assert [r.content.productName for r in good.collect()] == ["A"]
+    assert [list(r.violations) for r in bad.collect()] == [["content.pricingModel:enum"]]
