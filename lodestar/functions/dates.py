@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import col_of, ustrip
+from lodestar.functions.text import col_of, lit_array, lit_map, ustrip
 from lodestar.schemas import DAY_NAMES, MONTH_NAMES, ZONE_OFFSETS
 
 __all__ = [
@@ -92,8 +92,7 @@ def relative_date(raw, as_of) -> Column:
     def body(g):
         n = g[0].try_cast("bigint")
         unit = F.lower(g[1])
-        secs = F.try_element_at(F.create_map(*[x for k, v in UNIT_SECONDS.items()
-                                               for x in (F.lit(k), F.lit(v).cast("bigint"))]), unit)
+        secs = F.try_element_at(lit_map(UNIT_SECONDS), unit).cast("bigint")
         micros = F.try_multiply(F.try_multiply(n, secs), F.lit(1_000_000).cast("bigint"))
         res = F.try_subtract(F.unix_micros(a), micros)
         return F.when((F.size(g) == 2) & (res >= F.lit(MIN_MICROS)), F.timestamp_micros(res))
@@ -108,8 +107,8 @@ def rfc822_date(raw) -> Column:
     s = F.regexp_replace(s, RFC850_RE, "$1 $2 $3$4")
     s = F.regexp_replace(s, RFC_SWAP_RE, "$2$3$1 ")
     s = F.regexp_replace(s, RFC_TIME_FIRST_RE, "$1$4$3$2")
-    zmap = F.create_map(*[x for k, v in ZONE_OFFSETS.items() for x in (F.lit(k), F.lit(v))])
-    months = F.array(*[F.lit(m) for m in MONTH_NAMES])
+    zmap = lit_map(ZONE_OFFSETS)
+    months = lit_array(MONTH_NAMES)
 
     def body(g):
         dd = g[0].try_cast("int")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lodestar.schemas import LEGAL_SUFFIX_ALTERNATIVES, NO_DESCRIPTION
 
 __all__ = [
-    "col_of", "ustrip", "strip_legal_suffix", "normalize_name", "self_canonical",
+    "col_of", "lit_array", "lit_map", "ustrip", "strip_legal_suffix", "normalize_name", "self_canonical",
     "first_nonempty", "collapse_space", "strip_markup", "cut_text", "split_title",
     "url_tail", "bare_id", "repo_owner_repo", "drop_empty", "array_text",
     "token_sort", "build_prompt", "display_cut", "percent",
@@ -29,6 +29,22 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sql_lit(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def lit_array(values) -> Column:
+    """A constant array built from one SQL literal (one JVM call, not one per element)."""
+    return F.expr("array(" + ", ".join(_sql_lit(v) for v in values) + ")")
+
+
+def lit_map(pairs: dict) -> Column:
+    """A constant map built from one SQL literal."""
+    return F.expr("map(" + ", ".join(f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in pairs.items()) + ")")
+
+
 def ustrip(c) -> Column:
     """Strip leading/trailing Unicode whitespace (SQL ``trim`` only strips spaces).
     One anchored regex; the input is referenced once, so nested calls stay

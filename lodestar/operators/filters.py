@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import col_of
+from lodestar.functions.text import col_of, lit_array
 from lodestar.schemas import AGGREGATOR_KEYWORDS, AI_KEYWORDS, METHOD_NONE
 
 
@@ -16,7 +16,7 @@ def keyword_match(texts, keywords=None) -> Column:
     parts = F.filter(F.array(*[F.lower(col_of(t)) for t in texts]),
                      lambda x: x.isNotNull() & (x != ""))
     hay = F.concat(F.lit(" "), F.array_join(parts, " "), F.lit(" "))
-    return F.exists(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(hay, k))
+    return F.exists(lit_array(keywords), lambda k: F.contains(hay, k))
 
 
 def is_aggregator(full_name, description=None, keywords=None) -> Column:
@@ -26,7 +26,7 @@ def is_aggregator(full_name, description=None, keywords=None) -> Column:
     desc = F.lower(F.coalesce(col_of(description), F.lit(""))) if description is not None \
         else F.lit("")
     hay = F.concat(name, F.lit(" "), desc)
-    return F.exists(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(hay, k))
+    return F.exists(lit_array(keywords), lambda k: F.contains(hay, k))
 
 
 def pending(df: DataFrame, key: str, done_col: str | None = None) -> DataFrame:
