@@ -187,7 +187,7 @@ def q_collapse_space(spark, sf):
     return load(spark, sf, "documents").select("doc_id", X.collapse_space("text").alias("collapsed"))
 
 
-@register("token_sort", f"SELECT doc_id, {Q.token_sort(Q.collapse('lower(left(text, 10000000))'))} AS sorted "
+@register("token_sort", f"SELECT doc_id, {Q.token_sort(Q.collapse('lower(text)'))} AS sorted "
           "FROM documents")
 def q_token_sort(spark, sf):
     """X16 over whole document texts (lower-cased, whitespace-collapsed)."""
