@@ -58,3 +58,23 @@ def test_products_flow_resume(spark):
     first = products_from_startups(s, limit=10)
     rest = products_from_startups(s, done=first)
     assert first.count() == 10 and rest.count() == s.count() - 10
+
+
+def test_papers_repair_flow(spark):
+    from lodestar.operators.filters import is_aggregator
+    from lodestar.plans.papers import papers_from_feeds, repair_papers
+    from lodestar.queries.common import events_as_of
+    from lodestar.queries.flows import paper_feed_pages
+    from lodestar.queries.linkage import candidates, repo_dim
+    papers = papers_from_feeds(paper_feed_pages(spark, SF), candidates(spark, SF), repo_dim(spark, SF),
+                               events_as_of(spark, SF), total=250)
+    # Plant aggregator links and one url shared by many papers, then repair.
+    k = F.xxhash64(F.col("content.arxiv_id")) % 5
+    bad = papers.withColumn("content", F.col("content").withField(
+        "github_url", F.when(k == 0, F.lit("https://github.com/x/awesome-list"))
+        .when(k == 1, F.lit("https://github.com/x/shared")).otherwise(F.col("content.github_url"))))
+    fixed = repair_papers(bad, candidates(spark, SF), repo_dim(spark, SF))
+    assert fixed.count() == papers.count()
+    urls = fixed.where(F.col("content.github_url").isNotNull()).groupBy("content.github_url").count()
+    assert urls.where(F.col("count") > 2).count() == 0
+    assert fixed.where(is_aggregator(F.col("content.github_url"), F.lit(""))).count() == 0
