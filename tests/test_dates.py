@@ -33,6 +33,9 @@ VECTORS = [
     ("15 September 2026 10:00:00 UT", T(2026, 9, 15, 10), T(2026, 9, 15, 10)),
     ("15 Sep 2026 24:00:00 GMT", None, None),
     ("15 Sep 2026 10:00:60 GMT", None, None),
+    ("15 Sep 2026 10.00.00 GMT", T(2026, 9, 15, 10), T(2026, 9, 15, 10)),
+    ("15 Sep 2026 10.30 +0100", T(2026, 9, 15, 9, 30), T(2026, 9, 15, 9, 30)),
+    ("2026 Sep 15 10:00:00", None, None),
 ]
 
 
