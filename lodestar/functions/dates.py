@@ -34,8 +34,8 @@ RFC_SWAP_RE = r"^([A-Za-z]+)\s+(\d+),?(\s+)"
 # RFC 850 ``15-Sep-26 10:00:00 GMT`` (exactly three tokens) -> spaced form.
 RFC850_RE = r"^(\d+)-([A-Za-z]+)-(\d+)(\s+\S+\s+\S+)$"
 # Dot-separated times (``10.00.00`` / ``10.00``) read like colon ones.
-RFC_DOT3_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+\d+,?\s+)(\d+)\.(\d+)\.(\d+)(\s|$)"
-RFC_DOT2_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+\d+,?\s+)(\d+)\.(\d+)(\s|$)"
+RFC_DOT3_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+\d+,?\s+)(\d+)\.(\d+)\.(\d+)(?=\s|$|[+-])"
+RFC_DOT2_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+\d+,?\s+)(\d+)\.(\d+)(?=\s|$|[+-])"
 # Time written before the year: ``15 Sep 10:00:00 2026 ...``.
 RFC_TIME_FIRST_RE = r"^(\d+,?\s+[A-Za-z]+,?\s+)(\d+:[\d:]+)(\s+)(\d+)\b"
 RFC_RE = (r"^(\d+),?\s+([A-Za-z]+),?\s+(\d+),?\s+(\d+):(\d+)(?::(\d+))?,?"
@@ -110,8 +110,8 @@ def rfc822_date(raw) -> Column:
     s = F.regexp_replace(s, RFC850_RE, "$1 $2 $3$4")
     s = F.regexp_replace(s, RFC_SWAP_RE, "$2$3$1 ")
     s = F.regexp_replace(s, RFC_TIME_FIRST_RE, "$1$4$3$2")
-    s = F.regexp_replace(s, RFC_DOT3_RE, "$1$2:$3:$4$5")
-    s = F.regexp_replace(s, RFC_DOT2_RE, "$1$2:$3$4")
+    s = F.regexp_replace(s, RFC_DOT3_RE, "$1$2:$3:$4")
+    s = F.regexp_replace(s, RFC_DOT2_RE, "$1$2:$3")
     zmap = lit_map(ZONE_OFFSETS)
     months = lit_array(MONTH_NAMES)
 

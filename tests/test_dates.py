@@ -61,3 +61,48 @@ def test_freshness_boundary(spark, as_of):
                                "t timestamp_ntz")
     out = [r.f for r in df.select(is_fresh(df.t.cast("timestamp"), as_of).alias("f")).collect()]
     assert out == [True, False, False, True]
+
+
+def test_rfc822_random_against_stdlib(spark):
+    """Randomised RFC 822 strings: our parse equals Python's email.utils
+    (naive results read as UTC, errors as null)."""
+    import random
+    from email.utils import parsedate_to_datetime
+
+    from lodestar.functions.dates import rfc822_date
+    rnd = random.Random(7)
+    days = ["Mon, ", "Tue,", "Wed ", "", "Thursday, "]
+    months = ["Jan", "feb", "SEP", "September", "Dec", "Foo"]
+    zones = ["GMT", "UT", "EST", "PDT", "+0200", "-0530", "+0000", "-0000", "CET", "", "+2400"]
+    samples = []
+    for _ in range(1500):
+        d = rnd.choice([1, 5, 15, 28, 31, 32])
+        y = rnd.choice(["26", "99", "2026", "1969", "69", "70"])
+        t = rnd.choice(["10:00", "10:00:05", "23:59:59", "24:00:00", "7:5:3", "10:60:00", "10.00.05", "10.30"])
+        m = rnd.choice(months)
+        z = rnd.choice(zones)
+        shape = rnd.random()
+        if shape < 0.15:
+            core = f"{m} {d} {y} {t}"
+        elif shape < 0.25:
+            core = f"{d} {m} {t} {y}"
+        elif shape < 0.35:
+            core, z = f"{d}-{m}-{y} {t}", (z or "GMT")
+        elif shape < 0.45 and z[:1] in "+-":
+            core, z = f"{d} {m} {y} {t}{z}", ""
+        else:
+            core = f"{d} {m} {y} {t}"
+        samples.append((rnd.choice(days) + core + (" " + z if z else "")).strip())
+
+    def expect(s):
+        try:
+            v = parsedate_to_datetime(s)
+        except Exception:
+            return None
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return v
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r.i: r.t for r in df.select("i", rfc822_date("s").cast("timestamp_ntz").alias("t")).collect()}
+    bad = [(s, got[i], expect(s)) for i, s in enumerate(samples) if got[i] != expect(s)]
+    assert not bad, bad[:5]
