@@ -106,3 +106,38 @@ def test_rfc822_random_against_stdlib(spark):
     got = {r.i: r.t for r in df.select("i", rfc822_date("s").cast("timestamp_ntz").alias("t")).collect()}
     bad = [(s, got[i], expect(s)) for i, s in enumerate(samples) if got[i] != expect(s)]
     assert not bad, bad[:5]
+
+
+def test_iso_random_against_stdlib(spark):
+    """Randomised ISO 8601 date-times in the supported shapes: our parse
+    equals ``datetime.fromisoformat`` (naive read as UTC, errors as null)."""
+    import random
+
+    from lodestar.functions.dates import iso_date
+    rnd = random.Random(11)
+    samples = []
+    for _ in range(1500):
+        d = f"{rnd.choice([1969, 2024, 2026])}-{rnd.choice(['01', '02', '09', '12', '13'])}-" \
+            f"{rnd.choice(['01', '15', '29', '30', '31', '00'])}"
+        shape = rnd.random()
+        if shape < 0.2:
+            samples.append(d)
+            continue
+        t = rnd.choice(["10", "10:30", "10:30:05", "23:59:59", "24:00:00", "10:61:00"])
+        if t.count(":") == 2 and rnd.random() < 0.4:
+            t += "." + "".join(rnd.choice("0123456789") for _ in range(rnd.randint(1, 6)))
+        z = rnd.choice(["", "Z", "+02:00", "-05:30", "+0200", "+02", "-00:00"])
+        samples.append(d + rnd.choice(["T", " "]) + t + z)
+
+    def expect(s):
+        try:
+            v = dt.datetime.fromisoformat(s.replace("Z", "+00:00"))
+        except ValueError:
+            return None
+        if v.tzinfo is not None:
+            v = v.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        return v
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(samples)], "i int, s string")
+    got = {r.i: r.t for r in df.select("i", iso_date("s").cast("timestamp_ntz").alias("t")).collect()}
+    bad = [(s, got[i], expect(s)) for i, s in enumerate(samples) if got[i] != expect(s)]
+    assert not bad, bad[:5]
