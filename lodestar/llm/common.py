@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
+def ship(df: DataFrame) -> DataFrame:
+    """Make this package importable in the Python workers of the session of
+    ``df``, once per application; a package run from a zip is shipped already."""
+    sc = df.sparkSession.sparkContext
+    root = Path(__file__).parent.parent
+    if root.is_dir() and not getattr(sc, "_llm_shipped", False):
+        base = Path(tempfile.mkdtemp(prefix="ship-")) / root.name
+        sc.addPyFile(shutil.make_archive(str(base), "zip", root.parent, root.name))
+        sc._llm_shipped = True
+    return df
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` once to the shared checkpoint folder.
 
@@ -52,6 +67,15 @@ def small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def join_on(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on ``keys``; they come from the left side."""
+    right = right.select(*[F.col(c).alias("r_" + c) if c in keys else F.col(c) for c in right.columns])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col("r_" + k))
+    return left.join(right, on, how).drop(*["r_" + k for k in keys])
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as decimal text, modulo ``n`` (null id: null text, fold 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

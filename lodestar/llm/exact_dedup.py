@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.llm.common import BLANKS, cut, fresh
+from lodestar.llm.common import BLANKS, cut, fresh, ship
 
 COUNTERS = 1024
 
@@ -66,7 +66,7 @@ def summaries(k: int):
 
 def heavy_digests(keys: DataFrame, k: int) -> DataFrame:
     """Candidates for frequent digests: at most ``k`` rows (digest)."""
-    parts = keys.select("digest").mapInArrow(summaries(k), "digest binary, n long")
+    parts = ship(keys).select("digest").mapInArrow(summaries(k), "digest binary, n long")
     return parts.groupBy("digest").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "digest").limit(k).select("digest")
 
 

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from lodestar.llm.bpe import encode_report
+from lodestar.llm.chat_format import chat_digest, format_chats
 from lodestar.llm.common import table
 from lodestar.llm.exact_dedup import exact_groups
+from lodestar.llm.mixing import mix_report
+from lodestar.llm.token_files import token_file_report
+
+TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -26,3 +34,28 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)""")
 def op6_exact_dedup(spark, sf):
     return exact_groups(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op2_mixing")
+def op2_mixing(spark, sf):
+    return mix_report(table(spark, sf, "documents").select("doc_id", "text", "source"))
+
+
+@register("op10_chat_format")
+def op10_chat_format(spark, sf):
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat_digest(format_chats(rows))
+
+
+@register("op1_bpe")
+def op1_bpe(spark, sf):
+    return encode_report(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
+
+
+@register("op3_token_files")
+def op3_token_files(spark, sf):
+    return token_file_report(table(spark, sf, "documents").select("doc_id", "text"),
+                             public_tokenizers.path(TOKENIZER), end_id=2)
