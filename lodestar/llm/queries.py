@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from lodestar.llm.bpe import encode_report
 from lodestar.llm.chat_format import chat_digest, format_chats
-from lodestar.llm.common import table
+from lodestar.llm.common import fold, table
 from lodestar.llm.exact_dedup import exact_groups
+from lodestar.llm.lang_id import identify, learn
 from lodestar.llm.mixing import mix_report
+from lodestar.llm.quality import quality_scores
 from lodestar.llm.token_files import token_file_report
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -59,3 +62,18 @@ def op1_bpe(spark, sf):
 def op3_token_files(spark, sf):
     return token_file_report(table(spark, sf, "documents").select("doc_id", "text"),
                              public_tokenizers.path(TOKENIZER), end_id=2)
+
+
+@register("op4_lang_id")
+def op4_lang_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    learned = learn(docs.where(fold(F.col("doc_id"), 5) != 0))
+    found = identify(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@register("op8_quality")
+def op8_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scores = quality_scores(docs, table(spark, sf, "labels"), fold(F.col("doc_id"), 5) != 0)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "score", "predicted")
