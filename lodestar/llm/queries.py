@@ -9,6 +9,7 @@ from lodestar.llm.bpe import encode_report
 from lodestar.llm.chat_format import chat_digest, format_chats
 from lodestar.llm.common import fold, table
 from lodestar.llm.exact_dedup import exact_groups
+from lodestar.llm.hmm_lm import score_texts
 from lodestar.llm.lang_id import identify, learn
 from lodestar.llm.mixing import mix_report
 from lodestar.llm.quality import quality_scores
@@ -77,3 +78,11 @@ def op8_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     scores = quality_scores(docs, table(spark, sf, "labels"), fold(F.col("doc_id"), 5) != 0)
     return scores.select("doc_id", (~F.col("train")).alias("held_out"), "score", "predicted")
+
+
+@register("op7_hmm_lm")
+def op7_hmm_lm(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scores = score_texts(docs, fold(F.col("doc_id"), 7) != 2)
+    return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
