@@ -12,6 +12,7 @@ from lodestar.llm.exact_dedup import exact_groups
 from lodestar.llm.hmm_lm import score_texts
 from lodestar.llm.lang_id import identify, learn
 from lodestar.llm.mixing import mix_report
+from lodestar.llm.near_dedup import near_groups
 from lodestar.llm.quality import quality_scores
 from lodestar.llm.token_files import token_file_report
 
@@ -86,3 +87,8 @@ def op7_hmm_lm(spark, sf):
     scores = score_texts(docs, fold(F.col("doc_id"), 7) != 2)
     return scores.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                          "base_score", "score")
+
+
+@register("op5_near_dedup")
+def op5_near_dedup(spark, sf):
+    return near_groups(table(spark, sf, "documents").select("doc_id", "text"))
