@@ -15,6 +15,7 @@ from lodestar.llm.mixing import mix_report
 from lodestar.llm.near_dedup import near_groups
 from lodestar.llm.quality import quality_scores
 from lodestar.llm.token_files import token_file_report
+from lodestar.llm.topk_search import search
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -49,8 +50,9 @@ def op2_mixing(spark, sf):
 @register("op10_chat_format")
 def op10_chat_format(spark, sf):
     probe = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
-                                  "conv_id long, turn long, role string, text string")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                  F.lit(probe).alias("text"))
     rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat_digest(format_chats(rows))
 
@@ -92,3 +94,15 @@ def op7_hmm_lm(spark, sf):
 @register("op5_near_dedup")
 def op5_near_dedup(spark, sf):
     return near_groups(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op9_topk_search", """
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS bits FROM embeddings),
+p AS (SELECT q.vec_id, a.vec_id AS neighbor_id,
+             CAST(list_sum(list_transform(list_zip(q.bits, a.bits), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END))
+                  AS BIGINT) AS distance
+      FROM c q, c a WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, neighbor_id) AS INTEGER) AS rank FROM p)
+SELECT vec_id, rank, neighbor_id, distance FROM r WHERE rank <= 10""")
+def op9_topk_search(spark, sf):
+    return search(table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0, k=10)
