@@ -7,6 +7,7 @@ about that pattern make reuse exact:
 * A *safe cut* lies before a blank that is followed by a character that is
   surely no white space.  Whatever white space stands before it ends a part
   there, and the blank begins one, so both sides are encoded as in the whole.
+  The same holds before a line end between two characters that are none.
 * Texts that contain a special token's string are encoded whole, as such a
   string ends parts too.
 
@@ -46,13 +47,13 @@ BORDER_BITS = 10         # a border every 2**10 bytes on average
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
 DICTIONARY = 8192
-CACHED_PIECES = 400_000  # per Python worker
+CACHED_PIECES = 600_000  # per Python worker
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _SURE = re.compile(r" (?=[!-~\w])")               # a safe cut takes the blank with it
-_ODD = re.compile(r" (?![!-~\w])")                # a blank that is not a safe cut
+# A blank that is not a safe cut, or a line end that does not stand alone.
+_ODD = re.compile(r"[ \n](?![!-~\w])|(?<![!-~\w])\n")
 _SPLIT = re.compile(rf"[{_LETTERS}]+|[.,!?;:]+|\n")
-_SIMPLE = re.compile(rf"(?:[{_LETTERS}]+(?:[.,!?;:]+)?\n?)+")
 
 
 def byte_of_char() -> dict[str, int]:
@@ -77,7 +78,7 @@ class Codec:
         self.token_bytes = [b""] * self.tok.get_vocab_size()
         for token, i in self.tok.get_vocab().items():
             self.token_bytes[i] = (token.encode() if i in added else bytes(to_byte[c] for c in token))
-        self.pieces: dict[str, bytes] = {}  # text after a blank -> ids with that blank
+        self.pieces: dict[str, bytes] = {}  # text after a blank (or from a line end) -> ids with that blank
         self.parts: dict[str, bytes] = {}   # text as it stands -> ids
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -90,19 +91,26 @@ class Codec:
         self.parts.update(zip(new, self._library(new)))
 
     def _learn(self, new: list[str]) -> None:
-        """Fill ``pieces``: a plain word is encoded without the marks around it,
-        which are parts of their own, so that fewer strings need the library."""
-        split = {}
+        """Fill ``pieces``.  Letters and marks are parts of their own, so a plain
+        word is encoded once, whatever marks follow it."""
+        split, alone, rest = {}, set(), set()
         for w in new:
-            if _SIMPLE.fullmatch(w) and "\n\n" not in w:
-                p = _SPLIT.findall(w)
-                p[0] = " " + p[0]
+            p = _SPLIT.findall(w)
+            if len(p) > 1 and sum(map(len, p)) == len(w) and "\n\n" not in w:
+                split[w] = p
+                if w[0] != "\n":
+                    alone.add(p[0])
+                    rest.update(p[1:])
+                else:
+                    rest.update(p)
             else:
-                p = [" " + w]
-            split[w] = p
-        self._encode_parts(set(chain.from_iterable(split.values())))
-        get = self.parts.__getitem__
-        self.pieces.update((w, b"".join(map(get, p)) if len(p) > 1 else get(p[0])) for w, p in split.items())
+                alone.add(w)
+        alone = [w for w in alone if w not in self.pieces]
+        self.pieces.update(zip(alone, self._library([w if w[0] == "\n" else " " + w for w in alone])))
+        self._encode_parts(rest)
+        pieces, parts = self.pieces, self.parts.__getitem__
+        for w, p in split.items():
+            pieces[w] = (b"" if w[0] == "\n" else pieces[p[0]]) + b"".join(map(parts, p if w[0] == "\n" else p[1:]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -114,11 +122,11 @@ class Codec:
             elif _ODD.search(t):
                 cut.append(_SURE.split(t))
             else:
-                cut.append(t.split(" "))
+                cut.append(t.replace("\n", " \n").split(" "))
         heads = {c[0] for c in cut}
         used = set(chain.from_iterable(c[1:] for c in cut))
         new = [w for w in used if w not in self.pieces]
-        if len(self.pieces) + len(new) > CACHED_PIECES:
+        if len(self.pieces) + len(new) > CACHED_PIECES or len(self.parts) > CACHED_PIECES:
             self.pieces, self.parts, new = {}, {}, list(used)
         self._learn(new)
         self._encode_parts(heads)

@@ -157,7 +157,7 @@ def sequences(shared):
                 symbol[hit] = look["symbol"][i[hit]]
                 rare = np.flatnonzero(~hit)
                 symbol[rare] = [OWN + zlib.crc32(flat[k][-2:]) % CLASSES for k in rare.tolist()]
-                sums = [np.bincount(doc[hit], v, len(texts)) for v in (None, look["base"][i[hit]], look["inside"][i[hit]])]
+                sums = [np.bincount(doc[hit], v, len(texts)).astype(np.float64) for v in (None, look["base"][i[hit]], look["inside"][i[hit]])]
                 ends = np.cumsum(n)
                 cuts = np.searchsorted(rare, np.concatenate([[0], ends]))
                 seqs = [z.compress(np.append(symbol[e - k:e], np.uint16(END)).tobytes()) for e, k in zip(ends.tolist(), n.tolist())]

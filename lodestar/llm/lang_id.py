@@ -235,7 +235,7 @@ def model_of(shared) -> Model:
     key = zlib.crc32(packed)
     if key not in _MODELS:
         _MODELS.clear()
-        _MODELS[key] = Model(langs, np.frombuffer(packed, np.float64).reshape(len(langs), -1))
+        _MODELS[key] = Model(langs, np.frombuffer(packed, np.float64).reshape(len(langs), BINS + len(SCRIPT_NAMES)))
     return _MODELS[key]
 
 
