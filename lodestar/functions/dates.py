@@ -167,7 +167,7 @@ def parse_flexible_date(raw, as_of, epoch: bool = True) -> Column:
         out = F.when(s.isNull() | (s == ""), F.lit(None).cast("timestamp"))
         if epoch:
             digits = s.rlike(r"^\d+$")
-            out = out.when(digits, F.when(F.length(s) <= 12, epoch_to_ts(s.try_cast("bigint"))))
+            out = out.when(digits, epoch_to_ts(s.try_cast("bigint")))
         out = out.when((F.instr(F.lower(s), "ago") > 0) & s.rlike(REL_RE), relative_date(s, as_of))
         # ISO needs ``dddd-`` up front and RFC 822 never has it: route by the
         # 5th character instead of trying both regexes.
@@ -204,7 +204,7 @@ def is_fresh(ts, as_of, hours: int = 24, upper_bound: bool = False) -> Column:
     unless ``upper_bound`` (D3)."""
     a = as_of_lit(as_of)
     lo = F.timestamp_micros(F.unix_micros(a) - F.lit(hours * 3600 * 1_000_000))
-    cond = col_of(ts).isNotNull() & (col_of(ts) >= lo)
-    if upper_bound:
-        cond = cond & (col_of(ts) <= a)
+    # Comparisons only: a null test of its own would make Catalyst evaluate a
+    # parsed ``ts`` once more per row.
+    cond = col_of(ts).between(lo, a) if upper_bound else col_of(ts) >= lo
     return F.coalesce(cond, F.lit(False))

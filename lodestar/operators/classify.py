@@ -17,8 +17,8 @@ from lodestar.functions.replies import (outcome_class, parse_reply, reply_field_
 from lodestar.functions.text import build_prompt, col_of
 
 # --------------------------------------------------------------------------
-# FIXED VALUES (ours): cue words for the rule tier.  Deterministic stand-in
-# for the model's guidance; not claimed to equal any model.
+# Default rules: cue words for the rule tier.  Deterministic stand-in for the
+# model's guidance; not claimed to equal any model.
 # --------------------------------------------------------------------------
 # Whole-word tests use explicit ASCII boundaries so every regex engine agrees.
 _L, _R = r"(^|[^a-z0-9_])(", r")([^a-z0-9_]|$)"
@@ -31,11 +31,14 @@ CONSUMER_CUES = _L + r"consumer|consumers|individuals|personal|app for" + _R
 
 def first_success(replies: DataFrame, key: str = "record_key") -> DataFrame:
     """Per key, the reply of the lowest tier whose outcome is ``ok`` and
-    whose body parses as JSON.  Keys where every tier failed are absent."""
+    whose body parses as JSON.  Keys where every tier failed are absent.  Of
+    several attempts on one tier the first by ``attempt`` (if that column is
+    there), then by body, wins."""
     ok = (outcome_class(F.col("status"), "model") == "ok") & parse_reply(F.col("body")).isNotNull()
     good = replies.where(ok)
+    order = [c for c in ("tier_idx", "attempt", "body") if c in replies.columns]
     return (good.groupBy(key)
-            .agg(F.min_by(F.col("body"), F.col("tier_idx")).alias("reply"),
+            .agg(F.min_by(F.col("body"), F.struct(*order)).alias("reply"),
                  F.min("tier_idx").alias("tier_idx")))
 
 
@@ -60,15 +63,15 @@ def pricing_rules(text) -> Column:
             .otherwise(F.lit("UNKNOWN")))
 
 
-def classification_input(startups: DataFrame, max_chars: int = 6000) -> Column:
-    """X20 + X18: the prompt text each tier would receive, truncated."""
-    return truncate_text(build_prompt(F.col("content.entityName"), F.col("content.description")),
-                         max_chars)
+def classification_input(startups: DataFrame, max_chars: int | None = 6000) -> Column:
+    """X20 + X18: the prompt text each tier would receive, truncated (whole if None)."""
+    prompt = build_prompt(F.col("content.entityName"), F.col("content.description"))
+    return prompt if max_chars is None else truncate_text(prompt, max_chars)
 
 
 def build_products(startups: DataFrame, done: DataFrame | None = None,
                    replies: DataFrame | None = None, limit: int | None = None,
-                   order=("source.url",), use_rules: bool = True) -> DataFrame:
+                   order=("source.url",), use_rules: bool = True, max_chars: int | None = 6000) -> DataFrame:
     """C4: L1 limit -> J2 skip finished urls -> prompt -> C2 (then C3 for
     records no tier answered) -> P2.  ``replies`` are keyed by source url."""
     from lodestar.operators.dedupe import resume_anti
@@ -78,7 +81,7 @@ def build_products(startups: DataFrame, done: DataFrame | None = None,
     s = s.withColumn("record_key", F.col("source.url"))
     if done is not None:
         s = resume_anti(s, done, "record_key", F.col("source.url"))
-    s = s.withColumn("prompt", classification_input(s))
+    s = s.withColumn("prompt", classification_input(s, max_chars))
     if replies is not None:
         fs = first_success(replies).select(
             "record_key", reply_field_enum(parse_reply(F.col("reply"))).alias("__model__"))

@@ -2,9 +2,7 @@
 (W1, W3, W4, S11, J1, J2, A10).
 
 Order-dependent semantics ("first wins") need explicit position columns
-carried from the source operators: they become ``min_by`` / ``row_number``
-orderings.  ``min_by`` per key is a partial aggregate, so a key holding a
-large share of the rows is collapsed map-side before the shuffle.
+carried from the source operators: they become ``row_number`` orderings, cut map-side.
 """
 
 from __future__ import annotations
@@ -12,23 +10,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.operators.keys import spread_null
 from lodestar.operators.records import truthy
 
 
-def _min_by_key(df: DataFrame, key: str, order) -> DataFrame:
-    cols = df.columns
-    return (df.groupBy(key)
-            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
-                          F.struct(*[F.col(c) for c in order])).alias("__r__"))
-            .select(*[F.col(f"__r__.{c}").alias(c) for c in cols]))
-
-
 def first_wins(df: DataFrame, key: str, order) -> DataFrame:
     """Keep the first row per non-null ``key`` by ``order``; rows with a
     null key are never deduped.  Filter invalid rows *before* calling: an
-    invalid row must not claim its key."""
-    kept = _min_by_key(df.where(F.col(key).isNotNull()), key, order)
-    return kept.unionByName(df.where(F.col(key).isNull()))
+    invalid row must not claim its key.
+
+    One pass: a row without a key is a group of its own, and
+    ``row_number() <= 1`` plans as a WindowGroupLimit, so each map task passes
+    on at most one row per key."""
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    w = Window.partitionBy(key, "__alone__").orderBy(*[F.col(c) for c in order])
+    return (df.withColumn("__alone__", alone).withColumn("__rn__", F.row_number().over(w))
+            .where(F.col("__rn__") <= 1).drop("__rn__", "__alone__"))
 
 
 def first_n_per_group(df: DataFrame, group: str, order, n: int) -> DataFrame:
@@ -39,21 +36,25 @@ def first_n_per_group(df: DataFrame, group: str, order, n: int) -> DataFrame:
     return df.withColumn("__rn__", F.row_number().over(w)).where(F.col("__rn__") <= n).drop("__rn__")
 
 
-def cut_pages(items: DataFrame, group: str, page_col: str, pos_col: str, total: int,
+def cut_pages(items: DataFrame, group: str, page_col: str, pos_col: str, total: int | None = None,
               page_sizes: DataFrame | None = None) -> DataFrame:
-    """S11 + W3: pages are read in ``page_col`` order until ``total`` rows or
-    the first empty page; rows after the cut are dropped.
+    """S11 + W3: pages are read in ``page_col`` order until ``total`` rows (all
+    if it is None) or the first empty page; rows after the cut are dropped.
+    The cut by rows comes first: it leaves the same rows, as both follow the
+    page order, and only ``total`` rows a group reach the join.
 
     ``page_sizes`` ``(group, page_col, n)`` lists every fetched page with its
     item count (empty pages have no item rows); when given, pages at or after
     the first empty page are dropped."""
+    if total is not None:
+        items = first_n_per_group(items, group, [F.col(page_col), F.col(pos_col)], total)
     if page_sizes is not None:
         stop = (page_sizes.where(F.col("n") == 0).groupBy(group)
                 .agg(F.min(page_col).alias("__stop__")))
         items = (items.join(stop, group, "left")
                  .where(F.col("__stop__").isNull() | (F.col(page_col) < F.col("__stop__")))
                  .drop("__stop__"))
-    return first_n_per_group(items, group, [F.col(page_col), F.col(pos_col)], total)
+    return items
 
 
 def cross_group_dedupe(df: DataFrame, key: str, order, group: str | None = None,
@@ -78,4 +79,5 @@ def resume_anti(new: DataFrame, done: DataFrame, key: str, done_key=None) -> Dat
     """Rows of ``new`` whose key is not yet in ``done``.  A null key is
     never "done", so such rows are kept (``left_anti`` keeps null keys)."""
     seen = seen_keys(done, done_key if done_key is not None else key)
-    return new.join(seen, F.col(key) == F.col("__k__"), "left_anti")
+    seen = seen.withColumn("__k__", F.col("__k__").cast("string"))
+    return new.join(seen, spread_null(F.col(key), new) == F.col("__k__"), "left_anti")

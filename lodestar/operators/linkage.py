@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.text import bare_id, repo_owner_repo
 from lodestar.operators.filters import is_aggregator
+from lodestar.operators.keys import spread_null
 from lodestar.operators.records import truthy
 
-# A new-style paper id (yymm.number) with an optional version; group 1 is
-# the bare id.
-ARXIV_ID_RE = r"\b(\d{4}\.\d{4,5})(v\d+)?\b"
+# A paper id with an optional version; group 1 is the bare id: new style
+# (yymm.number) or the seven digits of the old style, with or without its archive.
+ARXIV_ID_RE = r"\b(?:[a-z-]+(?:\.[A-Z]{2})?/)?(\d{4}\.\d{4,5}|\d{7})(v\d+)?\b"
 
 
 def extract_refs(repos: DataFrame, text_col: str = "text", id_regex: str = ARXIV_ID_RE,
@@ -54,21 +55,22 @@ def find_links(papers: DataFrame, cands: DataFrame, id_col: str = "arxiv_id", k:
     Candidates ``(ref_id, html_url, full_name, description, stars)`` are keyed
     by the bare (version-less) paper id."""
     links = choose_link(top_candidates(cands, ref_key, k))
-    p = papers.withColumn("__bare__", F.when(truthy(id_col), bare_id(F.col(id_col))))
+    p = papers.withColumn("__bare__", spread_null(F.when(truthy(id_col), bare_id(F.col(id_col))), papers))
     return (p.join(links.withColumnRenamed(ref_key, "__bare__"), "__bare__", "left")
             .drop("__bare__"))
 
 
 def star_lookup(df: DataFrame, repo_dim: DataFrame, url_col: str = "github_url",
                 out: str = "github_stars") -> DataFrame:
-    """Stars of ``owner/repo`` parsed from the url (X13); unknown -> null."""
+    """Stars of ``owner/repo`` parsed from the url (X13); unknown -> null.
+    A repository listed more than once has its largest known star count."""
     owner, repo = repo_owner_repo(F.col(url_col))
-    d = repo_dim.select(F.col("owner").alias("__o__"), F.col("repo").alias("__p__"),
-                        F.col("stargazers_count").cast("bigint").alias(out))
-    base = df.withColumn("__o__", owner).withColumn("__p__", repo)
+    d = (repo_dim.groupBy(F.concat_ws("/", "owner", "repo").alias("__r__"))
+         .agg(F.max(F.col("stargazers_count").cast("bigint")).alias(out)))
+    base = df.withColumn("__r__", spread_null(F.concat(owner, F.lit("/"), repo), df))
     if out in df.columns:
         base = base.drop(out)
-    return base.join(d, ["__o__", "__p__"], "left").drop("__o__", "__p__")
+    return base.join(d, "__r__", "left").drop("__r__")
 
 
 def enrich_papers(papers: DataFrame, cands: DataFrame, repo_dim: DataFrame,
@@ -108,10 +110,10 @@ def overmatch_clear(papers: DataFrame, max_papers: int = 2, url_col: str = "gith
                     stars_col: str = "github_stars") -> DataFrame:
     """Null url and stars on rows whose url is linked to more than
     ``max_papers`` rows (only non-empty urls are counted).  An aggregate and
-    a join, not a window, so the null-url rows never form one partition."""
+    a join, not a window; rows without a url are dealt evenly (``spread_null``)."""
     bad = (papers.where(truthy(url_col)).groupBy(url_col).count()
            .where(F.col("count") > max_papers).select(F.col(url_col).alias("__bad__")))
-    j = papers.join(bad, F.col(url_col) == F.col("__bad__"), "left")
+    j = papers.join(bad, spread_null(F.col(url_col), papers) == F.col("__bad__"), "left")
     hit = F.col("__bad__").isNotNull()
     return (j.withColumn("__overmatched__", hit)
             .withColumn(url_col, F.when(hit, F.lit(None).cast("string")).otherwise(F.col(url_col)))

@@ -46,7 +46,8 @@ def typed_struct(schema, fields: dict) -> Column:
             cols.append(typed_struct(f.dataType, v).alias(f.name))
         else:
             c = F.lit(None) if v is None else v
-            cols.append(c.cast(f.dataType).alias(f.name))
+            # A value of the wrong type becomes null (``validate`` reports it), never an error.
+            cols.append(c.try_cast(f.dataType).alias(f.name))
     return F.struct(*cols)
 
 
@@ -159,13 +160,18 @@ def job_records_b(items: DataFrame, as_of, collected_at=None, keywords=None) ->
     return e.select(*envelope("JOB", JOB_SOURCE_B, F.col("link"), collected_at or as_of, content))
 
 
+def whole_seconds(c: Column) -> Column:
+    """A number in text form without its fraction; other text as it is."""
+    return F.coalesce(c.try_cast("double").try_cast("bigint").cast("string"), c)
+
+
 def job_records_c(items: DataFrame, as_of, collected_at=None, keywords=None) -> DataFrame:
     """JSON ``data[]`` listing -> JOB records; ``is_remote`` from ``remote``."""
     from lodestar.operators.filters import keyword_match
     from lodestar.functions.dates import is_fresh
     e = require(items, "title", "company_name", "url")
     e = e.select("*", array_text("tags", " ").alias("__tags__"),
-                 parse_flexible_date(F.col("created_at").cast("string"), as_of).alias("__date__"))
+                 parse_flexible_date(whole_seconds(F.col("created_at").cast("string")), as_of).alias("__date__"))
     e = e.where(keyword_match([F.col("title"), F.col("__tags__")], keywords))
     e = e.where(is_fresh(F.col("__date__"), as_of))
     content = _job_content(F.col("title"), F.col("company_name"), F.col("__date__"),
@@ -242,9 +248,11 @@ def set_nested(df: DataFrame, path: str, value: Column) -> DataFrame:
 
 
 # ---------------------------------------------------------------- V1
-def validate(df: DataFrame, record_type: str) -> DataFrame:
+def validate(df: DataFrame, record_type: str, raw: dict | None = None) -> DataFrame:
     """V1: add ``violations ARRAY<STRING>`` (empty = valid): envelope fields,
-    required content fields, enum values."""
+    required content fields, enum values, and wrong types: ``raw`` maps content
+    fields (dotted if nested) to columns of ``df`` with the values they were
+    built from, and a value that did not survive the cast is ``:type``."""
     checks = [
         F.when(F.col("schemaVersion").isNull(), F.lit("schemaVersion:missing")),
         F.when(~F.col("recordType").isin(*RECORD_TYPES) | F.col("recordType").isNull(),
@@ -258,11 +266,13 @@ def validate(df: DataFrame, record_type: str) -> DataFrame:
     if record_type == "PRODUCT":
         checks.append(F.when(~F.col("content.pricingModel").isin(*PRICING_MODELS),
                              F.lit("content.pricingModel:enum")))
+    for f, c in (raw or {}).items():
+        checks.append(F.when(truthy(c) & F.col(f"content.{f}").isNull(), F.lit(f"content.{f}:type")))
     return df.withColumn("violations", F.filter(F.array(*checks), lambda x: x.isNotNull()))
 
 
-def split_valid(df: DataFrame, record_type: str):
+def split_valid(df: DataFrame, record_type: str, raw: dict | None = None):
     """V1: (valid rows, quarantine rows with their violation codes)."""
-    v = validate(df, record_type)
+    v = validate(df, record_type, raw)
     return (v.where(F.size("violations") == 0).drop("violations"),
             v.where(F.size("violations") > 0))

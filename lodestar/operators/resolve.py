@@ -7,18 +7,14 @@ Plan shape (per call):
    collapses hot names before the shuffle);
 2. exact lookup: equi join with the seed's normalised forms (``max_by``
    per form implements "last form wins");
-3. fuzzy: the names without an exact hit are paired with seed forms under a
-   lossless cheap predicate (length gap, bounded Levenshtein), scored by the
-   Indel ratio of the token-sorted strings and reduced to the best form per
-   name (``max_by``; ties go to the earliest form);
+3. fuzzy: the names without an exact hit meet the seed forms that share a
+   segment at a possible place (Pass-Join blocking, an equi-join on hashes;
+   see ``_candidate_pairs``), then cheap tests and the Indel ratio of the
+   token-sorted strings keep the best form per name (ties: the earliest form);
 4. the small name -> match map is joined back to every input row.
 
-Pairing uses a broadcast nested-loop join when the seed has at most
-``broadcast_limit`` forms (counted, never assumed).  Beyond that it uses an
-exact equi-join blocking (pigeonhole segments, as in Pass-Join): a form and
-a name within Indel budget ``tau`` share one of ``tau+1`` segments of the
-form at a shifted position, so joining on (lengths, segment index, segment
-text) finds every qualifying pair without broadcasting.
+There is one path for seeds of any size; nothing is counted while the plan is
+built, and AQE decides at runtime whether a side is small enough to broadcast.
 """
 
 from __future__ import annotations
@@ -28,11 +24,10 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import cheap_bound_ok, lcs_length, lcs_length_batched
 from lodestar.functions.text import normalize_name, self_canonical, token_sort
+from lodestar.operators.keys import spread_null
 from lodestar.schemas import FUZZY_THRESHOLD, METHOD_EXACT, METHOD_FUZZY, METHOD_NONE
 from lodestar.sources.seed import seed_forms
 
-DEFAULT_BROADCAST_LIMIT = 20000
-
 
 def exact_lookup(forms: DataFrame) -> DataFrame:
     """J3 table: normalised form -> canonical; if two canonicals share a form
@@ -70,55 +65,53 @@ def _segments(l2: Column, tau: Column):
     return seg
 
 
-def _blocked_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
-    """Exact candidate pairs via segment blocking (no broadcast)."""
-    f = forms.select("seed_order", "form_pos", "canonical", "sorted_norm",
-                     F.length("sorted_norm").alias("l2"))
+def _candidate_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
+    """All (nid, fid) pairs that can reach the threshold, by segment blocking.
+
+    A form is cut into ``tau + 1`` segments for each compatible partner length
+    (``tau``: the edits that the threshold allows at these two lengths).  At
+    most ``tau`` edits leave one segment whole, and in the name it lies within
+    a few places of its own: before segment ``i`` at most ``i`` edits can have
+    happened, after it at most ``tau - i``, and of all edits at most
+    ``(tau + d) / 2`` insert and ``(tau - d) / 2`` delete (``d``: length gap).
+    Rows carry 64-bit hashes of the segment and ids of name and form; a
+    colliding hash only adds a pair, which the exact score rejects."""
+    def hashed(text, l1, l2, i):
+        return F.xxhash64(text, l1, l2, i)
+
+    f = forms.select("fid", "sorted_norm", F.length("sorted_norm").alias("l2"))
     lo, hi = _length_range(F.col("l2"), threshold)
     f = (f.withColumn("l1", F.explode(F.sequence(lo, hi)))
          .where((F.col("l1") >= 0) & _compatible(F.col("l1"), F.col("l2"), threshold))
          .withColumn("tau", _budget(F.col("l1"), F.col("l2"), threshold))
          .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("tau")))))
-    seg = _segments(F.col("l2"), F.col("tau"))
-    s0, sl = seg(F.col("i"))
-    f = f.withColumn("seg", F.substr(F.col("sorted_norm"), s0 + 1, sl)).drop("tau")
+    s0, sl = _segments(F.col("l2"), F.col("tau"))(F.col("i"))
+    f = f.select("fid", hashed(F.substr(F.col("sorted_norm"), s0 + 1, sl), F.col("l1"), F.col("l2"), F.col("i")).alias("seg"))
 
-    kcols = [c for c in names.columns if c not in ("q_sorted",)]
-    q = names.select(*kcols, "q_sorted", F.length("q_sorted").alias("l1"))
+    q = names.select("nid", "q_sorted", F.length("q_sorted").alias("l1"))
     lo, hi = _length_range(F.col("l1"), threshold)
+    # Only lengths that some form has: at most one row per form length.
+    lengths = forms.select(F.length("sorted_norm").alias("l2")).distinct()
     q = (q.withColumn("l2", F.explode(F.sequence(lo, hi)))
          .where((F.col("l2") >= 0) & _compatible(F.col("l1"), F.col("l2"), threshold))
+         .join(lengths, "l2", "left_semi")
          .withColumn("tau", _budget(F.col("l1"), F.col("l2"), threshold))
          .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("tau")))))
-    seg = _segments(F.col("l2"), F.col("tau"))
-    s0, sl = seg(F.col("i"))
+    s0, sl = _segments(F.col("l2"), F.col("tau"))(F.col("i"))
+    gap, i, tau = F.col("l1") - F.col("l2"), F.col("i"), F.col("tau")
+    back = F.greatest(-i, gap - (tau - i), -F.floor((tau - gap) / 2).cast("int"))
+    ahead = F.least(i, gap + (tau - i), F.floor((tau + gap) / 2).cast("int"))
     q = (q.withColumn("s0", s0).withColumn("sl", sl)
-         .withColumn("qlo", F.greatest(F.lit(0), F.col("s0") - F.col("tau")))
-         .withColumn("qhi", F.least(F.col("l1") - F.col("sl"), F.col("s0") + F.col("tau")))
+         .withColumn("qlo", F.greatest(F.lit(0), F.col("s0") + back))
+         .withColumn("qhi", F.least(F.col("l1") - F.col("sl"), F.col("s0") + ahead))
          .where(F.col("qlo") <= F.col("qhi"))
          .withColumn("qpos", F.explode(F.sequence(F.col("qlo"), F.col("qhi"))))
-         .withColumn("seg", F.substr(F.col("q_sorted"), F.col("qpos") + 1, F.col("sl")))
-         .select(*kcols, "q_sorted", "l1", "l2", "i", "seg"))
-    pairs = q.join(f, ["l1", "l2", "i", "seg"], "inner")
-    return (pairs.select(*kcols, "q_sorted", "seed_order", "form_pos", "canonical", "sorted_norm")
-            .dropDuplicates([kcols[0], "seed_order", "form_pos"]))
-
-
-def _broadcast_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
-    """Pairs under the length bound via a broadcast *hash* join: each name is
-    exploded over the form lengths it is compatible with and joined on the
-    exact length, so incompatible pairs are never generated (no nested loop)."""
-    f = forms.select("seed_order", "form_pos", "canonical", "sorted_norm",
-                     F.length("sorted_norm").alias("__l2__"))
-    q = names.withColumn("__l1__", F.length("q_sorted"))
-    lo, hi = _length_range(F.col("__l1__"), threshold)
-    q = (q.withColumn("__l2__", F.explode(F.sequence(lo, hi)))
-         .where(_compatible(F.col("__l1__"), F.col("__l2__"), threshold)))
-    return q.join(F.broadcast(f), "__l2__", "inner").drop("__l1__", "__l2__")
+         .select("nid", hashed(F.substr(F.col("q_sorted"), F.col("qpos") + 1, F.col("sl")),
+                               F.col("l1"), F.col("l2"), F.col("i")).alias("seg")))
+    return q.join(f, "seg").select("nid", "fid").distinct()
 
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
-               mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
                key: str = "norm", lcs_impl: str = "batched") -> DataFrame:
     """For each distinct ``key`` of ``names`` (with its ``norm``) the
     best-scoring seed form, kept only if its token-sort ratio reaches
@@ -134,18 +127,14 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
     # from dropping the exchange as already satisfied by the distinct.
     n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.repartition(n_parts, F.xxhash64(key))
-    if mode == "auto":
-        mode = "broadcast" if forms.count() <= broadcast_limit else "blocked"
-    if mode == "broadcast":
-        pairs = _broadcast_pairs(names, forms, threshold)
-    elif mode == "blocked":
-        pairs = _blocked_pairs(names, forms, threshold)
-    else:
-        raise ValueError(f"unknown mode {mode!r}")
+    names = names.withColumn("nid", F.xxhash64(key))
+    forms = forms.withColumn("fid", F.xxhash64("seed_order", "form_pos"))
+    found = _candidate_pairs(names, forms, threshold)
+    pairs = (found.join(names, "nid")
+             .join(forms.select("fid", "seed_order", "form_pos", "canonical", "sorted_norm"), "fid")
+             .drop("nid", "fid").repartition(n_parts, F.xxhash64(key)))
     # Cheap lossless tests guard the quadratic LCS (CASE keeps the order).
     a, b = F.col("q_sorted"), F.col("sorted_norm")
-    if mode == "blocked":
-        pairs = pairs.repartition(n_parts, F.xxhash64(key))
     pairs = pairs.where(F.when(cheap_bound_ok(a, b, threshold), F.lit(True)).otherwise(F.lit(False)))
     lcs_fn = lcs_length_batched if lcs_impl == "batched" else lcs_length
     scored = (pairs.withColumn("lcs", lcs_fn(a, b))
@@ -163,7 +152,6 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
 
 
 def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOLD,
-              mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
               order_col: str = "seed_idx", key: str = "norm") -> DataFrame:
     """Resolution of names that hit the seed: ``(key, canonical, method,
     confidence)``, exact first, fuzzy for the rest.  ``names`` must hold one
@@ -182,7 +170,7 @@ def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOL
     j = names.join(exact.withColumnRenamed("canonical", "__exact__"), "norm", "left")
     hit = j.where(F.col("__exact__").isNotNull()).withColumnRenamed("__exact__", "canonical")
     rest = j.where(F.col("__exact__").isNull()).drop("__exact__")
-    fuzzy = fuzzy_best(rest, forms, threshold, mode, broadcast_limit, key=key)
+    fuzzy = fuzzy_best(rest, forms, threshold, key=key)
     return (hit.select(key, "canonical", F.lit(METHOD_EXACT).alias("method"),
                        F.lit(100.0).alias("confidence"))
             .unionByName(fuzzy.select(key, "canonical", F.lit(METHOD_FUZZY).alias("method"),
@@ -190,7 +178,6 @@ def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOL
 
 
 def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZY_THRESHOLD,
-            mode: str = "auto", broadcast_limit: int = DEFAULT_BROADCAST_LIMIT,
             order_col: str = "seed_idx", prefix: str = "", materialized: bool = False) -> DataFrame:
     """Add ``canonical_name``, ``method``, ``confidence`` to every row.
 
@@ -203,9 +190,9 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
     per-row cost is one equi join with the resulting name map (AQE picks a
     broadcast at runtime when the map is small, and splits skewed names).
 
-    With ``materialized`` (default) the distinct names and the name map are
-    each written once to the shared checkpoint folder (eager), so the input
-    is not rescanned per plan branch and the lineage is cut.
+    With ``materialized`` (off by default, as it runs jobs while the plan is
+    built) the distinct names and the name map are each checkpointed once, so
+    the input is not rescanned per plan branch and the lineage is cut.
     """
     from lodestar.session import materialize
     raw = df.select(F.col(name_col).alias("__raw__")).where(F.col("__raw__").isNotNull()).distinct()
@@ -218,7 +205,7 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
     raw = raw.withColumn("norm", F.coalesce(normalize_name(F.col("__raw__")), F.lit("")))
     if materialized:
         raw = materialize(raw, "resolve-names")
-    mm = match_map(raw, seed, threshold, mode, broadcast_limit, order_col, key="__raw__")
+    mm = match_map(raw, seed, threshold, order_col, key="__raw__")
     names = (raw.join(mm, "__raw__", "left")
              .select(F.col("__raw__"),
                      F.coalesce(F.col("canonical"), self_canonical(F.col("__raw__"))).alias("__c__"),
@@ -226,7 +213,8 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
                      F.coalesce(F.col("confidence"), F.lit(0.0)).alias("__s__")))
     if materialized:
         names = materialize(names, "resolve-map")
-    out = df.join(names, F.col(name_col) == F.col("__raw__"), "left")
+    names = names.withColumn("__raw__", F.col("__raw__").cast("string"))
+    out = df.join(names, spread_null(F.col(name_col), df) == F.col("__raw__"), "left")
     return (out.withColumn(prefix + "canonical_name", F.col("__c__"))
             .withColumn(prefix + "method", F.coalesce(F.col("__m__"), F.lit(METHOD_NONE)))
             .withColumn(prefix + "confidence", F.coalesce(F.col("__s__"), F.lit(0.0)))

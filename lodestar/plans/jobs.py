@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from lodestar.operators.records import job_records_a, job_records_b, job_records_c
-from lodestar.sources.payloads import JOB_A_FIELDS, JOB_C_ELEMENT, json_data_rows, json_mixed_rows, rss_items
+from lodestar.sources.payloads import JOB_A_FIELDS, JOB_C_FIELDS, json_data_rows, json_mixed_rows, rss_items
 
 
 def jobs_from_sources(list_a: DataFrame | None, feed_b: DataFrame | None, obj_c: DataFrame | None,
@@ -21,7 +21,7 @@ def jobs_from_sources(list_a: DataFrame | None, feed_b: DataFrame | None, obj_c:
     if feed_b is not None:
         parts.append(job_records_b(rss_items(feed_b), as_of, keywords=keywords))
     if obj_c is not None:
-        parts.append(job_records_c(json_data_rows(obj_c, JOB_C_ELEMENT), as_of, keywords=keywords))
+        parts.append(job_records_c(json_data_rows(obj_c, JOB_C_FIELDS), as_of, keywords=keywords))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -17,9 +17,10 @@ from lodestar.sources.payloads import atom_paper_entries
 
 
 def papers_from_feeds(payloads: DataFrame, candidates: DataFrame, repo_dim: DataFrame, collected_at,
-                      total: int = 250, done: DataFrame | None = None,
+                      total: int | None = None, done: DataFrame | None = None,
                       strict_parity: bool = False) -> DataFrame:
-    """``payloads(category, cat_idx, page_start, payload)``; ``candidates``
+    """All papers of all pages; ``total`` cuts each category to its first rows.
+    ``payloads(category, cat_idx, page_start, payload)``; ``candidates``
     ``(ref_id, html_url, full_name, description, stars)``; ``repo_dim``
     ``(owner, repo, stargazers_count)``; ``done`` = the sink (envelope rows)."""
     entries = atom_paper_entries(payloads, keep=["category", "cat_idx", "page_start"])

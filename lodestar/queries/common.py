@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,9 +40,22 @@ def ntz(c):
 
 
 def events_as_of(spark: SparkSession, sf: str):
-    """``as_of`` for the dated fixtures: the latest event time (one scalar)."""
+    """``as_of`` for the dated fixtures: the latest event time.  A value, as
+    callers of the flows pass one (the date parser binds it inside lambdas,
+    where Spark takes no scalar subquery); one column is read for it."""
     v = load(spark, sf, "events").agg(F.max("ts").cast("timestamp_ntz")).first()[0]
-    return v.replace(tzinfo=__import__("datetime").timezone.utc)
+    return v.replace(tzinfo=dt.timezone.utc)
+
+
+def paper_number(n):
+    """A paper id (yymm.number) for any number below ten million."""
+    n = F.col(n) if isinstance(n, str) else n
+    return F.concat((F.lit(2401) + F.floor(n / 100000)).cast("string"), F.lit("."),
+                    F.lpad((n % 100000).cast("string"), 5, "0"))
+
+
+def paper_number_sql(n: str) -> str:
+    return f"((2401 + ({n}) // 100000)::BIGINT::VARCHAR || '.' || lpad((({n}) % 100000)::VARCHAR, 5, '0'))"
 
 
 AS_OF_SQL = "(SELECT max(ts) FROM events)"

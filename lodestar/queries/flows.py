@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lodestar.operators.records import flatten
 from lodestar.plans.papers import papers_from_feeds
 from lodestar.plans.startups import startups_from_tags
-from lodestar.queries.common import events_as_of, load, register
+from lodestar.queries.common import events_as_of, load, paper_number, paper_number_sql, register
 from lodestar.queries.linkage import _CANDS, _OW, _RP, candidates, repo_dim
 from lodestar.queries.records import STARTUPS_SQL, _TAG_SQL, _tag_idx, companies, underscored
 
@@ -29,13 +29,10 @@ def q_startups_flow(spark, sf):
     return underscored(flatten(out, "startups"))
 
 
-PAPERS_TOTAL = 250
-
-
 def paper_feed_pages(spark, sf):
     e = load(spark, sf, "events")
     k = F.col("event_id")
-    aid = F.concat(F.lit("2401."), F.lpad((k % 700).cast("string"), 5, "0"), F.lit("v1"))
+    aid = F.concat(paper_number(F.floor(k / 3).cast("bigint")), F.lit("v1"))  # each paper in up to three feeds
     x = F.concat(F.lit("<entry><id>http://arxiv.org/abs/"), aid, F.lit("</id><title>Paper "), k.cast("string"),
                  F.lit("</title><published>"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
                  F.lit("</published></entry>"))
@@ -50,19 +47,17 @@ def paper_feed_pages(spark, sf):
 
 @register("papers_flow", f"""WITH {_CANDS},
 ev AS (SELECT event_id, event_type AS category, {_TAG_SQL} AS cat_idx, event_id // 100 AS page,
-              '2401.' || lpad((event_id % 700)::VARCHAR, 5, '0') || 'v1' AS arxiv_id FROM events),
-cut AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY page, event_id) rn FROM ev)
-        WHERE rn <= {PAPERS_TOTAL}),
+              {paper_number_sql("event_id // 3")} || 'v1' AS arxiv_id FROM events),
 dd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY arxiv_id ORDER BY cat_idx, page, event_id) r2
-                      FROM cut) WHERE r2 = 1)
+                      FROM ev) WHERE r2 = 1)
 SELECT dd.arxiv_id, 'Paper ' || dd.event_id::VARCHAR AS title, l.github_url, d.stargazers_count AS github_stars
 FROM dd LEFT JOIN links l ON l.ref_id = split_part(dd.arxiv_id, 'v', 1)
 LEFT JOIN dim d ON d.owner = {_OW} AND d.repo = {_RP}""")
 def q_papers_flow(spark, sf):
-    """S8 -> P3/F1 -> S11/W3 (250 per category) -> W4 -> J8: paper feeds per
-    category, cut, deduped across categories, linked and starred."""
+    """S8 -> P3/F1 -> S11 -> W4 -> J8: all pages of the paper feeds per
+    category, deduped across categories, linked and starred."""
     out = papers_from_feeds(paper_feed_pages(spark, sf), candidates(spark, sf), repo_dim(spark, sf),
-                            events_as_of(spark, sf), total=PAPERS_TOTAL)
+                            events_as_of(spark, sf))
     return out.select(F.col("content.arxiv_id").alias("arxiv_id"), F.col("content.title").alias("title"),
                       F.col("content.github_url").alias("github_url"),
                       F.col("content.github_stars").alias("github_stars"))

@@ -173,4 +173,4 @@ def q_stream_funnel(spark, sf):
     """T4: per-batch, per-source funnel counts written by the stream."""
     base = _gated(spark, sf)
     f = spark.read.parquet(f"{base}/funnel")
-    return f.select("batch_id", "event_type", *[F.col(c).cast("bigint") for c in ("total", "kept", "stale", "undated")])
+    return f.select(F.col("batch_id").cast("bigint").alias("batch_id"), "event_type", *[F.col(c).cast("bigint") for c in ("total", "kept", "stale", "undated")])

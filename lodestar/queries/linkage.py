@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import linkage as L
 from lodestar.operators import profile as A
-from lodestar.queries.common import load, register
+from lodestar.queries.common import load, paper_number, paper_number_sql, register
 from lodestar.queries.records import _REPO_DESC_SQL, _REPO_NAME_SQL, _agg_sql, _repo_cols
 
 
 def _pid(c):
-    return F.concat(F.lit("2401."), F.lpad(c.cast("string"), 5, "0"))
+    return paper_number(c)
 
 
 def papers(spark, sf):
@@ -41,7 +41,7 @@ def repo_dim(spark, sf):
             .groupBy("owner", "repo").agg(F.max("stargazers_count").alias("stargazers_count")))
 
 
-_PID = "'2401.' || lpad({x}::VARCHAR, 5, '0')"
+_PID = paper_number_sql("{x}")
 _CANDS = f"""cands AS (
   SELECT o_orderkey, {_REPO_NAME_SQL} AS full_name, {_REPO_DESC_SQL} AS description,
     CASE WHEN o_orderkey % 97 = 0 THEN '' ELSE 'https://github.com/' || {_REPO_NAME_SQL} END AS html_url,

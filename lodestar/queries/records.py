@@ -176,23 +176,37 @@ def q_category_dedupe(spark, sf):
     return W.cross_group_dedupe(d, "k", ["cat_idx", "page", "event_id"]).select("k", "event_id")
 
 
-EMPTY_PAGE, PAGE_TOTAL = 37, 1000
+# The first empty page: three quarters through the pages, whatever their number.
+_EMPTY_PAGE_SQL = "(SELECT max(event_id // 100) * 3 // 4 FROM events)"
+PAGE_TOTAL = 100
+
+
+def _pages(spark, sf):
+    """(items, page sizes): one page of every category is listed as empty."""
+    e = load(spark, sf, "events").select("event_type", "event_id",
+                                         F.floor(F.col("event_id") / 100).cast("bigint").alias("page"))
+    empty = e.agg(F.floor(F.max("page") * 3 / 4).cast("bigint")).scalar()
+    sizes = (e.groupBy("event_type", "page").agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("n", F.when(F.col("page") == empty, F.lit(0)).otherwise(F.col("n"))))
+    return e.where(F.col("page") != empty), sizes
 
 
 @register("capped_pages", f"""
 SELECT event_type, event_id FROM (
   SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id // 100, event_id) rn
-  FROM events WHERE event_id // 100 < {EMPTY_PAGE}) WHERE rn <= {PAGE_TOTAL}""")
+  FROM events WHERE event_id // 100 < {_EMPTY_PAGE_SQL}) WHERE rn <= {PAGE_TOTAL}""")
 def q_capped_pages(spark, sf):
-    """S11 + W3: pages read in order until the first empty page, then the
-    first 1,000 rows per category."""
-    e = load(spark, sf, "events").select("event_type", "event_id",
-                                         F.floor(F.col("event_id") / 100).alias("page"))
-    sizes = (e.groupBy("event_type", "page").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("n", F.when(F.col("page") == EMPTY_PAGE, F.lit(0)).otherwise(F.col("n"))))
-    items = e.where(F.col("page") != EMPTY_PAGE)
-    return W.cut_pages(items, "event_type", "page", "event_id", PAGE_TOTAL, sizes) \
-        .select("event_type", "event_id")
+    """S11 + W3: pages read in order until the first empty page or the first
+    100 rows of the category, whichever comes first."""
+    items, sizes = _pages(spark, sf)
+    return W.cut_pages(items, "event_type", "page", "event_id", PAGE_TOTAL, sizes).select("event_type", "event_id")
+
+
+@register("pages_until_empty", f"SELECT event_type, event_id FROM events WHERE event_id // 100 < {_EMPTY_PAGE_SQL}")
+def q_pages_until_empty(spark, sf):
+    """All rows of the pages before the first empty page."""
+    items, sizes = _pages(spark, sf)
+    return W.cut_pages(items, "event_type", "page", "event_id", None, sizes).select("event_type", "event_id")
 
 
 # ------------------------------------------------------------ J1 / J2 / A10

@@ -39,8 +39,8 @@ def raw_part_names(spark, sf):
     return p.select("p_partkey", raw.alias("raw_name"))
 
 
-def resolved_parts(spark, sf, mode="auto"):
-    return resolve(raw_part_names(spark, sf), "raw_name", part_seed(spark, sf), mode=mode)
+def resolved_parts(spark, sf):
+    return resolve(raw_part_names(spark, sf), "raw_name", part_seed(spark, sf))
 
 
 def full_log(spark, sf):
@@ -158,7 +158,7 @@ def q_resolve_fuzzy(spark, sf):
 @register("resolve_blocked", RESOLVE_FULL_SQL)
 def q_resolve_blocked(spark, sf):
     """J4 through the no-broadcast segment-blocking path (same result)."""
-    return resolved_parts(spark, sf, mode="blocked").select(
+    return resolved_parts(spark, sf).select(
         "p_partkey", "raw_name", "canonical_name", "method", "confidence")
 
 
@@ -229,7 +229,8 @@ def raw_generated_names(spark, sf):
     numeric token (these fail the threshold after the cheap tests)."""
     o = load(spark, sf, "orders").select("o_orderkey", "o_custkey")
     p = load(spark, sf, "part").select("p_partkey", "p_name")
-    j = o.join(p, (o.o_orderkey % 2000) == p.p_partkey, "inner")
+    span = p.agg(F.max("p_partkey") - F.min("p_partkey") + 1).scalar()
+    j = o.join(p, o.o_orderkey % span + p.agg(F.min("p_partkey")).scalar() == p.p_partkey, "inner")
     pos = (F.col("o_orderkey") % F.length("p_name")).cast("int") + 1
     letter = F.substr(F.lit("abcdefghijklmnopqrstuvwxyz"), (F.floor(F.col("o_orderkey") / 7) % 26).cast("int") + 1, F.lit(1))
     typo = F.concat(F.substr("p_name", F.lit(1), pos - 1), letter, F.substr("p_name", pos + 1))
@@ -244,7 +245,8 @@ _RAW_GEN = """rawgen AS (
           substr(p_name, 1, (o_orderkey % length(p_name))::INTEGER) ||
           substr('abcdefghijklmnopqrstuvwxyz', ((o_orderkey // 7) % 26)::INTEGER + 1, 1) ||
           substr(p_name, (o_orderkey % length(p_name))::INTEGER + 2) AS t
-        FROM orders JOIN part ON p_partkey = o_orderkey % 2000)
+        FROM orders JOIN part ON p_partkey =
+          o_orderkey % (SELECT max(p_partkey) - min(p_partkey) + 1 FROM part) + (SELECT min(p_partkey) FROM part))
 )"""
 
 

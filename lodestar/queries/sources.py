@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestar.operators import records as P
 from lodestar.operators.records import flatten
-from lodestar.queries.common import AS_OF_SQL, events_as_of, load, ntz, register
+from lodestar.queries.common import AS_OF_SQL, events_as_of, load, ntz, paper_number, paper_number_sql, register
 from lodestar.queries.records import underscored
 from lodestar.sources import payloads as S
 
@@ -108,7 +108,7 @@ def jobs(spark, sf):
     pa, pb, pc = job_payloads(spark, sf)
     ra = P.job_records_a(S.json_mixed_rows(pa, S.JOB_A_FIELDS, keep=["page"]), as_of)
     rb = P.job_records_b(S.rss_items(pb, keep=["page"]), as_of)
-    rc = P.job_records_c(S.json_data_rows(pc, S.JOB_C_ELEMENT, keep=["page"]), as_of)
+    rc = P.job_records_c(S.json_data_rows(pc, S.JOB_C_FIELDS, keep=["page"]), as_of)
     return ra.unionByName(rb).unionByName(rc)
 
 
@@ -150,7 +150,7 @@ def q_json_mixed_list(spark, sf):
 def q_json_data_source(spark, sf):
     """``{"data": [...]}`` payloads -> rows."""
     _, _, pc = job_payloads(spark, sf)
-    return S.json_data_rows(pc, S.JOB_C_ELEMENT, keep=["page"]).select("url", "remote")
+    return S.json_data_rows(pc, S.JOB_C_FIELDS, keep=["page"]).select("url", "remote")
 
 
 @register("rss_jobs_source", "SELECT 'co' || user_id::VARCHAR || ': ' || " + _JOB_TITLE_SQL +
@@ -214,11 +214,14 @@ def q_rss_source(spark, sf):
 
 
 # ---------------------------------------------------------------- papers
+_PAPER = paper_number_sql("event_id")
+
+
 def paper_payloads(spark, sf):
     e = _ev(spark, sf)
     k = F.col("event_id")
     x = F.concat(
-        F.lit("<entry><id>http://arxiv.org/abs/2401."), F.lpad(k.cast("string"), 5, "0"), F.lit("v1</id><title>  Paper\n  "),
+        F.lit("<entry><id>http://arxiv.org/abs/"), paper_number(k), F.lit("v1</id><title>  Paper\n  "),
         F.col("event_type"), F.lit("   "), k.cast("string"), F.lit("</title><summary>"),
         F.when(k % 4 == 0, F.lit("  ")).otherwise(F.concat(F.lit("About\n"), F.col("event_type"))),
         F.lit("</summary><published>"),
@@ -232,12 +235,12 @@ def paper_payloads(spark, sf):
 
 @register("atom_source", f"""
 SELECT '1.0' AS schemaVersion, 'RESEARCH_PAPER' AS recordType, 'arXiv' AS source_name,
-  'http://arxiv.org/abs/2401.' || lpad(event_id::VARCHAR, 5, '0') || 'v1' AS source_url,
+  'http://arxiv.org/abs/' || {_PAPER} || 'v1' AS source_url,
   'Paper ' || event_type || ' ' || event_id::VARCHAR AS content_title, 'A' || user_id::VARCHAR AS content_authors,
-  'http://arxiv.org/abs/2401.' || lpad(event_id::VARCHAR, 5, '0') || 'v1' AS content_paper_url,
+  'http://arxiv.org/abs/' || {_PAPER} || 'v1' AS content_paper_url,
   NULL::VARCHAR AS content_github_url, NULL::BIGINT AS content_github_stars,
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS content_published_date,
-  '2401.' || lpad(event_id::VARCHAR, 5, '0') || 'v1' AS content_arxiv_id, {AS_OF_SQL} AS collectedAt
+  {_PAPER} || 'v1' AS content_arxiv_id, {AS_OF_SQL} AS collectedAt
 FROM events""")
 def q_atom_source(spark, sf):
     """S8 + P3: Atom paper feeds -> RESEARCH_PAPER records (titles
@@ -248,7 +251,7 @@ def q_atom_source(spark, sf):
     return p.withColumn("content_published_date", ntz("content_published_date"))
 
 
-@register("paper_abstracts", "SELECT '2401.' || lpad(event_id::VARCHAR, 5, '0') || 'v1' AS arxiv_id, "
+@register("paper_abstracts", f"SELECT {_PAPER} || 'v1' AS arxiv_id, "
           "CASE WHEN event_id % 4 = 0 THEN NULL ELSE 'About ' || event_type END AS abstract, "
           "array_to_string(['cs.AI', event_type], ' ') AS categories FROM events")
 def q_paper_abstracts(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", master):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="lodestar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
@@ -68,11 +69,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few helpers that check existence."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -81,14 +77,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def env_cpus(default: int = 8) -> int:
-    return int(os.environ.get("BENCH_CPUS", default))
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder (any scheme); none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as a table in the shared checkpoint folder and read
-    it back: later plans reuse the result instead of recomputing it, and the
-    lineage is cut (an executor loss re-reads the files, not the history)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def materialize(df, name: str = ""):
+    """Write ``df`` once to the shared checkpoint folder: later plans reuse the
+    result instead of recomputing it, and the lineage is cut (an executor loss
+    re-reads the files, not the history).  Spark removes the files when the
+    frame is no longer referenced (``cleanCheckpoints``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.operators.records import FLAT_COLUMNS, flatten
-from lodestar.session import path_exists
+from lodestar.session import list_names, path_exists
+from lodestar.sources.files import read_jsonl
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
@@ -21,9 +24,8 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 def publish(spark: SparkSession, sink_path: str, schema: T.StructType, final_path: str) -> str:
     """K3: the sink (all runs, resumed ones included) is the source of truth;
-    copy it to the final location."""
-    df = spark.read.schema(schema).json(sink_path)
-    return write_jsonl(df, final_path)
+    copy it to the final location.  A malformed line fails the job (S1)."""
+    return write_jsonl(read_jsonl(spark, sink_path, schema, missing_ok=False), final_path)
 
 
 def csv_ready(df: DataFrame) -> DataFrame:
@@ -61,12 +63,14 @@ def export_tables(tables: dict, out_dir: str) -> dict:
 
 
 def next_version(spark: SparkSession, base: str) -> tuple[str | None, str]:
-    """K6: (current version path or None, next version path) under ``base``."""
-    n = 0
-    while path_exists(spark, f"{base.rstrip('/')}/v{n:06d}"):
-        n += 1
-    cur = f"{base.rstrip('/')}/v{n - 1:06d}" if n else None
-    return cur, f"{base.rstrip('/')}/v{n:06d}"
+    """K6: (current version path or None, next version path) under ``base``.
+    A version is current only if its write has finished (``_SUCCESS``); the
+    next number is above every folder there is, so what a crashed write left
+    is neither read nor written to."""
+    base = base.rstrip("/")
+    found = sorted(int(n[1:]) for n in list_names(spark, base) if re.fullmatch(r"v\d{6}", n))
+    done = [n for n in found if path_exists(spark, f"{base}/v{n:06d}/_SUCCESS")]
+    return (f"{base}/v{done[-1]:06d}" if done else None), f"{base}/v{(found[-1] + 1 if found else 0):06d}"
 
 
 def rewrite_versioned(spark: SparkSession, base: str, schema: T.StructType, transform) -> str:
@@ -74,6 +78,6 @@ def rewrite_versioned(spark: SparkSession, base: str, schema: T.StructType, tran
     read the current version, apply ``transform``, write the next version.
     The previous version stays as the backup."""
     cur, nxt = next_version(spark, base)
-    df = spark.read.schema(schema).json(cur) if cur else spark.createDataFrame([], schema)
+    df = read_jsonl(spark, cur, schema) if cur else spark.createDataFrame([], schema)
     write_jsonl(transform(df), nxt)
     return nxt

@@ -21,26 +21,24 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType,
                         with_rejects: bool = False):
-    """Resume scan that skips malformed lines.
+    """Resume scan that skips lines which are not JSON objects; blank lines
+    do not count.  Which lines are rows does not depend on the columns that
+    are selected: a field of another type is null and its line stays.
 
-    With ``with_rejects`` returns ``(good, rejected_count_df)`` using
-    PERMISSIVE mode and the ``_corrupt_record`` column."""
+    With ``with_rejects`` returns ``(good, rejected_count_df)``."""
     if not path_exists(spark, path):
         empty = spark.createDataFrame([], schema)
         return (empty, spark.range(1).select(F.lit(0).cast("bigint").alias("rejected"))) \
             if with_rejects else empty
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    doc = F.try_parse_json("value")
+    is_object = F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
+    good = (lines.where(is_object).select(doc.alias("__v__"))
+            .select(*[F.try_variant_get("__v__", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                      for f in schema.fields]))
     if not with_rejects:
-        return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    s = T.StructType(list(schema.fields) + [T.StructField("_corrupt_record", T.StringType())])
-    df = spark.read.schema(s).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    # Spark refuses scans that reference only the corrupt-record column, so
-    # the count also touches the first data column (always-true test).
-    f0 = F.coalesce(F.col(schema.fields[0].name).cast("string"), F.lit(""))
-    rej = df.agg(F.count_if(F.col("_corrupt_record").isNotNull() & (f0 != F.lit("\u0000")))
-                 .cast("bigint").alias("rejected"))
-    return good, rej
+        return good
+    return good, lines.agg(F.count_if(~is_object).cast("bigint").alias("rejected"))
 
 
 def prefer_nonempty(first: DataFrame, second: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ A payload that does not parse yields no rows (never a failed job).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Element schemas of the landed payloads.
@@ -20,10 +20,10 @@ COMPANY_ELEMENT = ("id BIGINT, name STRING, url STRING, one_liner STRING, "
 JOB_A_FIELDS = {"id": "string", "position": "string", "title": "string", "company": "string",
                 "url": "string", "description": "string", "location": "string",
                 "tags": "array<string>", "date": "string", "epoch": "bigint"}
-JOB_C_ELEMENT = ("title STRING, company_name STRING, url STRING, description STRING, "
-                 "location STRING, tags ARRAY<STRING>, created_at BIGINT, remote BOOLEAN")
+JOB_C_FIELDS = {"title": "string", "company_name": "string", "url": "string", "description": "string",
+                "location": "string", "tags": "array<string>", "created_at": "string", "remote": "boolean"}
 RSS_ITEM = "title STRING, link STRING, description STRING, pubDate STRING"
-NEWS_RSS_ITEM = ("title STRING, link STRING, description STRING, summary STRING, "
+NEWS_RSS_ITEM = ("title STRING, link STRING, `atom:link` ARRAY<STRUCT<_href: STRING>>, description STRING, summary STRING, "
                  "`content:encoded` STRING, pubDate STRING, published STRING, updated STRING, "
                  "`dc:date` STRING")
 NEWS_ATOM_ENTRY = ("title STRING, link ARRAY<STRUCT<_href: STRING, _rel: STRING>>, "
@@ -54,12 +54,17 @@ def json_mixed_rows(payloads: DataFrame, fields: dict, key: str = "id",
     return e.select(*keep, "pos", *cols)
 
 
-def json_data_rows(payloads: DataFrame, element_ddl: str, payload_col: str = "payload",
+def json_data_rows(payloads: DataFrame, fields: dict, payload_col: str = "payload",
                    keep=()) -> DataFrame:
-    """JSON object with a ``data`` array -> rows; other shapes -> none."""
-    obj = F.from_json(F.col(payload_col), f"struct<data: array<struct<{element_ddl}>>>")
-    return (payloads.select(*[F.col(k) for k in keep], F.posexplode(obj["data"]).alias("pos", "__e__"))
-            .select(*keep, "pos", "__e__.*"))
+    """JSON object with a ``data`` array -> rows; other shapes -> none.
+    Each field is read by itself: a value of another type is converted if it
+    can be (a number as text, 1 as true) and null otherwise, and never takes
+    other fields or the element with it."""
+    obj = F.from_json(F.col(payload_col), "struct<data: array<variant>>")
+    e = payloads.select(*[F.col(k) for k in keep], F.posexplode(obj["data"]).alias("pos", "__v__"))
+    e = e.where(F.try_variant_get(F.col("__v__"), "$", "map<string,variant>").isNotNull())
+    cols = [F.try_variant_get(F.col("__v__"), f"$.{name}", t).alias(name) for name, t in fields.items()]
+    return e.select(*keep, "pos", *cols)
 
 
 def atom_paper_entries(payloads: DataFrame, payload_col: str = "payload", keep=()) -> DataFrame:
@@ -83,25 +88,41 @@ def rss_items(payloads: DataFrame, payload_col: str = "payload", item_ddl: str =
             .select(*keep, "pos", "__e__.*"))
 
 
+# Element names of (X)HTML text markup; feeds have none of them as structure.
+TEXT_MARKUP = ("a|abbr|b|blockquote|br|code|dd|del|div|dl|dt|em|figure|h[1-6]|hr|i|img|ins|li|ol|p|pre|q|s|small|"
+               "span|strong|sub|sup|table|tbody|td|th|thead|tr|tt|u|ul")
+
+
+def inline_text(payload) -> Column:
+    """XML with inline markup elements opened up, so that an element's text is
+    the joined text of its children.  Works on the tags of the document:
+    escaped markup and CDATA sections stay as they are."""
+    parts = F.split(payload, r"(?=<!\[CDATA\[)|(?<=\]\]>)", -1)
+    tag = rf"</?(?:\w+:)?(?:{TEXT_MARKUP})(?:\s[^<>]*)?/?>"
+    opened = F.transform(parts, lambda x: F.when(x.startswith("<![CDATA["), x).otherwise(F.regexp_replace(x, tag, "")))
+    return F.array_join(opened, "")
+
+
 def feed_items(payloads: DataFrame, payload_col: str = "payload", keep=()) -> DataFrame:
     """S10 + U3: one parse with both RSS items and Atom entries; each is
     projected to ``(kind, pos, title, link, summary, date_raw)`` and the two
     are concatenated (RSS first), as one array per payload.
 
-    Field fallbacks (P5): link = text or the Atom ``href``; summary =
+    Field fallbacks (P5): link = text or the Atom ``href`` (``atom:link`` in
+    RSS); summary =
     description / summary / content:encoded; date = pubDate / published /
     updated / dc:date (first non-empty)."""
     from lodestar.functions.text import first_nonempty, ustrip
     schema = (f"channel STRUCT<item: ARRAY<STRUCT<{NEWS_RSS_ITEM}>>>, "
               f"entry ARRAY<STRUCT<{NEWS_ATOM_ENTRY}>>")
-    doc = F.from_xml(F.col(payload_col), schema)
+    doc = F.from_xml(inline_text(F.col(payload_col)), schema)
 
     def clean(c):
         return F.nullif(ustrip(c), F.lit(""))
 
     rss = F.transform(F.coalesce(doc["channel"]["item"], F.array()), lambda i: F.struct(
         F.lit("rss").alias("kind"), clean(i["title"]).alias("title"),
-        clean(i["link"]).alias("link"),
+        first_nonempty(clean(i["link"]), clean(F.get(i["atom:link"], 0)["_href"])).alias("link"),
         first_nonempty(clean(i["description"]), clean(i["summary"]),
                        clean(i["content:encoded"])).alias("summary"),
         first_nonempty(clean(i["pubDate"]), clean(i["published"]), clean(i["updated"]),

@@ -39,18 +39,37 @@ def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet
     q.awaitTermination()
 
 
-def dedupe_into(spark: SparkSession, sink: str, key: str, order, schema: T.StructType):
+def batch_path(base: str, batch_id: int) -> str:
+    """``foreachBatch`` is at-least-once: each batch owns one partition of the
+    output and overwrites it, so a retried batch replaces what it wrote."""
+    return f"{base.rstrip('/')}/batch_id={batch_id}"
+
+
+def dedupe_into(spark: SparkSession, sink: str, key: str, order, schema: T.StructType, buckets: int = 64):
     """T2 (exact, unbounded): a ``foreachBatch`` function that keeps the first
-    row per key inside the batch (by ``order``), drops keys already in the
-    sink (anti join against the sink's key column, column-pruned) and
-    appends the rest.  The anti join reads every sink key per batch; for
-    very large sinks prefer :func:`dedupe_stateful`."""
+    row per key inside the batch (by ``order``), drops keys that earlier
+    batches have put into the sink, and writes the rest.
+
+    The keys of the sink are kept next to it (``<sink>_keys``), partitioned by
+    a hash of the key: a batch reads the partitions of its own keys only.
+    Rows with a null key are never duplicates."""
+    keys = f"{sink.rstrip('/')}_keys"
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    key_type = next(f.dataType for f in schema.fields if f.name == key)
+    key_schema = T.StructType([T.StructField(key, key_type), T.StructField("batch", T.LongType()),
+                               T.StructField("bucket", T.IntegerType())])
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = first_wins(batch, key, order)
-        if path_exists(spark, sink):
-            done = spark.read.schema(schema).parquet(sink).select(key).distinct()
+        if path_exists(spark, keys):
+            used = [r[0] for r in batch.select(at.alias("bucket")).distinct().collect()]  # at most ``buckets``
+            done = (spark.read.schema(key_schema).parquet(keys)
+                    .where(F.col("bucket").isin(used) & (F.col("batch") != batch_id)).select(key))
             b = b.join(done, key, "left_anti")
-        b.write.mode("append").parquet(sink)
+        b.write.mode("overwrite").parquet(batch_path(sink, batch_id))
+        new = spark.read.schema(batch.schema).parquet(batch_path(sink, batch_id)).where(F.col(key).isNotNull())
+        (new.select(key, F.lit(batch_id).cast("long").alias("batch"), at.alias("bucket"))
+         .write.mode("append").partitionBy("bucket").parquet(keys))
     return fn
 
 
@@ -73,23 +92,23 @@ def fresh_gate(spark: SparkSession, kept: str, rejected: str, funnel: str, date_
                as_of, hours: int = 24, group: str | None = None):
     """T3 + T4: a ``foreachBatch`` function that parses the raw date, keeps
     fresh rows, sends late/undated rows to a side table with a reason, and
-    appends one funnel row per batch (and group)."""
+    writes one funnel row per batch (and group).  Each output has a partition
+    per batch (``batch_id``), which a retried batch overwrites."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         b = batch.withColumn("__ts__", parse_flexible_date(F.col(date_col), as_of))
         b = b.withColumn("__fresh__", is_fresh(F.col("__ts__"), as_of, hours))
         b.persist()
         try:
-            b.where(F.col("__fresh__")).drop("__fresh__").write.mode("append").parquet(kept)
+            b.where(F.col("__fresh__")).drop("__fresh__").write.mode("overwrite").parquet(batch_path(kept, batch_id))
             (b.where(~F.col("__fresh__"))
              .withColumn("reason", F.when(F.col("__ts__").isNull(), F.lit("undated")).otherwise(F.lit("stale")))
-             .drop("__fresh__").write.mode("append").parquet(rejected))
+             .drop("__fresh__").write.mode("overwrite").parquet(batch_path(rejected, batch_id)))
             keys = [group] if group else []
             (b.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"),
                                   F.count_if(F.col("__fresh__")).alias("kept"),
                                   F.count_if(~F.col("__fresh__") & F.col("__ts__").isNotNull()).alias("stale"),
                                   F.count_if(F.col("__ts__").isNull()).alias("undated"))
-             .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-             .write.mode("append").parquet(funnel))
+             .write.mode("overwrite").parquet(batch_path(funnel, batch_id)))
         finally:
             b.unpersist()
     return fn
