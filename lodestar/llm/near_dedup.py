@@ -11,13 +11,13 @@ of ``ROWS`` values make the candidates: a pair with J = 0.85 shares no band
 with probability ``(1 - J**ROWS) ** BANDS``, below 1e-6.
 
 Scale.  Documents with equal sets (a 128-bit digest) are one node, so copies
-never meet each other.  In a bucket (one key of one band) not all pairs are
-made: first every node is tested against the one bucket minimum it shares most
-bands with, and components are formed.  Buckets whose nodes are still in more
-than one component go on: their next 8, 64, 512, ... nodes in hash order are
-tested against the later nodes *of other components* only, until every bucket
-is done.  No candidate pair is dropped: it is tested, or both nodes are in one
-component already.  Links are confirmed on the full sets of both texts.
+never meet each other.  In a bucket (one key of one band) no pairs are emitted:
+first every node is tested against the one bucket minimum it shares most bands
+with, and components are formed.  Buckets whose nodes are still in more than
+one component are dealt into blocks of about ``BLOCK`` nodes, every two blocks
+of a bucket meet in one task, and that task returns only the links that join
+components.  No candidate is dropped: it is tested, or both nodes are in one
+component already.  All tests are exact, on the full sets of both texts.
 
 Texts of candidate nodes are read again by their digest, behind a bitmap of
 fixed size (``FILTER_BITS``) that keeps most other texts from being shuffled.
@@ -53,7 +53,7 @@ HASHES = 90
 ROWS = 6
 BANDS = 2 * HASHES // ROWS
 FILTER_BITS = 1 << 23
-FIRST_TESTS = 8
+BLOCK = 256
 _RNG = np.random.default_rng(5)
 _XOR = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -175,28 +175,101 @@ def wanted_texts(shared):
     return run
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= LEAST * (len(x) + len(y) - both)
+
+
+class Sets:
+    """Full sets of packed texts, the last few kept."""
+
+    def __init__(self, keep: int = 1024):
+        self.zstd, self.held, self.keep = zstandard.ZstdDecompressor(), OrderedDict(), keep
+
+    def of(self, node: bytes, packed: bytes) -> np.ndarray:
+        if node not in self.held:
+            self.held[node] = shingle_sets([self.zstd.decompress(packed).split(b" ")])[0]
+            if len(self.held) > self.keep:
+                self.held.popitem(last=False)
+        self.held.move_to_end(node)
+        return self.held[node]
+
+
 def linked(batches):
     """(a, b, words_a, words_b) -> (a, b) of the pairs whose full sets agree."""
-    z, held = zstandard.ZstdDecompressor(), OrderedDict()
+    sets = Sets()
+    for batch in batches:
+        rows = zip(*(c.to_pylist() for c in batch.columns))
+        ok = [(a, b) for a, b, wa, wb in rows if similar(sets.of(a, wa), sets.of(b, wb))]
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in ok], pa.binary()), pa.array([b for _, b in ok], pa.binary())],
+                                         ["a", "b"])
+
+
+def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of 0/1 matrices over the
+    shingles that occur more than once, some columns at a time."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    flat = np.concatenate(sets)
+    _, column, times = np.unique(flat, return_inverse=True, return_counts=True)
+    often = times[column] > 1
+    column, owner = column[often], owner[often]
+    column = np.unique(column, return_inverse=True)[1] if len(column) else column
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for a in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        i, j = np.searchsorted(column, (a, a + 2048))
+        m = np.zeros((len(sets), 2048), np.float32)
+        m[owner[i:j], column[i:j] - a] = 1
+        out += m @ m.T
+    return out.astype(np.int64)
+
+
+def links_of_block(nodes: list[bytes], roots: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+    """Links between components: as many as it takes to join what is linked."""
+    size = np.array([len(x) for x in sets])
+    both = shared_sizes(sets)
+    ok = 100 * both >= LEAST * (size[:, None] + size[None, :] - both)
+    parent = {r: r for r in roots}
+
+    def find(r):
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    out = []
+    for i, j in np.argwhere(np.triu(ok, 1)).tolist():
+        x, y = find(roots[i]), find(roots[j])
+        if x != y:
+            parent[x] = y
+            out.append((nodes[i], nodes[j]))
+    return out
+
+
+def block_links(batches):
+    """Rows (key, lo, hi, node, root, words) sorted by the first three, which
+    name a block -> links (a, b); at most two blocks' rows are held."""
+    sets = Sets()
+    group, nodes, roots, full = None, [], [], []
 
-    def full_set(node, packed):
-        if node not in held:
-            held[node] = shingle_sets([z.decompress(packed).split(b" ")])[0]
-            if len(held) > 256:
-                held.popitem(last=False)
-        held.move_to_end(node)
-        return held[node]
+    def flush():
+        return links_of_block(nodes, roots, full) if len(set(roots)) > 1 else []
 
     for batch in batches:
-        a, b, wa, wb = (c.to_pylist() for c in batch.columns)
-        ok = []
-        for k in range(len(a)):
-            x, y = full_set(a[k], wa[k]), full_set(b[k], wb[k])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= LEAST * (len(x) + len(y) - both):
-                ok.append(k)
-        yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in ok], pa.binary()), pa.array([b[k] for k in ok], pa.binary())],
+        out = []
+        for key, lo, hi, node, root, words in zip(*(c.to_pylist() for c in batch.columns)):
+            if (key, lo, hi) != group:
+                out += flush()
+                group, nodes, roots, full = (key, lo, hi), [], [], []
+            nodes.append(node)
+            roots.append(root)
+            full.append(sets.of(node, words))
+        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())],
                                          ["a", "b"])
+    out = flush()
+    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())],
+                                     ["a", "b"])
 
 
 def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -211,8 +284,8 @@ def find_components(nodes: DataFrame, docs_text: DataFrame) -> DataFrame:
     """(node, root) for linked nodes; ``nodes`` has node, n, text_key, bands."""
     spark = nodes.sparkSession
     buckets = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    order = F.struct(F.xxhash64("node").alias("h"), "node")
-    heads = (buckets.groupBy("key").agg(F.min(order).getField("node").alias("head"), F.count(F.lit(1)).alias("size"))
+    # Nodes are digests, so their order is a random one.
+    heads = (buckets.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size"))
              .where("size > 1").select("key", "head"))
     members = cut(buckets.join(heads, "key"))  # nodes that share a bucket, with its minimum
     wanted = cut(members.select("node").distinct().join(nodes.select("node", "text_key"), "node"))
@@ -227,29 +300,21 @@ def find_components(nodes: DataFrame, docs_text: DataFrame) -> DataFrame:
     links = confirm(best.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), texts)
     roots = components(links)
 
-    left, tests = members.select("key", "node", "n"), FIRST_TESTS
-    while True:
-        r = roots.select(F.col("node").alias("linked"), "root")
-        open_ = (left.join(r, left["node"] == r["linked"], "left")
-                 .select("key", "node", "n", F.coalesce("root", "node").alias("root"), order.alias("at")))
-        mixed_keys = open_.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-        open_ = cut(open_.join(mixed_keys, "key", "left_semi"))
-        if not open_.take(1):
-            return roots
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("at"))
-        first = cut(open_.withColumn("rank", rank).where(F.col("rank") <= tests)
-                    .select(F.col("key").alias("p_key"), F.col("node").alias("p"), F.col("n").alias("p_n"),
-                            F.col("root").alias("p_root"), F.col("at").alias("p_at"), "rank"))
-        alike = 100 * F.least("n", "p_n") >= LEAST * F.greatest("n", "p_n")
-        pairs = (open_.join(first, open_["key"] == first["p_key"])
-                 .where((F.col("at") > F.col("p_at")) & (F.col("root") != F.col("p_root")) & alike)
-                 .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct())
-        links = confirm(pairs, texts)
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
-        last = first.where(F.col("rank") == tests).select("p_key", "p_at")
-        left = (open_.join(last, open_["key"] == last["p_key"]).where(F.col("at") > F.col("p_at"))
-                .select("key", "node", "n"))
-        tests *= 8
+    # Buckets that still hold more than one component: all their nodes, in blocks.
+    r = roots.select(F.col("node").alias("linked"), "root")
+    left = (members.join(r, members["node"] == r["linked"], "left")
+            .select("key", "node", F.coalesce("root", "node").alias("root")))
+    still = (left.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"))
+             .where("r0 <> r1").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    mine, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("other")
+    placed = (left.join(still, "key")
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("mine", mine)
+              .select("key", F.least("mine", other).alias("lo"), F.greatest("mine", other).alias("hi"), "node", "root"))
+    group = ["key", "lo", "hi"]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    more = cut(placed.join(texts, "node").select(*group, "node", "root", "words").repartition(n, *group)
+               .sortWithinPartitions(*group).mapInArrow(block_links, "a binary, b binary"))
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
 def near_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -92,7 +92,8 @@ def brute(rows):
     return [(d, len(sets[i]), least.get(find(i))) for i, (d, _) in enumerate(rows)]
 
 
-def test_near_groups_match_brute_force(spark):
+def test_near_groups_match_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 16)
     random.seed(11)
     words = [f"w{i}" for i in range(400)]
     base = [random.choices(words, k=n) for n in (6, 30, 60, 120)]
