@@ -50,7 +50,7 @@ END = OWN + CLASSES
 SYMBOLS = OWN + CLASSES + 1
 DICTIONARY = 200_000
 STATES = 8
-STEPS = 6
+STEPS = 5
 SMOOTH = 0.05
 COUNTED = 300_000       # words counted in a task before they are passed on
 GROUP = 400_000         # tokens that advance together
@@ -186,52 +186,62 @@ def rare_words(batches):
 
 
 class Group:
-    """Sequences of similar length that advance together, the longest first."""
+    """Sequences of similar length that advance together, the longest first.
+
+    Tokens lie step by step (all first tokens, all second ones, ...), and the
+    active sequences of a step are a prefix, so every step works on slices."""
 
     def __init__(self, seqs: list[np.ndarray]):
-        self.lengths = np.array([len(s) for s in seqs])
-        self.flat = np.concatenate(seqs).astype(np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        self.active = np.searchsorted(-self.lengths, -np.arange(self.lengths[0]), side="left")
+        lengths = np.array([len(s) for s in seqs])
+        self.active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
+        self.offsets = np.concatenate([[0], np.cumsum(self.active)])
+        doc = np.repeat(np.arange(len(seqs)), lengths)
+        step = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = self.offsets[step] + doc
+        self.symbols = np.empty(len(doc), np.int64)
+        self.symbols[place] = np.concatenate(seqs)
+        self.doc = np.empty(len(doc), np.int64)
+        self.doc[place] = doc
+
+    def slices(self):
+        return list(zip(self.offsets.tolist(), self.active.tolist()))
 
     def forward(self, start, move, emit_t, keep: bool):
         """Natural log-likelihood of each sequence; with ``keep`` also the scaled
-        forward vectors and scales of every place."""
-        alphas = np.empty((len(self.flat), len(start))) if keep else None
-        scales = np.empty(len(self.flat))
+        forward vectors, the emissions and the scales of every place."""
+        out = emit_t[self.symbols]
+        alphas = np.empty_like(out) if keep else None
+        scales = np.empty(len(out), out.dtype)
+        ones = np.ones(len(start), out.dtype)
         v = None
-        for t, a in enumerate(self.active.tolist()):
-            place = self.starts[:a] + t
-            v = (np.broadcast_to(start, (a, len(start))) if t == 0 else v[:a] @ move) * emit_t[self.flat[place]]
-            s = v.sum(1)
-            v = v / s[:, None]
-            scales[place] = s
+        for o, a in self.slices():
+            v = np.multiply(start if v is None else v[:a] @ move, out[o:o + a])
+            s = v @ ones
+            v /= s[:, None]
+            scales[o:o + a] = s
             if keep:
-                alphas[place] = v
-        logs = np.add.reduceat(np.log(scales), self.starts)
-        return logs, alphas, scales
+                alphas[o:o + a] = v
+        logs = np.bincount(self.doc, np.log(scales.astype(np.float64)))
+        return logs, alphas, out, scales
 
     def expect(self, start, move, emit_t):
         """Log-likelihood and expected counts: first states, moves, symbols."""
-        logs, gamma, scales = self.forward(start, move, emit_t, True)
-        moves = np.zeros_like(move)
-        beta = np.ones((int(self.active[-1]), len(start)))
-        for t in range(len(self.active) - 1, 0, -1):
-            a = int(self.active[t])
-            if a > len(beta):
-                beta = np.concatenate([beta, np.ones((a - len(beta), len(start)))])
-            place = self.starts[:a] + t
-            alpha = gamma[place - 1]
-            ahead = beta * emit_t[self.flat[place]] / scales[place][:, None]
-            moves += alpha.T @ ahead
-            gamma[place] *= beta
-            beta = ahead @ move.T
-        a = int(self.active[0])
-        if a > len(beta):
-            beta = np.concatenate([beta, np.ones((a - len(beta), len(start)))])
-        gamma[self.starts] *= beta
-        symbols = np.stack([np.bincount(self.flat, gamma[:, s], SYMBOLS) for s in range(len(start))], axis=1)
-        return logs.sum(), gamma[self.starts].sum(0), moves * move, symbols
+        logs, gamma, out, scales = self.forward(start, move, emit_t, True)
+        moves = np.zeros(move.shape)
+        back = np.ascontiguousarray(move.T)
+        steps = self.slices()
+        beta = np.ones((steps[-1][1], len(start)), out.dtype)
+        for (p, n), (o, a) in zip(reversed(steps[:-1]), reversed(steps[1:])):
+            ahead = out[o:o + a]
+            ahead *= beta
+            ahead /= scales[o:o + a, None]
+            moves += gamma[p:p + a].T @ ahead
+            gamma[o:o + a] *= beta
+            beta = np.ones((n, len(start)), out.dtype)
+            np.matmul(ahead, back, out=beta[:a])
+        gamma[:len(beta)] *= beta
+        symbols = np.stack([np.bincount(self.symbols, gamma[:, s], SYMBOLS) for s in range(len(start))], axis=1)
+        return logs.sum(), gamma[:len(beta)].sum(0), moves * move, symbols
 
 
 def groups(packed: list[bytes]):
@@ -268,7 +278,7 @@ def expected_counts(shared):
     """E step of one task: (symbol, e0, e1, ...) rows.  Symbols from SYMBOLS on
     hold the moves out of each state, then the first states, then log-likelihood."""
     def run(batches):
-        start, move, emit = shared.value
+        start, move, emit = (x.astype(np.float32) for x in shared.value)
         emit_t = np.ascontiguousarray(emit.T)
         total = np.zeros((SYMBOLS + STATES + 2, STATES))
         for held in held_batches(batches, 0, 1):
