@@ -81,12 +81,12 @@ def collapse_space(c) -> Column:
     return F.trim(F.regexp_replace(col_of(c), r"(?U)" + WS + "+", " "))
 
 
-def cut_text(c, n: int = 2000) -> Column:
-    """Cut to ``n`` characters; empty result -> null."""
-    return F.nullif(F.left(col_of(c), F.lit(n)), F.lit(""))
+def cut_text(c, n: int | None = 2000) -> Column:
+    """Cut to ``n`` characters (None: whole); empty result -> null."""
+    return F.nullif(col_of(c) if n is None else F.left(col_of(c), F.lit(n)), F.lit(""))
 
 
-def strip_markup(c, n: int = 2000) -> Column:
+def strip_markup(c, n: int | None = 2000) -> Column:
     """Remove ``<...>`` tags, cut to ``n`` characters, empty -> null."""
     return cut_text(F.regexp_replace(F.coalesce(col_of(c), F.lit("")), r"<[^>]+>", ""), n)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.dates import as_of_lit, epoch_year, parse_flexible_date, strict_iso_ts
 from lodestar.functions.text import (array_text, col_of, collapse_space, cut_text, drop_empty,
                                      first_nonempty, split_title, strip_markup, url_tail, ustrip)
-from lodestar.schemas import (CONTENT_BY_TYPE, JOB_SOURCE_A, JOB_SOURCE_B, JOB_SOURCE_C,
+from lodestar.schemas import (CONTENT_BY_TYPE, FLAT_COLUMNS, JOB_SOURCE_A, JOB_SOURCE_B, JOB_SOURCE_C,
                               PAPER_SOURCE_NAME, PRICING_MODELS, RECORD_TYPES, REQUIRED_CONTENT,
                               SCHEMA_VERSION, STARTUP_SOURCE_NAME)
 
@@ -130,7 +130,7 @@ def job_flags_a(items: DataFrame, as_of) -> DataFrame:
                             as_of).alias("__date__"))
 
 
-def job_records_a(items: DataFrame, as_of, collected_at=None, keywords=None) -> DataFrame:
+def job_records_a(items: DataFrame, as_of, collected_at=None, keywords=None, max_chars: int | None = 2000) -> DataFrame:
     """Remote-only JSON listing -> JOB records (keyword + freshness gated)."""
     from lodestar.operators.filters import keyword_match
     from lodestar.functions.dates import is_fresh
@@ -140,11 +140,11 @@ def job_records_a(items: DataFrame, as_of, collected_at=None, keywords=None) ->
     e = e.where(is_fresh(F.col("__date__"), as_of))
     content = _job_content(F.col("__title__"), F.col("company"), F.col("__date__"), F.lit(True),
                            F.coalesce(F.nullif(F.col("location"), F.lit("")), F.lit("Remote")),
-                           F.col("url"), cut_text(F.coalesce(F.col("description"), F.lit(""))))
+                           F.col("url"), cut_text(F.coalesce(F.col("description"), F.lit("")), max_chars))
     return e.select(*envelope("JOB", JOB_SOURCE_A, F.col("url"), collected_at or as_of, content))
 
 
-def job_records_b(items: DataFrame, as_of, collected_at=None, keywords=None) -> DataFrame:
+def job_records_b(items: DataFrame, as_of, collected_at=None, keywords=None, max_chars: int | None = 2000) -> DataFrame:
     """RSS items ``(title, link, description, pubDate)`` -> JOB records.
     Titles read ``Company: Title``; the description has its markup stripped."""
     from lodestar.operators.filters import keyword_match
@@ -156,7 +156,7 @@ def job_records_b(items: DataFrame, as_of, collected_at=None, keywords=None) ->
     e = e.where(keyword_match([F.col("__t__")], keywords))
     e = e.where(is_fresh(F.col("__date__"), as_of))
     content = _job_content(F.col("__t__"), F.col("__company__"), F.col("__date__"), F.lit(True),
-                           F.lit("Remote"), F.col("link"), strip_markup(F.col("description")))
+                           F.lit("Remote"), F.col("link"), strip_markup(F.col("description"), max_chars))
     return e.select(*envelope("JOB", JOB_SOURCE_B, F.col("link"), collected_at or as_of, content))
 
 
@@ -165,7 +165,7 @@ def whole_seconds(c: Column) -> Column:
     return F.coalesce(c.try_cast("double").try_cast("bigint").cast("string"), c)
 
 
-def job_records_c(items: DataFrame, as_of, collected_at=None, keywords=None) -> DataFrame:
+def job_records_c(items: DataFrame, as_of, collected_at=None, keywords=None, max_chars: int | None = 2000) -> DataFrame:
     """JSON ``data[]`` listing -> JOB records; ``is_remote`` from ``remote``."""
     from lodestar.operators.filters import keyword_match
     from lodestar.functions.dates import is_fresh
@@ -177,7 +177,7 @@ def job_records_c(items: DataFrame, as_of, collected_at=None, keywords=None) ->
     content = _job_content(F.col("title"), F.col("company_name"), F.col("__date__"),
                            F.coalesce(F.col("remote"), F.lit(False)),
                            F.coalesce(F.nullif(F.col("location"), F.lit("")), F.lit("Not specified")),
-                           F.col("url"), cut_text(F.coalesce(F.col("description"), F.lit(""))))
+                           F.col("url"), cut_text(F.coalesce(F.col("description"), F.lit("")), max_chars))
     return e.select(*envelope("JOB", JOB_SOURCE_C, F.col("url"), collected_at or as_of, content))
 
 
@@ -193,14 +193,14 @@ def news_flags(items: DataFrame, as_of) -> DataFrame:
         parse_news_date(F.col("date_raw"), as_of).alias("__date__"))
 
 
-def news_records(items: DataFrame, as_of, collected_at=None) -> DataFrame:
+def news_records(items: DataFrame, as_of, collected_at=None, max_chars: int | None = 2000) -> DataFrame:
     """P5: feed items (``source_name``, ``title``, ``link``, ``summary``,
     ``date_raw``) -> NEWS records, keeping fresh, dated items only."""
     from lodestar.functions.dates import is_fresh
     e = require(news_flags(items, as_of), "__title__", "__link__")
     e = e.where(is_fresh(F.col("__date__"), as_of))
     content = content_struct("NEWS", title=F.col("__title__"),
-                             summary=cut_text(F.coalesce(F.col("__summary__"), F.lit(""))),
+                             summary=cut_text(F.coalesce(F.col("__summary__"), F.lit("")), max_chars),
                              published_date=F.col("__date__"), article_url=F.col("__link__"),
                              entities_mentioned=F.array().cast("array<string>"))
     return e.select(*envelope("NEWS", F.col("source_name"), F.col("__link__"),
@@ -208,26 +208,6 @@ def news_records(items: DataFrame, as_of, collected_at=None) -> DataFrame:
 
 
 # ---------------------------------------------------------------- P7 / P8
-FLAT_COLUMNS = {
-    "startups": ["schemaVersion", "recordType", "source.name", "source.url",
-                 "content.entityName", "content.rawName", "content.description",
-                 "content.website", "content.data.employeeCount", "content.data.foundedYear",
-                 "content.data.hq", "content.data.industry", "collectedAt"],
-    "products": ["schemaVersion", "recordType", "source.name", "source.url",
-                 "content.startupName", "content.rawStartupName", "content.productName",
-                 "content.pricingModel", "content.description", "content.website", "collectedAt"],
-    "research_papers": ["schemaVersion", "recordType", "source.name", "source.url",
-                        "content.title", "content.authors", "content.paper_url",
-                        "content.github_url", "content.github_stars", "content.published_date",
-                        "content.arxiv_id", "collectedAt"],
-    "jobs": ["schemaVersion", "recordType", "source.name", "source.url", "content.title",
-             "content.company", "content.date", "content.is_remote", "content.role_family",
-             "content.location", "content.job_url", "collectedAt"],
-    "news": ["schemaVersion", "recordType", "source.name", "source.url", "content.title",
-             "content.summary", "content.published_date", "content.article_url", "collectedAt"],
-    "entity_mapping_log": ["entityType", "rawName", "canonicalName", "method", "confidence",
-                           "sourceUrl"],
-}
 
 
 def flatten(df: DataFrame, table: str) -> DataFrame:

@@ -9,8 +9,10 @@ from pyspark.sql import types as T
 
 from lodestar import sinks as K
 from lodestar import streaming as ST
+from lodestar.operators import records as P
 from lodestar.operators.records import flatten
-from lodestar.queries.common import AS_OF_SQL, events_as_of, load, ntz, register
+from lodestar.queries import sources as _sources  # noqa: F401 - registers the records that are exported
+from lodestar.queries.common import AS_OF_SQL, ORACLES, QUERIES, events_as_of, load, ntz, register
 from lodestar.queries.records import STARTUPS_SQL, startups, underscored
 from lodestar.queries.resolution import _LOG_SQL, full_log
 from lodestar.schemas import MAPPING_LOG, envelope_schema
@@ -174,3 +176,67 @@ def q_stream_funnel(spark, sf):
     base = _gated(spark, sf)
     f = spark.read.parquet(f"{base}/funnel")
     return f.select(F.col("batch_id").cast("bigint").alias("batch_id"), "event_type", *[F.col(c).cast("bigint") for c in ("total", "kept", "stale", "undated")])
+
+
+# ------------------------------------------------- K5: every table, every column
+def _export_query(name: str, source: str):
+    @register(name, ORACLES[source])
+    def q(spark, sf):
+        flat = QUERIES[source](spark, sf)
+        path = K.write_csv(flat, scratch_path(spark, name))
+        return (spark.read.schema(flat.schema).option("header", True).option("escape", '"').option("multiLine", True)
+                .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+                .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    q.__doc__ = f"K4 + K5: the rows of {source} through a CSV export, all columns read back."
+
+
+for _table, _source in (("startups", "startup_records"), ("products", "product_records"), ("jobs", "job_records"),
+                        ("news", "news_records"), ("papers", "atom_source")):
+    _export_query(f"export_{_table}", _source)
+
+
+@register("csv_odd_values", r"""
+SELECT event_id, event_type || ' "q", ' || chr(10) || ' l2' AS quoted, event_id % 3 = 0 AS flag,
+  CASE WHEN event_id % 4 = 0 THEN NULL ELSE '  ' || user_id::VARCHAR || ' ' END AS spaced FROM events""")
+def q_csv_odd_values(spark, sf):
+    """K4: quotes, commas, line ends, booleans, outer blanks and nulls survive."""
+    e = load(spark, sf, "events")
+    k = F.col("event_id")
+    odd = e.select(k, F.concat("event_type", F.lit(' "q", \n l2')).alias("quoted"), (k % 3 == 0).alias("flag"),
+                   F.when(k % 4 != 0, F.concat(F.lit("  "), F.col("user_id").cast("string"), F.lit(" "))).alias("spaced"))
+    path = K.write_csv(odd, scratch_path(spark, "odd"))
+    return (spark.read.schema(odd.schema).option("header", True).option("escape", '"').option("multiLine", True)
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+@register("required_file", "SELECT c_custkey, c_name FROM customer")
+def q_required_file(spark, sf):
+    """S3: a required JSONL file, read strictly."""
+    path = K.write_jsonl(load(spark, sf, "customer").select("c_custkey", "c_name"), scratch_path(spark, "required"))
+    return FS.read_jsonl(spark, path, _CUST_SCHEMA, missing_ok=False)
+
+
+@register("stream_retry", f"""SELECT event_id, date_trunc('second', ts) AS ts FROM events
+WHERE event_id % 2 = 0 AND date_trunc('second', ts) >= {AS_OF_SQL} - INTERVAL 24 HOUR""")
+def q_stream_retry(spark, sf):
+    """The same batch delivered twice leaves its rows once."""
+    base, drops = _two_drops(spark, sf)
+    fn = ST.fresh_gate(spark, f"{base}/kept", f"{base}/rej", f"{base}/funnel", "ts", events_as_of(spark, sf))
+    for _ in range(2):
+        fn(drops[0], 0)
+    return spark.read.parquet(f"{base}/kept").select("event_id", ntz("__ts__").alias("ts"))
+
+
+@register("validate_types", """
+SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_size END::BIGINT AS size,
+  CASE WHEN p_partkey % 7 = 0 THEN 'content.data.employeeCount:type' ELSE '' END AS violations FROM part""")
+def q_validate_types(spark, sf):
+    """V1: a value of the wrong type is a violation, not a failed job."""
+    p = load(spark, sf, "part")
+    raw = F.when(F.col("p_partkey") % 7 == 0, F.lit("many")).otherwise(F.col("p_size").cast("string"))
+    content = P.content_struct("STARTUP", entityName=F.col("p_name"), data={"employeeCount": F.col("raw_size")})
+    env = p.withColumn("raw_size", raw).select(
+        "p_partkey", "raw_size", *P.envelope("STARTUP", "part", F.lit("u"), F.lit("2026-01-01").cast("timestamp"), content))
+    v = P.validate(env, "STARTUP", raw={"data.employeeCount": "raw_size"})
+    return v.select("p_partkey", F.col("content.data.employeeCount").alias("size"),
+                    F.array_join("violations", ",").alias("violations"))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.operators.records import FLAT_COLUMNS, flatten
+from lodestar.operators.records import flatten
+from lodestar.schemas import FLAT_COLUMNS
 from lodestar.session import list_names, path_exists
 from lodestar.sources.files import read_jsonl
 
@@ -18,7 +19,8 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     ``mode="append"`` adds one finished unit per call (visible once complete:
     the job commit publishes all files of the unit at once)."""
     (df.write.mode(mode).option("ignoreNullFields", False)
-     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(path))
+     .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))
     return path
 
 
@@ -49,6 +51,7 @@ def write_csv(df: DataFrame, path: str, columns=None, mode: str = "overwrite") -
      .option("emptyValue", "").option("nullValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
      .csv(path))
     return path
 
