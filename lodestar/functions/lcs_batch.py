@@ -1,87 +1,34 @@
-"""Vectorised LCS length for Arrow batches of string pairs.
-
-Used by the fuzzy resolution step when many candidate pairs survive the
-lossless pre-tests (near-duplicate seeds): one numpy pass per batch instead
-of an interpreted per-pair dynamic program.
-
-Pairs whose shorter side fits in 64 characters use the bit-parallel LCS
-recurrence of Crochemore, Iliopoulos, Pinzon and Reid (2001): with ``V``
-all ones and ``M[c]`` the bit mask of the positions of ``c`` in ``a``, for
-each character ``c`` of ``b``: ``U = V & M[c]; V = (V + U) | (V - U)``; the
-LCS length is the number of zero bits of ``V`` among the low ``len(a)``
-bits.  Longer pairs use a row-by-row DP vectorised over the batch.
+"""LCS lengths for Arrow batches of string pairs.
+
+The bit-parallel recurrence of Crochemore, Iliopoulos, Pinzon and Reid (2001)
+on integers of any length: with ``V`` all ones and ``M[c]`` the bit mask of the
+places of ``c`` in ``a``, for each character ``c`` of ``b``:
+``U = V & M[c]; V = (V + U) | (V - U)``; the length is the number of zero bits
+among the low ``len(a)`` bits of ``V``.  A character of ``b`` costs
+``len(a) / 64`` word operations, and a pair needs memory for its masks only.
 """
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 
-_WORD = 64
-
-
-def _codes(strings, width: int, pad: int) -> np.ndarray:
-    """Code points of each string, padded with ``pad`` to ``width``."""
-    out = np.full((len(strings), max(width, 1)), pad, dtype=np.int64)
-    for i, s in enumerate(strings):
-        if s:
-            cp = np.frombuffer(s.encode("utf-32-le"), dtype="<u4")
-            out[i, :len(cp)] = cp
-    return out
-
-
-def _lcs_bitparallel(a: list, b: list, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
-    n = len(a)
-    wa = int(la.max()) if n else 0
-    wb = int(lb.max()) if n else 0
-    A = _codes(a, _WORD, -1)[:, :_WORD]
-    B = _codes(b, wb, -2)
-    V = np.full(n, np.uint64(0xFFFFFFFFFFFFFFFF), dtype=np.uint64)
-    for j in range(wb):
-        eq = A == B[:, j:j + 1]
-        M = np.packbits(eq, axis=1, bitorder="little").view("<u8").ravel()
-        U = V & M
-        nv = (V + U) | (V - U)
-        V = np.where(j < lb, nv, V)
-    low = np.where(la >= _WORD, np.uint64(0xFFFFFFFFFFFFFFFF),
-                   (np.uint64(1) << la.astype(np.uint64)) - np.uint64(1))
-    del wa
-    return np.bitwise_count(~V & low).astype(np.int64)
-
 
-def _lcs_dp(a: list, b: list, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
-    n = len(a)
-    wa, wb = int(la.max()), int(lb.max())
-    A = _codes(a, wa, -1)
-    B = _codes(b, wb, -2)
-    prev = np.zeros((n, wb + 1), dtype=np.int32)
-    for i in range(wa):
-        cur = np.zeros_like(prev)
-        ai = A[:, i:i + 1]
-        match = (ai == B)
-        for j in range(1, wb + 1):
-            cur[:, j] = np.where(match[:, j - 1], prev[:, j - 1] + 1, np.maximum(prev[:, j], cur[:, j - 1]))
-        prev = cur
-    return prev[np.arange(n), lb].astype(np.int64)
+def lcs_length(a: str, b: str) -> int:
+    if len(a) > len(b):
+        a, b = b, a
+    places: dict[str, int] = {}
+    bit = 1
+    for c in a:
+        places[c] = places.get(c, 0) | bit
+        bit <<= 1
+    full = v = bit - 1
+    for c in b:
+        if m := places.get(c):
+            u = v & m
+            v = ((v + u) | (v - u)) & full
+    return len(a) - v.bit_count()
 
 
 def lcs_lengths(a: pd.Series, b: pd.Series) -> pd.Series:
     """LCS length per pair (nulls count as empty strings)."""
-    a = a.fillna("").tolist()
-    b = b.fillna("").tolist()
-    la = np.fromiter((len(x) for x in a), dtype=np.int64, count=len(a))
-    lb = np.fromiter((len(x) for x in b), dtype=np.int64, count=len(b))
-    # Put the shorter string of each pair on the bit side.
-    swap = la > lb
-    a2 = [y if s else x for x, y, s in zip(a, b, swap)]
-    b2 = [x if s else y for x, y, s in zip(a, b, swap)]
-    la2, lb2 = np.where(swap, lb, la), np.where(swap, la, lb)
-    out = np.zeros(len(a), dtype=np.int64)
-    short = la2 <= _WORD
-    if short.any():
-        idx = np.flatnonzero(short)
-        out[idx] = _lcs_bitparallel([a2[i] for i in idx], [b2[i] for i in idx], la2[idx], lb2[idx])
-    if (~short).any():
-        idx = np.flatnonzero(~short)
-        out[idx] = _lcs_dp([a2[i] for i in idx], [b2[i] for i in idx], la2[idx], lb2[idx])
-    return pd.Series(out)
+    return pd.Series([lcs_length(x, y) for x, y in zip(a.fillna(""), b.fillna(""))], dtype="int64")

@@ -85,10 +85,10 @@ _LCS_UDF = None
 
 
 def lcs_length_batched(a, b) -> Column:
-    """LCS length via an Arrow-batched pandas UDF (numpy bit-parallel LCS,
+    """LCS length via an Arrow-batched pandas UDF (bit-parallel, any length;
     see ``lcs_batch``).  Same values as :func:`lcs_length`; far cheaper when
     many pairs need an exact score.  The helper module is pickled by value,
-    so executors need only numpy/pandas, not this package."""
+    so executors need only pandas, not this package."""
     global _LCS_UDF
     if _LCS_UDF is None:
         from pyspark import cloudpickle

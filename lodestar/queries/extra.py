@@ -54,7 +54,7 @@ FROM (SELECT c_custkey, length(sa) + length(sb) AS t, {Q.lcs('sa', 'sb')} AS l F
 def q_similarity_scores(spark, sf):
     """X16 + X17: token-sort Indel ratio and the exact >= 90 test per pair."""
     p = _name_pairs(spark, sf).select("c_custkey", SIM.token_sort("a").alias("sa"), SIM.token_sort("b").alias("sb"))
-    p = p.withColumn("lcs", SIM.lcs_length("sa", "sb"))
+    p = p.withColumn("lcs", SIM.lcs_length_batched("sa", "sb"))
     return p.select("c_custkey", "lcs", SIM.indel_ratio("sa", "sb", F.col("lcs")).alias("ratio"),
                     SIM.passes_threshold("sa", "sb", 90, F.col("lcs")).alias("passes"))
 
