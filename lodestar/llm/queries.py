@@ -47,7 +47,29 @@ def op2_mixing(spark, sf):
     return mix_report(table(spark, sf, "documents").select("doc_id", "text", "source"))
 
 
-@register("op10_chat_format")
+@register("op10_chat_format", r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+n AS (SELECT *, row_number() OVER w - 1 AS pos, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS size,
+        23 + length(role) + 1 + length(regexp_replace(text,
+          '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|/?s>|/?INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g')) AS chars
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+a AS (SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY pos) - size AS ahead FROM n),
+sys AS (SELECT conv_id, size AS s, chars AS sys_chars FROM n WHERE pos = 0 AND role = 'system'),
+t AS (SELECT a.*, coalesce(sys_chars, 0) AS sys_chars, greatest(512 - 128 - coalesce(s, 0), 128) AS stride
+      FROM a LEFT JOIN sys USING (conv_id)),
+w AS (SELECT *, 2 * (ahead // stride) + CASE WHEN ahead // stride = (ahead + size - 1) // stride THEN 0 ELSE 1 END AS win FROM t),
+spans AS (SELECT conv_id, win, min(pos) AS from_pos, min(ahead) AS from_at, max(sys_chars) AS sys_chars
+          FROM w GROUP BY conv_id, win HAVING min(pos) > 0),
+more AS (SELECT conv_id, sum(chars) AS chars FROM (
+           SELECT s.conv_id, t.chars FROM spans s JOIN t ON t.conv_id = s.conv_id AND t.ahead < s.from_at
+             AND t.ahead >= s.from_at - 128 AND (t.pos > 0 OR t.role <> 'system')
+           UNION ALL SELECT conv_id, sys_chars FROM spans) GROUP BY conv_id)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(t.chars) + coalesce(max(more.chars), 0) AS BIGINT) AS formatted_chars
+FROM t LEFT JOIN more USING (conv_id) GROUP BY conv_id""")
 def op10_chat_format(spark, sf):
     probe = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
