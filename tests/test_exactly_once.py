@@ -106,3 +106,17 @@ def test_feed_text_with_inline_markup_and_atom_link(spark):
     got = {r.link: (r.title, r.summary) for r in payloads.feed_items(df).collect()}
     assert got["http://x/1"] == ("A bold t", "<p>kept</p>")
     assert got["http://x/2"][0] == "<i>esc</i>" and got["http://x/3"][0] == "Less: more"
+
+
+def test_export_prefers_resolved_records_that_are_there(spark, tmp_path, as_of):
+    from lodestar.plans.export import export_all
+
+    def startups(name):
+        df = spark.createDataFrame([(name,)], "name string")
+        content = records.content_struct("STARTUP", entityName=F.col("name"))
+        return df.select(*records.envelope("STARTUP", "s", F.lit("u"), as_of, content))
+
+    for resolved, want in ((startups("resolved"), "resolved"), (startups("x").where("false"), "raw"), (None, "raw")):
+        out = export_all({"startups": resolved}, str(tmp_path / want / str(resolved is None)), {"startups": startups("raw")})
+        got = spark.read.option("header", True).csv(out["startups"]).collect()
+        assert [r["content.entityName"] for r in got] == [want]
