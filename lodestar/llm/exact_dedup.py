@@ -106,15 +106,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Losers of heavy groups are dropped map-side, before any whole row is
     shuffled.  Rows equal in id and text but not in other columns are ordered
     by a hash of the whole row, so reruns agree."""
-    d, r, n = fresh(docs, "digest", "row_hash", "no_id")
+    d, r, n, wd, w = fresh(docs, "digest", "row_hash", "nth", "w_digest", "w")
     wide = (docs.withColumn(d, digest(F.col(text_col)))
             .withColumn(r, F.xxhash64(*[F.col(c) for c in docs.columns]) if docs.columns else F.lit(0)))
     keys = cut(wide.select(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(r).alias("row"),
                            F.col(d).alias("digest")))
     won = F.broadcast(winners(keys, ["no_id", "id", "row"], counters)
-                      .select(F.col("digest").alias("w_digest"), "w"))
-    same = F.col(d) == F.col("w_digest")
-    heavy = (wide.join(won, same).where(F.col("w.id").eqNullSafe(F.col(id_col)) & (F.col("w.row") == F.col(r)))
+                      .select(F.col("digest").alias(wd), F.col("w").alias(w)))
+    same = F.col(d) == F.col(wd)
+    heavy = (wide.join(won, same).where(F.col(f"{w}.id").eqNullSafe(F.col(id_col)) & (F.col(f"{w}.row") == F.col(r)))
              .select(*docs.columns).dropDuplicates())
     first = Window.partitionBy(d).orderBy(F.col(id_col).asc_nulls_last(), r)
     rest = (wide.join(won, same, "left_anti").withColumn(n, F.row_number().over(first))

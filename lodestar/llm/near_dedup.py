@@ -351,9 +351,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of ``docs`` that stay, one per component, with the columns of ``docs``."""
     r = near_rows(docs, id_col, text_col)
     stay = r.where(F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash")))
-    h, n = fresh(docs, "row_hash", "nth")
+    h, n, stay_id, stay_hash = fresh(docs, "row_hash", "nth", "stay_id", "stay_hash")
     wide = docs.withColumn(h, F.xxhash64(F.col(text_col)))
-    stay = stay.select(F.col("id").alias("stay_id"), F.col("row_hash").alias("stay_hash")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("stay_id")) & (F.col(h) == F.col("stay_hash"))
+    stay = stay.select(F.col("id").alias(stay_id), F.col("row_hash").alias(stay_hash)).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(stay_id)) & (F.col(h) == F.col(stay_hash))
     nth = F.row_number().over(Window.partitionBy(id_col, h).orderBy(F.lit(0)))
     return wide.join(stay, same, "left_semi").withColumn(n, nth).where(F.col(n) == 1).select(*docs.columns)

@@ -17,7 +17,7 @@ ODD = [
     (10, "Привет мир <|endoftext|> it's 42 \x1c   \U0001f642 don't", "ru", "d"),
     (11, "ONE TWO", "en", "a"),
 ]
-EXTRA = "1 AS id, 'x' AS kept, 2 AS digest, 3 AS row_hash, 'y' AS node, 4.5 AS u, 5 AS n, 'z' AS ids, 6 AS mix_p"
+EXTRA = "1 AS id, 'x' AS kept, 2 AS digest, 3 AS row_hash, 'y' AS node, 4.5 AS u, 5 AS n, 'z' AS ids, 6 AS mix_p, 7 AS w, 8 AS stay_id"
 
 
 @pytest.fixture(scope="session")
