@@ -27,6 +27,7 @@ HEADLINE = [
     "job_records", "news_records", "atom_source", "startup_records", "product_build",
     "pricing_from_replies", "truncate_text", "collapse_space", "strip_markup", "extract_refs",
     "quality_profile", "validate_quarantine",
+    "papers_flow", "export_papers", "stream_dedupe",
 ]
 
 
