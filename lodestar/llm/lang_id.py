@@ -42,8 +42,8 @@ SMOOTH = 0.1
 SWITCH = 12.0
 SCRIPT_SHARE = 0.001
 FLOOR = -200.0           # score of a word for a language that does not use its script
-SLICE = 1 << 23
-KNOWN_WORDS = 300_000    # scored words kept per Python worker
+SLICE = 1 << 22
+KNOWN_WORDS = 200_000    # scored words kept per Python worker
 
 # First code points of Unicode script ranges ("" between them).
 SCRIPTS = [
