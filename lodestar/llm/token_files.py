@@ -152,7 +152,8 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int | None = N
             closed = [x + end for x in batch.column(1).to_pylist()]
             yield from pack([pa.RecordBatch.from_arrays([batch.column(0), pa.array(closed, pa.binary())], ["id", "ids"])])
 
-    rows = wide.mapInArrow(encode_and_pack, "id long, checksum long, n_tokens long, frame binary")
+    # Range partitioning reads its input twice (once for a sample), so encode before it.
+    rows = cut(wide.mapInArrow(encode_and_pack, "id long, checksum long, n_tokens long, frame binary"))
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first(), "checksum")
     dealt = dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), "checksum")
