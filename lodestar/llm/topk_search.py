@@ -144,11 +144,13 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
         spread = (active.withColumn("query_block", block("query", query_blocks))
                   .withColumn("segment", each(m)).withColumn("index_block", each(index_blocks)))
         new = index.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(probe(k, s), FOUND)
-        best = Window.partitionBy("query").orderBy("distance", "first_id")
-        before = best.rowsBetween(Window.unboundedPreceding, -1)
+        # Ids at smaller distances come first; at its own distance any entry can hold the next smallest id.
+        nearer = Window.partitionBy("query").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
+        level = Window.partitionBy("query", "distance").orderBy("first_id")
         found = cut(found.union(new).distinct()
-                    .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-                    .where(F.col("before") < k).drop("before"))
+                    .withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0)))
+                    .withColumn("nth", F.row_number().over(level))
+                    .where((F.col("before") < k) & (F.col("nth") <= k)).drop("before", "nth"))
         state = found.groupBy(F.col("query").alias("of")).agg(F.sum("n").alias("have"), F.max("distance").alias("kth"))
         covered = m * (s + 1) - 1
         active = cut(queries.join(state, F.col("query") == F.col("of"), "left")

@@ -172,6 +172,17 @@ def test_search_matches_brute_force(spark):
     assert sorted(map(tuple, got.collect())) == sorted(brute_search(rows, lambda i: i % 20 == 0, 5))
 
 
+def test_search_of_copies_tied_with_other_codes(spark):
+    rng = np.random.default_rng(10)
+    near = [(np.arange(16) != j).astype(float).tolist() for j in range(6)]  # all at distance 1 from the query
+    rows = [(0, [1.0] * 16), (1, near[0]), (100, near[0]), (2, near[1]), (101, near[1]), (3, near[2])]
+    rows += [(200 + i, near[int(j)]) for i, j in enumerate(rng.integers(0, 6, 40))]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for k in (2, 5):
+        got = topk_search.search(v, F.col("id") < 3, k=k)
+        assert sorted(map(tuple, got.collect())) == sorted(brute_search(rows, lambda i: i < 3, k))
+
+
 def test_search_of_few_and_no_rows(spark):
     schema = "vec_id long, embedding array<float>"
     two = [(0, [1.0, -1.0]), (1, [1.0, 1.0])]
