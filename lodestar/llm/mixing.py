@@ -12,12 +12,14 @@ unequal-probability sample without replacement: the inclusion probability is
 ``p = f - floor(f)``, different for each source, and documents are ranked by
 random odds over inclusion odds, ``(u/(1-u)) / (p/(1-p))`` (Pareto order
 sampling).  The sample has a fixed size in words: documents are taken in rank
-order as long as they fit; then, ``FILL`` times, the largest document that
-still fits, and last the one whose size comes nearest to the words still missing.
+order, those that do not fit any more are skipped, until none fits; last comes
+the one whose size is nearest to the words still missing.
 
 The rank is mapped to (0, 1) and cut into ``BINS`` bins.  Sums per source and
-bin (aggregated map-side) find the bin in which the sample ends, and only that
-bin's documents are put in order, so no task sees a whole source.  The random
+bin (aggregated map-side) find the bin of the first document that does not fit,
+and only that bin's documents are put in order, so no task sees a whole source.
+The search goes on behind that document with the words still missing, among
+documents of at most that size; each round gives one run of ranks.  The random
 number is a hash of id and text: reruns agree.
 
 Defined results: a null text has no words; documents and sources without
@@ -32,12 +34,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.llm.common import WORD, cut, fresh, join_on, small
+from lodestar.llm.common import WORD, cut, fresh, has_rows, join_on, small
 
 BINS = 4096
 CAP = 3
-FILL = 3  # documents that fill up a sample, before the last one
-PLAN = ("whole", "p", "end", "picked")
+PAST = 2.0  # behind every rank
+RUNS = "array<struct<start: double, stop: double, most: double>>"
+PLAN = ("whole", "p", "taken", "last")
 
 
 def n_words(text: Column) -> Column:
@@ -90,46 +93,62 @@ def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: in
 
 
 def plan_mix(narrow: DataFrame, cap: int = CAP, bins: int = BINS) -> DataFrame:
-    """One row per source: its targets, ``end`` (documents with a rank up to it
-    are in the sample) and ``picked`` (the ranks of the documents that fill it up)."""
+    """One row per source: its targets, ``taken`` (runs of ranks, each with the
+    size up to which its documents are in the sample) and ``last`` (the rank of
+    the document that ends it)."""
     per_source = small(cut(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), cap)))
     v = rank(F.col("u"), F.col("p"))
     ranked = (join_on(narrow, per_source, "source").where("missing > 0 and size > 0")
               .withColumn("v", v).withColumn("bin", F.least(F.floor(v * bins), F.lit(bins - 1)).cast("int")))
     upto = Window.partitionBy("source").orderBy("bin")
-    edge = (ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
-            .withColumn("before", F.sum("words").over(upto) - F.col("words"))
-            .where("before <= missing and before + words > missing")
-            .select("source", "bin", "before"))
     inside = Window.partitionBy("source").orderBy("v")
-    fits = (join_on(ranked, small(cut(edge)), "source", "bin")
-            .withColumn("upto", F.col("before") + F.sum("size").over(inside)))
-    fit = F.col("upto") <= F.col("missing")
-    ends = cut(fits.groupBy("source").agg(
-        F.coalesce(F.max(F.when(fit, F.col("v"))), F.first("bin") / F.lit(float(bins)) - 1e-12).alias("end"),
-        F.max(F.when(fit, F.col("upto")).otherwise(F.col("before"))).alias("filled")))
-    state = small(cut(join_on(ends, per_source.select("source", "missing"), "source").select(
-        "source", "end", (F.col("missing") - F.col("filled")).alias("gap"),
-        F.array().cast("array<double>").alias("picked"))))
-    for k in range(FILL + 1):
-        off = F.abs(F.col("gap") - F.col("size"))
-        good = (F.col("size") <= F.col("gap")) if k < FILL else (off < F.col("gap"))
-        best = (join_on(ranked.select("source", "size", "v"), state, "source")
-                .where((F.col("v") > F.col("end")) & ~F.array_contains("picked", F.col("v")) & good)
-                .groupBy("source").agg(F.min(F.struct(off.alias("off"), "v", "size")).alias("best")))
-        state = small(cut(join_on(state, best, "source", how="left").select(
-            "source", "end", (F.col("gap") - F.coalesce("best.size", F.lit(0))).alias("gap"),
-            F.when(F.col("best").isNotNull(), F.array_append("picked", F.col("best.v"))).otherwise(F.col("picked"))
-            .alias("picked"))))
-    out = join_on(per_source, state.select("source", "end", "picked"), "source", how="left")
-    return cut(out.select("source", "source_size", "target", "whole", "p", F.coalesce("end", F.lit(-1.0)).alias("end"),
-                          F.coalesce("picked", F.array().cast("array<double>")).alias("picked")))
-
-
-def n_copies(u: Column, whole: Column, p: Column, end: Column, picked: Column) -> Column:
-    """How often a document is taken, from its random number and its source's plan."""
+    state = small(cut(per_source.where("missing > 0").select(
+        "source", F.col("missing").alias("gap"), F.lit(-1.0).alias("start"), F.array().cast(RUNS).alias("taken"))))
+    while True:
+        able = (join_on(ranked.select("source", "size", "v", "bin"), state.select("source", "gap", "start"), "source")
+                .where((F.col("v") > F.col("start")) & (F.col("size") <= F.col("gap"))))
+        # The bin of the first document that does not fit; none if all that are left fit.
+        edge = small(cut(able.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
+                         .withColumn("upto", F.sum("words").over(upto))
+                         .groupBy("source").agg(
+                             F.max("upto").alias("all"),
+                             F.min(F.when(F.col("upto") > F.col("gap"),
+                                          F.struct("bin", (F.col("upto") - F.col("words")).alias("before")))).alias("edge"))))
+        if not has_rows(edge):
+            break
+        bins_cut = edge.where("edge is not null").select("source", "edge.bin", "edge.before")
+        summed = join_on(able, F.broadcast(bins_cut), "source", "bin").withColumn("upto", F.col("before") + F.sum("size").over(inside))
+        fit = F.col("upto") <= F.col("gap")
+        stop = summed.groupBy("source").agg(F.min(F.when(~fit, F.col("v"))).alias("stop"),
+                                            F.max(F.when(fit, F.col("upto")).otherwise(F.col("before"))).alias("filled"))
+        run = join_on(edge.select("source", "all"), stop, "source", how="left").select(
+            "source", F.coalesce("stop", F.lit(PAST)).alias("stop"), F.coalesce("filled", "all").alias("filled"))
+        state = small(cut(join_on(state, run, "source", how="left").select(
+            "source", (F.col("gap") - F.coalesce("filled", F.lit(0))).alias("gap"),
+            F.coalesce("stop", F.lit(PAST)).alias("start"),
+            F.when(F.col("filled") > 0, F.array_append("taken", F.struct("start", F.col("stop").alias("stop"),
+                                                                        F.col("gap").alias("most"))))
+            .otherwise(F.col("taken")).alias("taken"))))
+    off = F.abs(F.col("gap") - F.col("size"))
+    last = (join_on(ranked.select("source", "size", "v"), state, "source")
+            .where(~in_runs(F.col("v"), F.col("size"), F.col("taken")) & (off < F.col("gap")))
+            .groupBy("source").agg(F.min(F.struct(off.alias("off"), "v")).getField("v").alias("last")))
+    state = join_on(state.select("source", "taken"), cut(last), "source", how="left")
+    out = join_on(per_source, state, "source", how="left")
+    return cut(out.select("source", "source_size", "target", "whole", "p",
+                          F.coalesce("taken", F.array().cast(RUNS)).alias("taken"),
+                          F.coalesce("last", F.lit(-1.0)).alias("last")))
+
+
+def in_runs(v: Column, size: Column, taken: Column) -> Column:
+    """Whether a document lies in a run of ranks and is not too long for it."""
+    return F.exists(taken, lambda t: (v > t["start"]) & (v < t["stop"]) & (size <= t["most"]))
+
+
+def n_copies(u: Column, size: Column, whole: Column, p: Column, taken: Column, last: Column) -> Column:
+    """How often a document is taken, from its random number, its size and its source's plan."""
     v = rank(u, p)
-    return whole + F.when((p > 0) & ((v <= end) | F.array_contains(picked, v)), 1).otherwise(0)
+    return whole + F.when((p > 0) & (size > 0) & (in_runs(v, size, taken) | (v == last)), 1).otherwise(0)
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -138,7 +157,7 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = cut(sized(docs, id_col, text_col, source_col, seed))
     return (join_on(narrow, small(plan_mix(narrow, cap)), "source")
             .select(F.col("id").alias(id_col), "size", "source_size", "target",
-                    (F.col("size") * n_copies(F.col("u"), *map(F.col, PLAN))).alias("taken")))
+                    (F.col("size") * n_copies(F.col("u"), F.col("size"), *map(F.col, PLAN))).alias("taken")))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -150,7 +169,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     u, copy, words = fresh(docs, "mix_u", "mix_copy", "mix_words")
     plan = small(plan).toDF(*names.values())
     wide = (docs.withColumn(u, uniform(F.lit(seed), F.col(id_col), F.col(text_col)))
-            .withColumn(words, F.coalesce(F.col(text_col), F.lit("")).rlike(WORD)).where(F.col(words))
+            .withColumn(words, n_words(F.col(text_col))).where(F.col(words) > 0)
             .join(plan, docs[source_col].eqNullSafe(plan[names["source"]])))
-    n = n_copies(F.col(u), *[F.col(names[c]) for c in PLAN])
+    n = n_copies(F.col(u), F.col(words), *[F.col(names[c]) for c in PLAN])
     return (wide.withColumn(copy, F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select(*docs.columns))

@@ -67,6 +67,26 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark, corpus):
     assert dict(n) == {r.doc_id: r.taken // r.size for r in got if r.taken}
 
 
+def test_a_document_above_the_gap_is_skipped(spark):
+    rng = random.Random(5)
+    long = "w " * 10000
+    early = mixing.uniform(F.lit(0), F.col("id"), F.lit(long)).between(0.25, 0.35)  # ranked before most others
+    rows = [(k, "w " * rng.randint(5, 60), "a") for k in range(400)] + [(999, long, "b")]
+    rows += [(spark.range(400, 900).where(early).first()[0], long, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    u = {r.id: r.u for r in mixing.sized(docs, "doc_id", "text", "source", 0).collect()}
+    got = [r for r in mixing.mix_report(docs).collect() if r.doc_id != 999]
+    gap, extra = got[0].target, []
+    for r in sorted(got, key=lambda r: u[r.doc_id]):
+        fits = r.size <= gap
+        gap -= r.size * fits
+        if r.taken != r.size * fits:
+            extra.append(r)
+    assert [r for r in got if r.size == 10000 and r.taken == 0]
+    assert len(extra) <= 1 and all(r.taken == r.size and abs(r.size - gap) < gap for r in extra)  # the last one
+    assert abs(sum(r.taken for r in got) - got[0].target) <= 0.01 * got[0].target
+
+
 def test_inclusion_is_about_its_probability(spark):
     docs = spark.range(600).selectExpr("id AS doc_id", "'one two three' AS text", "if(id < 300, 'a', 'b') AS source")
     counts = defaultdict(int)
