@@ -2,13 +2,14 @@
 
 A document's set is its distinct shingles of five words (ASCII blanks between
 words, A-Z lower-cased); with fewer words the whole sequence is one shingle.
-Two documents are linked if ``100 |A & B| >= 85 |A | B|``.
+Two documents are linked if ``100 |A & B| >= least |A | B|``.
 
 Signatures.  Each of ``HASHES`` hash functions is evaluated once per shingle
 and gives two values, its minimum and its maximum over the set; a value agrees
-between two sets with the probability of their similarity J.  ``BANDS`` bands
-of ``ROWS`` values make the candidates: a pair with J = 0.85 shares no band
-with probability ``(1 - J**ROWS) ** BANDS``, below 1e-6.
+between two sets with the probability of their similarity J.  Bands of ``rows``
+values make the candidates: a pair with ``J = least / 100`` shares no band with
+probability ``(1 - J**rows) ** bands``, and ``rows`` is the largest number that
+keeps it below ``MISSED`` (30 bands of 6 for 85, 36 bands of 5 for 80).
 
 Scale.  Documents with equal sets (a 128-bit digest) are one node, so copies
 never meet each other.  In a bucket (one key of one band) no pairs are emitted:
@@ -48,10 +49,9 @@ from lodestar.llm.common import cut, fresh, ship
 from lodestar.llm.graph import components
 
 WIDTH = 5
-LEAST = 85               # per cent of the union that must be shared
+LEAST = 85               # per cent of the union that must be shared, unless given
 HASHES = 90
-ROWS = 6
-BANDS = 2 * HASHES // ROWS
+MISSED = 1e-6            # probability that a pair at the limit is no candidate
 FILTER_BITS = 1 << 23
 BLOCK = 256
 _RNG = np.random.default_rng(5)
@@ -60,6 +60,14 @@ _MUL = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
+def band_rows(least: int) -> int:
+    """Values per band: the most that find a pair at the limit."""
+    rows = [n for n in range(1, 2 * HASHES + 1) if (1 - (least / 100) ** n) ** (2 * HASHES // n) < MISSED]
+    if not rows or least > 100:
+        raise ValueError(f"{HASHES} hash functions cannot find pairs that share {least} per cent")
+    return max(rows)
+
+
 def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
@@ -100,11 +108,12 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band, the band's number mixed in."""
-    parts = sig.reshape(len(sig), BANDS, ROWS)
-    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(sig), BANDS)).copy()
-    for r in range(ROWS):
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` values, the band's number mixed in."""
+    bands = sig.shape[1] // rows
+    parts = sig[:, :bands * rows].reshape(len(sig), bands, rows)
+    key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (len(sig), bands)).copy()
+    for r in range(rows):
         key = mixed(key * _STEP + parts[:, :, r])
     return key.view(np.int64)
 
@@ -113,24 +122,26 @@ def text_key(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
 
-def describe(batches):
+def describe(rows: int):
     """(id, row_hash, text) -> (id, row_hash, n, node, text_key, bands)."""
-    for batch in batches:
-        for at, texts in text_slices(batch):
-            words = [words_of(t) for t in texts]
-            sets = shingle_sets(words)
-            full = [k for k, s in enumerate(sets) if len(s)]
-            node, key, bands = [None] * len(sets), [None] * len(sets), [None] * len(sets)
-            for a in range(0, len(full), 64):
-                part = full[a:a + 64]
-                for k, b in zip(part, band_keys(signatures([sets[k] for k in part]))):
-                    node[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
-                    key[k] = text_key(words[k])
-                    bands[k] = b
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)),
-                 pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array(key, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64()))], ["id", "row_hash", "n", "node", "text_key", "bands"])
+    def run(batches):
+        for batch in batches:
+            for at, texts in text_slices(batch):
+                words = [words_of(t) for t in texts]
+                sets = shingle_sets(words)
+                full = [k for k, s in enumerate(sets) if len(s)]
+                node, key, bands = [None] * len(sets), [None] * len(sets), [None] * len(sets)
+                for a in range(0, len(full), 64):
+                    part = full[a:a + 64]
+                    for k, b in zip(part, band_keys(signatures([sets[k] for k in part]), rows)):
+                        node[k] = hashlib.blake2b(sets[k].tobytes(), digest_size=16).digest()
+                        key[k] = text_key(words[k])
+                        bands[k] = b
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.binary()), pa.array(key, pa.binary()),
+                     pa.array(bands, pa.list_(pa.int64()))], ["id", "row_hash", "n", "node", "text_key", "bands"])
+    return run
 
 
 def bit_of(key: bytes) -> int:
@@ -175,9 +186,9 @@ def wanted_texts(shared):
     return run
 
 
-def similar(x: np.ndarray, y: np.ndarray) -> bool:
+def similar(x: np.ndarray, y: np.ndarray, least: int) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= LEAST * (len(x) + len(y) - both)
+    return 100 * both >= least * (len(x) + len(y) - both)
 
 
 class Sets:
@@ -195,14 +206,16 @@ class Sets:
         return self.held[node]
 
 
-def linked(batches):
+def linked(least: int):
     """(a, b, words_a, words_b) -> (a, b) of the pairs whose full sets agree."""
-    sets = Sets()
-    for batch in batches:
-        rows = zip(*(c.to_pylist() for c in batch.columns))
-        ok = [(a, b) for a, b, wa, wb in rows if similar(sets.of(a, wa), sets.of(b, wb))]
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in ok], pa.binary()), pa.array([b for _, b in ok], pa.binary())],
-                                         ["a", "b"])
+    def run(batches):
+        sets = Sets()
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns))
+            ok = [(a, b) for a, b, wa, wb in rows if similar(sets.of(a, wa), sets.of(b, wb), least)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([a for a, _ in ok], pa.binary()), pa.array([b for _, b in ok], pa.binary())], ["a", "b"])
+    return run
 
 
 def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
@@ -225,11 +238,12 @@ def shared_sizes(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def links_of_block(nodes: list[bytes], roots: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+def links_of_block(nodes: list[bytes], roots: list[bytes], sets: list[np.ndarray],
+                   least: int) -> list[tuple[bytes, bytes]]:
     """Links between components: as many as it takes to join what is linked."""
     size = np.array([len(x) for x in sets])
     both = shared_sizes(sets)
-    ok = 100 * both >= LEAST * (size[:, None] + size[None, :] - both)
+    ok = 100 * both >= least * (size[:, None] + size[None, :] - both)
     parent = {r: r for r in roots}
 
     def find(r):
@@ -247,40 +261,42 @@ def links_of_block(nodes: list[bytes], roots: list[bytes], sets: list[np.ndarray
     return out
 
 
-def block_links(batches):
+def block_links(least: int):
     """Rows (key, lo, hi, node, root, words) sorted by the first three, which
     name a block -> links (a, b); at most two blocks' rows are held."""
-    sets = Sets()
-    group, nodes, roots, full = None, [], [], []
-
-    def flush():
-        return links_of_block(nodes, roots, full) if len(set(roots)) > 1 else []
-
-    for batch in batches:
-        out = []
-        for key, lo, hi, node, root, words in zip(*(c.to_pylist() for c in batch.columns)):
-            if (key, lo, hi) != group:
-                out += flush()
-                group, nodes, roots, full = (key, lo, hi), [], [], []
-            nodes.append(node)
-            roots.append(root)
-            full.append(sets.of(node, words))
+    def run(batches):
+        sets = Sets()
+        group, nodes, roots, full = None, [], [], []
+
+        def flush():
+            return links_of_block(nodes, roots, full, least) if len(set(roots)) > 1 else []
+
+        for batch in batches:
+            out = []
+            for key, lo, hi, node, root, words in zip(*(c.to_pylist() for c in batch.columns)):
+                if (key, lo, hi) != group:
+                    out += flush()
+                    group, nodes, roots, full = (key, lo, hi), [], [], []
+                nodes.append(node)
+                roots.append(root)
+                full.append(sets.of(node, words))
+            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())],
+                                             ["a", "b"])
+        out = flush()
         yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())],
                                          ["a", "b"])
-    out = flush()
-    yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary())],
-                                     ["a", "b"])
+    return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, least: int) -> DataFrame:
     """Checkpointed links among distinct (a, b) pairs of nodes."""
     left = texts.select(F.col("node").alias("a"), F.col("words").alias("words_a"))
     right = texts.select(F.col("node").alias("b"), F.col("words").alias("words_b"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b")
-    return cut(both.mapInArrow(linked, "a binary, b binary"))
+    return cut(both.mapInArrow(linked(least), "a binary, b binary"))
 
 
-def find_components(nodes: DataFrame, docs_text: DataFrame) -> DataFrame:
+def find_components(nodes: DataFrame, docs_text: DataFrame, least: int) -> DataFrame:
     """(node, root) for linked nodes; ``nodes`` has node, n, text_key, bands."""
     spark = nodes.sparkSession
     buckets = nodes.select(F.explode("bands").alias("key"), "node", "n")
@@ -297,7 +313,7 @@ def find_components(nodes: DataFrame, docs_text: DataFrame) -> DataFrame:
     # Every node against the bucket minimum that it shares most bands with.
     best = (members.where("node <> head").groupBy("node", "head").count()
             .groupBy("node").agg(F.max(F.struct("count", "head")).getField("head").alias("head")))
-    links = confirm(best.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), texts)
+    links = confirm(best.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), texts, least)
     roots = components(links)
 
     # Buckets that still hold more than one component: all their nodes, in blocks.
@@ -313,22 +329,22 @@ def find_components(nodes: DataFrame, docs_text: DataFrame) -> DataFrame:
     group = ["key", "lo", "hi"]
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     more = cut(placed.join(texts, "node").select(*group, "node", "root", "words").repartition(n, *group)
-               .sortWithinPartitions(*group).mapInArrow(block_links, "a binary, b binary"))
+               .sortWithinPartitions(*group).mapInArrow(block_links(least), "a binary, b binary"))
     return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
-def near_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def near_rows(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
     """(id, row_hash, n, w): w is the smallest (no_id, id, row_hash) of the component."""
     ship(docs)
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("row_hash"), text.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     rows = cut(rows.mapInArrow(
-        describe, f"id {kind}, row_hash long, n long, node binary, text_key binary, bands array<long>"))
+        describe(band_rows(least)), f"id {kind}, row_hash long, n long, node binary, text_key binary, bands array<long>"))
     me = F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash")
     nodes = cut(rows.where("n > 0").groupBy("node").agg(
         F.min(me).alias("w"), F.first("n").alias("n"), F.min("text_key").alias("text_key"), F.first("bands").alias("bands")))
-    roots = find_components(nodes, docs.select(text.alias("text")))
+    roots = find_components(nodes, docs.select(text.alias("text")), least)
     nodes = nodes.select("node", "w")
     named = nodes.join(roots.withColumnRenamed("node", "linked"), nodes["node"] == F.col("linked"), "left").select(
         "node", "w", F.coalesce("root", "node").alias("root"))
@@ -339,17 +355,17 @@ def near_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .select("id", "row_hash", "n", F.coalesce("first", me).alias("w")))
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
-    r = near_rows(docs, id_col, text_col)
+    r = near_rows(docs, id_col, text_col, least)
     kept = F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash"))
     return r.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("w.id").alias("component_id"),
                     kept.alias("kept"))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` that stay, one per component, with the columns of ``docs``."""
-    r = near_rows(docs, id_col, text_col)
+    r = near_rows(docs, id_col, text_col, least)
     stay = r.where(F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash")))
     h, n, stay_id, stay_hash = fresh(docs, "row_hash", "nth", "stay_id", "stay_hash")
     wide = docs.withColumn(h, F.xxhash64(F.col(text_col)))

@@ -126,6 +126,20 @@ def test_near_groups_of_odd_rows(spark, odd, empty):
     assert nd.near_groups(empty).count() == 0 and nd.near_dedup(empty).count() == 0
 
 
+def test_threshold_of_the_pipeline_stage(spark):
+    import corpus_pipeline
+    words = [f"w{i}" for i in range(104)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:50] + ["x"] + words[51:80] + ["y"] + words[81:])),       # 0.82
+            (2, " ".join(["z"] + words[:20] + ["v"] + words[21:50] + ["u"] + words[51:80] + ["t"] + words[81:]))]  # below 0.8
+    near = len(shingles(rows[0][1]) & shingles(rows[1][1])) / len(shingles(rows[0][1]) | shingles(rows[1][1]))
+    assert 0.80 <= near < 0.85
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in nd.near_dedup(docs).collect()} == {0, 1, 2}
+    assert {r.doc_id for r in corpus_pipeline.near(spark, docs, "").collect()} == {0, 2}
+    for least, n in ((85, 6), (80, 5)):
+        assert nd.band_rows(least) == n and (1 - (least / 100) ** n) ** (180 // n) < 1e-6
+
+
 def test_signature_values_agree_as_often_as_the_sets(spark):
     rng = np.random.default_rng(1)
     agree = []
