@@ -50,7 +50,7 @@ END = OWN + CLASSES
 SYMBOLS = OWN + CLASSES + 1
 DICTIONARY = 200_000
 STATES = 8
-STEPS = 5
+STEPS = 6
 SMOOTH = 0.05
 COUNTED = 300_000       # words counted in a task before they are passed on
 GROUP = 400_000         # tokens that advance together

@@ -132,6 +132,14 @@ def test_language_model_base_and_held_out_gain(spark, monkeypatch):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_language_model_is_trained_for_six_steps(spark, odd, monkeypatch):
+    seen, plain = [], hmm_lm.train
+    monkeypatch.setattr(hmm_lm, "train", lambda *a: seen.append(plain(*a)) or seen[-1])
+    assert hmm_lm.score_texts(odd, F.lit(True)).count() == odd.count()
+    logs = seen[0][1]
+    assert len(logs) == 6 and logs[-1] > logs[0]
+
+
 def test_language_model_is_a_distribution(monkeypatch):
     """The probabilities of a class's words and one unseen word add up to one."""
     n, v = 37, 5
