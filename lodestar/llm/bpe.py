@@ -29,6 +29,7 @@ of text are whole; empty tables give empty results; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from itertools import chain
@@ -48,12 +49,18 @@ MIN_CHUNK = 256
 MAX_CHUNK = 4096
 DICTIONARY = 8192
 CACHED_PIECES = 400_000  # per Python worker
+JOINED = 64              # new pieces that the library encodes at a time
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_SURE = re.compile(r" (?=[!-~\w])")               # a safe cut takes the blank with it
-# A blank that is not a safe cut, or a line end that does not stand alone.
-_ODD = re.compile(r"[ \n](?![!-~\w])|(?<![!-~\w])\n")
-_SPLIT = re.compile(rf"[{_LETTERS}]+|[.,!?;:]+|\n")
+# Pre-tokenizers whose part borders ``cuts`` knows: byte-level BPE with its own
+# pattern.  A file with any other is encoded text by text.
+_KNOWN = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+_LETTER = np.zeros(256, bool)   # ASCII letters
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_PRINT = np.zeros(256, bool)    # surely no white space
+_PRINT[33:127] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,!?;:")] = True
 
 
 def byte_of_char() -> dict[str, int]:
@@ -63,90 +70,135 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def cuts(data: np.ndarray) -> np.ndarray:
+    """For each byte, whether a part surely begins there: at a blank before a
+    character that is no white space, at a line end between two such, and at a
+    mark after a letter."""
+    latin = np.zeros(len(data) + 2, bool)       # second byte of a letter of U+00C0 to U+00FF
+    latin[1:-2] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    before = np.zeros(len(data), bool)
+    before[1:] = _LETTER[data[:-1]] | latin[:len(data) - 1]
+    solid_before = np.zeros(len(data), bool)
+    solid_before[1:] = _PRINT[data[:-1]] | latin[:len(data) - 1]
+    solid_after = np.zeros(len(data), bool)
+    solid_after[:-1] = _PRINT[data[1:]] | latin[2:len(data) + 1]
+    return (data == 32) & solid_after | (data == 10) & solid_before & solid_after | _MARK[data] & before
+
+
 class Codec:
-    """Encoder and decoder of one tokenizer file; one per Python worker."""
+    """Encoder and decoder of one tokenizer file; one per Python worker.
+
+    ``plain`` takes the strings of special tokens in a text as ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.no_padding()
         self.tok.no_truncation()
+        self.tok.encode_special_tokens = plain
         added = self.tok.get_added_tokens_decoder()
-        self.special = [t.content for t in added.values()]
+        self.special = [] if plain else [t.content for t in added.values()]
         to_byte = byte_of_char()
         self.token_bytes = [b""] * self.tok.get_vocab_size()
         for token, i in self.tok.get_vocab().items():
             self.token_bytes[i] = (token.encode() if i in added else bytes(to_byte[c] for c in token))
-        self.pieces: dict[str, bytes] = {}  # text after a blank (or from a line end) -> ids with that blank
-        self.parts: dict[str, bytes] = {}   # text as it stands -> ids
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        done = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
-
-    def _encode_parts(self, texts) -> None:
-        """Fill ``parts`` for all of ``texts``."""
-        new = [t for t in texts if t not in self.parts]
-        self.parts.update(zip(new, self._library(new)))
-
-    def _learn(self, new: list[str]) -> None:
-        """Fill ``pieces``.  Letters and marks are parts of their own, so a plain
-        word is encoded once, whatever marks follow it."""
-        split, alone, rest = {}, set(), set()
-        for w in new:
-            p = _SPLIT.findall(w)
-            if len(p) > 1 and sum(map(len, p)) == len(w) and "\n\n" not in w:
-                split[w] = p
-                if w[0] != "\n":
-                    alone.add(p[0])
-                    rest.update(p[1:])
-                else:
-                    rest.update(p)
-            else:
-                alone.add(w)
-        alone = [w for w in alone if w not in self.pieces]
-        self.pieces.update(zip(alone, self._library([w if w[0] == "\n" else " " + w for w in alone])))
-        self._encode_parts(rest)
-        pieces, parts = self.pieces, self.parts.__getitem__
-        for w, p in split.items():
-            pieces[w] = (b"" if w[0] == "\n" else pieces[p[0]]) + b"".join(map(parts, p if w[0] == "\n" else p[1:]))
+        self.token_sizes = np.array([len(b) for b in self.token_bytes], np.int64)
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        rule = config.get("pre_tokenizer") or {}
+        self.cuts_known = (config.get("normalizer") is None
+                           and all(rule.get(k, v if k == "use_regex" else None) == v for k, v in _KNOWN.items()))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}      # part of a text -> its row below
+        self.ids = np.zeros(1 << 16, "<u4")    # ids of all rows, one after the other
+        self.ends = np.zeros(1 << 14, np.int64)
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts and the number of each.  The library gets many parts
+        at a time; the bytes of the ids tell where a part ends."""
+        groups = [b"".join(parts[a:a + JOINED]) for a in range(0, len(parts), JOINED)]
+        ids = np.fromiter(chain.from_iterable(self._library([g.decode() for g in groups])), "<u4")
+        ends = np.searchsorted(np.cumsum(self.token_sizes[ids]), np.cumsum([len(p) for p in parts])) + 1
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, new: list[bytes]) -> None:
+        # After anything, a part begins at a blank before a printable character.
+        joins = [p for p in new if p[0] == 32 and len(p) > 1 and _PRINT[p[1]]]
+        alone = [p for p in new if not (p[0] == 32 and len(p) > 1 and _PRINT[p[1]])]
+        done = self._library([p.decode() for p in alone])
+        ids, sizes = self._parts(joins)
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(done), "<u4")])
+        n, last = len(self.place), int(self.ends[len(self.place) - 1]) if self.place else 0
+        ends = last + np.cumsum([*sizes.tolist(), *map(len, done)])
+        while n + len(new) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        while int(ends[-1]) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ends[n:n + len(new)] = ends
+        self.ids[last:int(ends[-1])] = ids
+        self.place.update(zip(joins + alone, range(n, n + len(new))))
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and where each text's ids end."""
+        whole = {k: t for k, t in enumerate(texts) if not self.cuts_known or any(s in t for s in self.special)}
+        docs = [b"" if k in whole else t.encode() for k, t in enumerate(texts)]
+        data = np.frombuffer(b"".join(docs), np.uint8)
+        text_ends = np.cumsum([len(d) for d in docs])
+        counts = np.zeros(len(texts), np.int64)
+        flat = np.zeros(0, "<u4")
+        if len(data):
+            first = cuts(data)
+            first[text_ends[text_ends < len(data)]] = True
+            first[0] = True
+            starts = np.flatnonzero(first)
+            offsets = np.append(starts, len(data)).astype(np.int32)
+            parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            coded = parts.dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            new = [p for p in names if p not in self.place]
+            if len(self.place) + len(new) > CACHED_PIECES:
+                self._forget()
+                new = names
+            if new:
+                self._learn(new)
+            row = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+            row = row[coded.indices.to_numpy()]
+            last = self.ends[row]
+            size = last - np.where(row > 0, self.ends[row - 1], 0)
+            total = np.cumsum(size)
+            flat = self.ids[np.repeat(last - total, size) + np.arange(int(total[-1]))]
+            reach = np.append(0, total)[np.searchsorted(starts, text_ends)]
+            counts = np.diff(reach, prepend=0)
+        if whole:
+            ids = dict(zip(whole, self._library(list(whole.values()))))
+            at = np.append(0, np.cumsum(counts))
+            flat = np.concatenate([np.array(ids[k], "<u4") if k in ids else flat[at[k]:at[k + 1]] for k in range(len(texts))])
+            counts = np.array([len(ids[k]) if k in ids else c for k, c in enumerate(counts)], np.int64)
+        return flat, np.cumsum(counts)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        whole, cut = {}, []
-        for k, t in enumerate(texts):
-            if any(s in t for s in self.special):
-                whole[k] = t
-                cut.append([""])
-            elif _ODD.search(t):
-                cut.append(_SURE.split(t))
-            else:
-                cut.append(t.replace("\n", " \n").split(" "))
-        heads = {c[0] for c in cut}
-        used = set(chain.from_iterable(c[1:] for c in cut))
-        new = [w for w in used if w not in self.pieces]
-        if len(self.pieces) + len(new) > CACHED_PIECES or len(self.parts) > CACHED_PIECES:
-            self.pieces, self.parts, new = {}, {}, list(used)
-        self._learn(new)
-        self._encode_parts(heads)
-        get, first = self.pieces.__getitem__, self.parts.__getitem__
-        out = [first(c[0]) + b"".join(map(get, c[1:])) for c in cut]
-        for k, ids in zip(whole, self._library(list(whole.values()))):
-            out[k] = ids
-        return out
+        flat, ends = self.encode_flat(texts)
+        raw = flat.tobytes()
+        return [raw[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[tuple[str, bool], Codec] = {}
 
 
-def codec(path: str) -> Codec:
-    if path not in _CODECS:
-        _CODECS[path] = Codec(path)
-    return _CODECS[path]
+def codec(path: str, plain: bool = False) -> Codec:
+    if (path, plain) not in _CODECS:
+        _CODECS[path, plain] = Codec(path, plain)
+    return _CODECS[path, plain]
 
 
 def text_slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE):

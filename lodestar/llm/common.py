@@ -44,8 +44,11 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder (any Hadoop scheme)."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder under the shared checkpoint folder, with the scheme and host
+    that Hadoop resolves it to: a plain path is on the default file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

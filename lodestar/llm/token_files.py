@@ -11,7 +11,8 @@ only the frames of the documents it wants and checks each.
 
 Writing.  Texts are encoded where they are read; ids are then dealt out by
 range of (doc_id, hash of the ids), sorted, and each partition is written to
-one file in a shared folder.  A try writes under a name of its own; the list
+one file in a shared folder; their number follows from the compressed bytes
+(``FILE_BYTES``), with one for each core at least.  A try writes under a name of its own; the list
 of files is kept as a checkpoint, which takes one try of each task only, so
 lost executors leave stray files at most.  Paths go through ``pyarrow.fs``
 (file, hdfs, s3 and others).
@@ -27,6 +28,8 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lodestar.llm.bpe import codec, encoder
+from lodestar.llm.bpe import codec, text_slices
 from lodestar.llm.common import cut, shared_folder, ship
 
 # Fixed values of the public zstandard formats.
@@ -46,6 +49,8 @@ SEEK_MAGIC = 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
 
 LEVEL = 1
+FILE_BYTES = 1 << 27  # compressed bytes of a file, about
+READ_BYTES = 1 << 22  # read at a time by a scan of a whole file
 NO_ID = -(1 << 63)  # stands for a null document id inside a file
 
 
@@ -55,28 +60,24 @@ def open_fs(path: str):
     return fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
 
 
-def compress_ids(width: int):
-    """(id, ids) -> (id, order, n_tokens, frame, checksum); the frame is compressed map-side."""
-    def run(batches):
-        z = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
-        for batch in batches:
-            n, frames, sums = [], [], []
-            for x in batch.column(1).to_pylist():
-                raw = np.frombuffer(x, "<u4").astype(f"<u{width}").tobytes()
-                n.append(len(raw) // width)
-                frames.append(z.compress(raw))
-                sums.append(xxhash.xxh64_intdigest(raw))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(sums, np.uint64).view(np.int64)), pa.array(n, pa.int64()),
-                 pa.array(frames, pa.binary())], ["id", "checksum", "n_tokens", "frame"])
-    return run
+def packer(width: int):
+    """(ids of documents, their token ids as bytes) -> a batch of id, checksum,
+    n_tokens, frame; frames are compressed before the shuffle."""
+    z = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True)
+
+    def pack(ids: pa.Array, raw: list[bytes]) -> pa.RecordBatch:
+        sums = np.array([xxhash.xxh64_intdigest(x) for x in raw], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(sums), pa.array([len(x) // width for x in raw], pa.int64()),
+             pa.array([z.compress(x) for x in raw], pa.binary())], ["id", "checksum", "n_tokens", "frame"])
+    return pack
 
 
 def write_file(folder: str, width: int):
     """One file per partition from sorted rows; yields its description."""
     def run(batches):
         fs = out = None
-        ids, entries, tokens = [], [], 0
+        ids, entries, tokens = array("q"), array("Q"), 0
         name = f"{folder}/{uuid.uuid4().hex}.zst"
         for batch in batches:
             for doc, checksum, n, frame in zip(*(c.to_pylist() for c in batch.columns)):
@@ -86,13 +87,13 @@ def write_file(folder: str, width: int):
                     out = fs.open_output_stream(where, compression=None)
                 out.write(frame)
                 ids.append(NO_ID if doc is None else doc)
-                entries.append((len(frame), n * width, checksum & 0xFFFFFFFF))
+                entries.extend((len(frame), n * width, checksum & 0xFFFFFFFF))
                 tokens += n
         if out is None:
             return
         docs = struct.pack("<I", width) + np.array(ids, "<i8").tobytes()
         out.write(struct.pack("<II", SKIPPABLE_DOCS, len(docs)) + docs)
-        table = np.array(entries, "<u4").tobytes() + struct.pack("<IBI", len(entries), CHECKSUM_FLAG, SEEK_MAGIC)
+        table = np.array(entries, "<u4").tobytes() + struct.pack("<IBI", len(ids), CHECKSUM_FLAG, SEEK_MAGIC)
         out.write(struct.pack("<II", SKIPPABLE_SEEK, len(table)) + table)
         out.close()
         yield pa.RecordBatch.from_arrays(
@@ -124,7 +125,20 @@ class Reader:
 
     def read(self, k: int) -> np.ndarray:
         """Ids of the k-th document, as unsigned 32-bit integers."""
-        frame = self.file.read_at(int(self.table[k, 0]), int(self.offsets[k]))
+        return self._open(k, self.file.read_at(int(self.table[k, 0]), int(self.offsets[k])))
+
+    def scan(self):
+        """Ids of all documents in order; frames are read many at a time."""
+        at = 0
+        while at < len(self.docs):
+            end = max(at + 1, int(np.searchsorted(self.offsets, self.offsets[at] + READ_BYTES, "right")) - 1)
+            data = memoryview(self.file.read_at(int(self.offsets[end] - self.offsets[at]), int(self.offsets[at])))
+            for k in range(at, end):
+                a = int(self.offsets[k] - self.offsets[at])
+                yield self._open(k, data[a:a + int(self.table[k, 0])])
+            at = end
+
+    def _open(self, k: int, frame) -> np.ndarray:
         raw = self.zstd.decompress(frame, max_output_size=int(self.table[k, 1]))
         if len(raw) != self.table[k, 1] or xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF != self.table[k, 2]:
             raise ValueError(f"document {k}: frame is damaged")
@@ -144,18 +158,21 @@ def write_tokens(docs: DataFrame, path: str, folder: str, end_id: int | None = N
     vocabulary = max(len(codec(path).token_bytes), (end_id or 0) + 1)
     width = 2 if vocabulary <= 1 << 16 else 4
     wide = ship(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
-    pack = compress_ids(width)
-
+    end = b"" if end_id is None else np.array([end_id], f"<u{width}").tobytes()
     def encode_and_pack(batches):
-        for batch in encoder(path, None, ["id"])(batches):
-            closed = [x + end for x in batch.column(1).to_pylist()]
-            yield from pack([pa.RecordBatch.from_arrays([batch.column(0), pa.array(closed, pa.binary())], ["id", "ids"])])
+        c, pack = codec(path), packer(width)
+        for batch in batches:
+            for at, texts in text_slices(batch):
+                flat, ends = c.encode_flat(texts)
+                raw, ends = flat.astype(f"<u{width}").tobytes(), [0, *(ends * width).tolist()]
+                yield pack(batch.column(0).slice(at, len(texts)), [raw[a:b] + end for a, b in zip(ends, ends[1:])])
 
     # Range partitioning reads its input twice (once for a sample), so encode before it.
     rows = cut(wide.mapInArrow(encode_and_pack, "id long, checksum long, n_tokens long, frame binary"))
-    n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(n, F.col("id").asc_nulls_first(), "checksum")
+    if not files:
+        size = rows.agg(F.sum(F.length("frame"))).first()[0] or 0
+        files = max(-(-size // FILE_BYTES), spark.sparkContext.defaultParallelism)
+    dealt = rows.repartitionByRange(files, F.col("id").asc_nulls_first(), "checksum")
     dealt = dealt.sortWithinPartitions(F.col("id").asc_nulls_first(), "checksum")
     done = dealt.mapInArrow(write_file(folder, width), "file string, n_docs long, n_tokens long")
     done = cut(done.withColumn("part", F.spark_partition_id()))
@@ -170,9 +187,10 @@ def read_tokens(files: DataFrame) -> DataFrame:
             for name, first in zip(*(batch.column(k).to_pylist() for k in (0, 1))):
                 r = Reader(name)
                 starts = first + np.concatenate([[0], np.cumsum(r.sizes)[:-1]]).astype(np.int64)
+                crcs = (zlib.crc32(x) for x in r.scan())
                 for a in range(0, len(r.docs), 4096):
                     part = slice(a, a + 4096)
-                    crc = [zlib.crc32(r.read(k).tobytes()) for k in range(a, min(a + 4096, len(r.docs)))]
+                    crc = list(islice(crcs, 4096))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(r.docs[part], mask=r.docs[part] == NO_ID), pa.array(starts[part]),
                          pa.array(r.sizes[part]), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
