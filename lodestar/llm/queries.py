@@ -14,6 +14,7 @@ from lodestar.llm.lang_id import identify, learn
 from lodestar.llm.mixing import mix_report
 from lodestar.llm.near_dedup import near_groups
 from lodestar.llm.quality import quality_scores
+from lodestar.llm.spelling import spelling_groups
 from lodestar.llm.token_files import token_file_report
 from lodestar.llm.topk_search import search
 
@@ -128,3 +129,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY distance, n
 SELECT vec_id, rank, neighbor_id, distance FROM r WHERE rank <= 10""")
 def op9_topk_search(spark, sf):
     return search(table(spark, sf, "embeddings").select("vec_id", "embedding"), F.col("id") % 20 == 0, k=10)
+
+
+@register("op12_spelling")
+def op12_spelling(spark, sf):
+    return spelling_groups(table(spark, sf, "documents").select("doc_id", "text"))
