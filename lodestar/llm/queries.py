@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from lodestar.llm.alignment import align_report
 from lodestar.llm.bpe import encode_report
 from lodestar.llm.chat_format import chat_digest, format_chats
 from lodestar.llm.common import fold, table
@@ -19,6 +20,7 @@ from lodestar.llm.token_files import token_file_report
 from lodestar.llm.topk_search import search
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -134,3 +136,9 @@ def op9_topk_search(spark, sf):
 @register("op12_spelling")
 def op12_spelling(spark, sf):
     return spelling_groups(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("op13_alignment")
+def op13_alignment(spark, sf):
+    return align_report(table(spark, sf, "documents").select("doc_id", "text"),
+                        public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
