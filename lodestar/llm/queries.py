@@ -15,6 +15,8 @@ from lodestar.llm.lang_id import identify, learn
 from lodestar.llm.mixing import mix_report
 from lodestar.llm.near_dedup import near_groups
 from lodestar.llm.quality import quality_scores
+from lodestar.llm.secrets import learn as learn_secrets
+from lodestar.llm.secrets import secret_report
 from lodestar.llm.spelling import spelling_groups
 from lodestar.llm.token_files import token_file_report
 from lodestar.llm.topk_search import search
@@ -142,3 +144,9 @@ def op12_spelling(spark, sf):
 def op13_alignment(spark, sf):
     return align_report(table(spark, sf, "documents").select("doc_id", "text"),
                         public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES))
+
+
+@register("op11_secrets")
+def op11_secrets(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return secret_report(docs, learn_secrets(docs))
