@@ -26,6 +26,8 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,9 +91,11 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_from, a_to, b_from, b_to) -> np.
             inside = (probe >= first[still]) & (probe < first[still] + size[still])
             there, at = still[inside], probe[inside]
             s = swap[there]
-            end = np.where(s, b[np.minimum(at, len(b) - 1)], a[np.minimum(at, len(a) - 1)])
-            other = np.where(s, np.searchsorted(a, end), np.searchsorted(b, end))
-            same = np.where(s, a[np.minimum(other, len(a) - 1)], b[np.minimum(other, len(b) - 1)]) == end
+            other, same = np.empty(len(there), np.int64), np.empty(len(there), bool)
+            for mine, side, across in ((~s, a, b), (s, b, a)):
+                end = side[at[mine]]
+                other[mine] = np.searchsorted(across, end)
+                same[mine] = across[np.minimum(other[mine], len(across) - 1)] == end
             hit = there[same]
             cut_a[hit] = np.where(s, other, at)[same]
             cut_b[hit] = np.where(s, at, other)[same]
@@ -123,30 +127,44 @@ class Aligned:
                     and b"".join(map(right.bytes.__getitem__, b)) == want)
             pairs.append((a, b) if good else (a[:0], []))
         self.a = np.concatenate([a for a, _ in pairs]).astype(np.int64) if pairs else np.zeros(0, np.int64)
-        self.b = np.fromiter((x for _, b in pairs for x in b), np.int64)
+        self.b = np.fromiter(chain.from_iterable(b for _, b in pairs), np.int64)
         self.a_to, self.b_to = np.cumsum([len(a) for a, _ in pairs]), np.cumsum([len(b) for _, b in pairs])
         a_end, b_end = np.cumsum(left.token_sizes[self.a]), np.cumsum(right.sizes[self.b])
         full = np.flatnonzero(np.diff(self.a_to, prepend=0))
         a_from, b_from = np.append(0, self.a_to)[full], np.append(0, self.b_to)[full]
         inner = shared_cuts(a_end, b_end, a_from, self.a_to[full], b_from, self.b_to[full])
         self.group_a = np.sort(np.concatenate([inner, self.a_to[full] - 1])) + 1
-        self.group_b = np.searchsorted(b_end, a_end[self.group_a - 1]) + 1
-        self.groups_to = np.searchsorted(self.group_a, self.a_to, "right")
         # A link is a stretch between neighbouring ends of either side.
-        every = np.zeros(int(a_end[-1]) + 1 if len(a_end) else 1, bool)
-        every[a_end], every[b_end] = True, True
-        every = np.flatnonzero(every[1:]) + 1
-        self.link_a, self.link_b = np.searchsorted(a_end, every), np.searchsorted(b_end, every)
+        of_a, of_b = (np.zeros(int(a_end[-1]) + 1 if len(a_end) else 1, bool) for _ in "ab")
+        of_a[a_end], of_b[b_end] = True, True
+        every = np.flatnonzero(of_a | of_b)
+        before_a, before_b = np.cumsum(of_a), np.cumsum(of_b)  # tokens that end at an offset or before it
+        self.link_a, self.link_b = before_a[every - 1], before_b[every - 1]
         self.links_to = np.searchsorted(self.link_a, self.a_to)
+        self.group_b = before_b[a_end[self.group_a - 1]] if len(a_end) else self.group_a
+        self.groups_to = np.searchsorted(self.group_a, self.a_to, "right")
 
-    def text_of_groups(self, k: int) -> str:
-        """Groups of text k as ``a1,a2|b1;a3|b2,b3``."""
-        g0, g1 = (int(self.groups_to[j]) if j >= 0 else 0 for j in (k - 1, k))
-        a = list(map(str, self.a[(a0 := int(self.a_to[k - 1]) if k else 0):int(self.a_to[k])].tolist()))
-        b = list(map(str, self.b[(b0 := int(self.b_to[k - 1]) if k else 0):int(self.b_to[k])].tolist()))
-        ga, gb = (self.group_a[g0:g1] - a0).tolist(), (self.group_b[g0:g1] - b0).tolist()
-        return ";".join([f"{a[i]}|{b[m]}" if j - i == 1 and n - m == 1 else f"{','.join(a[i:j])}|{','.join(b[m:n])}"
-                         for i, j, m, n in zip([0, *ga], ga, [0, *gb], gb)])
+    def lines(self, a_size: int, b_size: int) -> list[bytes]:
+        """Groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+        if not len(self.a):
+            return [b""] * len(self.a_to)
+        # Tokens in the order of writing, each with the sign that follows it.
+        a_place = np.arange(len(self.a)) + np.repeat(np.append(0, self.group_b[:-1]), np.diff(self.group_a, prepend=0))
+        b_place = np.arange(len(self.b)) + np.repeat(self.group_a, np.diff(self.group_b, prepend=0))
+        sign_a, sign_b = np.zeros(len(self.a), np.int64), np.zeros(len(self.b), np.int64)
+        sign_a[self.group_a - 1], sign_b[self.group_b - 1] = 1, 2
+        size = max(a_size, b_size)
+        name = np.empty(len(self.a) + len(self.b), np.int64)
+        name[a_place], name[b_place] = sign_a * size + self.a, sign_b * size + self.b
+        words = list(map(signed_decimals(size).__getitem__, name.tolist()))
+        ends = (self.a_to + self.b_to).tolist()
+        return [b"".join(words[i:j])[:-1] for i, j in zip([0, *ends], ends)]
+
+
+@cache
+def signed_decimals(size: int) -> list[bytes]:
+    """Decimal numbers below ``size``, followed by each of the three signs."""
+    return [b"%d" % k + sign for sign in (b",", b"|", b";") for k in range(size)]
 
 
 def describe(a_path: str, b_path: str):
@@ -158,9 +176,10 @@ def describe(a_path: str, b_path: str):
             for at, texts in text_slices(batch.select(["text"])):
                 al = Aligned(texts, a_path, b_path)
                 pair = al.a[al.link_a] * len(pieces(b_path).bytes) + al.b[al.link_b]
-                sha, packed = [], []
-                for k, (i, j) in enumerate(zip([0, *al.links_to.tolist()], al.links_to.tolist())):
-                    sha.append(hashlib.sha256(al.text_of_groups(k).encode()).hexdigest() if j > i else "")
+                sha = [hashlib.sha256(x).hexdigest() if x else "" for x in
+                       al.lines(len(codec(a_path, plain=True).token_bytes), len(pieces(b_path).bytes))]
+                packed = []
+                for i, j in zip([0, *al.links_to.tolist()], al.links_to.tolist()):
                     code, times = np.unique(pair[i:j], return_counts=True)
                     packed.append(z.compress(np.diff(code, prepend=0).astype("<i8").tobytes() + times.astype("<i8").tobytes())
                                   if j > i else b"")
