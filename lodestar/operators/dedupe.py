@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.operators.keys import spread_null
+from lodestar.operators.keys import with_spread_key
 from lodestar.operators.records import truthy
 
 
@@ -80,4 +80,5 @@ def resume_anti(new: DataFrame, done: DataFrame, key: str, done_key=None) -> Dat
     never "done", so such rows are kept (``left_anti`` keeps null keys)."""
     seen = seen_keys(done, done_key if done_key is not None else key)
     seen = seen.withColumn("__k__", F.col("__k__").cast("string"))
-    return new.join(seen, spread_null(F.col(key), new) == F.col("__k__"), "left_anti")
+    keyed = with_spread_key(new, "__key__", F.col(key))
+    return keyed.join(seen, F.col("__key__") == F.col("__k__"), "left_anti").drop("__key__")

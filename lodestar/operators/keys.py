@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 SPREAD = 4096
 
 
-def spread_null(key: Column, df: DataFrame) -> Column:
-    """``key`` as text, with nulls replaced by one of ``SPREAD`` values that no
-    real key has (they start with a NUL), chosen by a hash of the row.
+def with_spread_key(df: DataFrame, name: str, key: Column) -> DataFrame:
+    """``df`` with the column ``name``: ``key`` as text, with nulls replaced by
+    one of ``SPREAD`` values that no real key has (they start with a NUL), taken
+    in turn by the rows of a partition.
 
     In a left or anti join a null key matches nothing, yet all null rows of a
-    shuffled join meet in one task; with this key they are dealt evenly."""
-    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SPREAD)).cast("string")
-    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), row))
+    shuffled join meet in one task; with this key they are dealt evenly,
+    whatever the other columns hold.  A rerun may deal them otherwise, which
+    changes no result."""
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string")
+    return df.withColumn(name, F.coalesce(key.cast("string"), F.concat(F.lit("\u0000"), turn)))

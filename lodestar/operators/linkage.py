@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.text import bare_id, repo_owner_repo
 from lodestar.operators.filters import is_aggregator
-from lodestar.operators.keys import spread_null
+from lodestar.operators.keys import with_spread_key
 from lodestar.operators.records import truthy
 
 # A paper id with an optional version; group 1 is the bare id: new style
@@ -55,7 +55,7 @@ def find_links(papers: DataFrame, cands: DataFrame, id_col: str = "arxiv_id", k:
     Candidates ``(ref_id, html_url, full_name, description, stars)`` are keyed
     by the bare (version-less) paper id."""
     links = choose_link(top_candidates(cands, ref_key, k))
-    p = papers.withColumn("__bare__", spread_null(F.when(truthy(id_col), bare_id(F.col(id_col))), papers))
+    p = with_spread_key(papers, "__bare__", F.when(truthy(id_col), bare_id(F.col(id_col))))
     return (p.join(links.withColumnRenamed(ref_key, "__bare__"), "__bare__", "left")
             .drop("__bare__"))
 
@@ -67,7 +67,7 @@ def star_lookup(df: DataFrame, repo_dim: DataFrame, url_col: str = "github_url",
     owner, repo = repo_owner_repo(F.col(url_col))
     d = (repo_dim.groupBy(F.concat_ws("/", "owner", "repo").alias("__r__"))
          .agg(F.max(F.col("stargazers_count").cast("bigint")).alias(out)))
-    base = df.withColumn("__r__", spread_null(F.concat(owner, F.lit("/"), repo), df))
+    base = with_spread_key(df, "__r__", F.concat(owner, F.lit("/"), repo))
     if out in df.columns:
         base = base.drop(out)
     return base.join(d, "__r__", "left").drop("__r__")
@@ -110,12 +110,12 @@ def overmatch_clear(papers: DataFrame, max_papers: int = 2, url_col: str = "gith
                     stars_col: str = "github_stars") -> DataFrame:
     """Null url and stars on rows whose url is linked to more than
     ``max_papers`` rows (only non-empty urls are counted).  An aggregate and
-    a join, not a window; rows without a url are dealt evenly (``spread_null``)."""
+    a join, not a window; rows without a url are dealt evenly (``with_spread_key``)."""
     bad = (papers.where(truthy(url_col)).groupBy(url_col).count()
            .where(F.col("count") > max_papers).select(F.col(url_col).alias("__bad__")))
-    j = papers.join(bad, spread_null(F.col(url_col), papers) == F.col("__bad__"), "left")
+    j = with_spread_key(papers, "__key__", F.col(url_col)).join(bad, F.col("__key__") == F.col("__bad__"), "left")
     hit = F.col("__bad__").isNotNull()
     return (j.withColumn("__overmatched__", hit)
             .withColumn(url_col, F.when(hit, F.lit(None).cast("string")).otherwise(F.col(url_col)))
             .withColumn(stars_col, F.when(hit, F.lit(None).cast("bigint")).otherwise(F.col(stars_col)))
-            .drop("__bad__"))
+            .drop("__bad__", "__key__"))

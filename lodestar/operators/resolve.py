@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import cheap_bound_ok, lcs_length, lcs_length_batched
 from lodestar.functions.text import normalize_name, self_canonical, token_sort
-from lodestar.operators.keys import spread_null
+from lodestar.operators.keys import with_spread_key
 from lodestar.schemas import FUZZY_THRESHOLD, METHOD_EXACT, METHOD_FUZZY, METHOD_NONE
 from lodestar.sources.seed import seed_forms
 
@@ -214,11 +214,11 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
     if materialized:
         names = materialize(names, "resolve-map")
     names = names.withColumn("__raw__", F.col("__raw__").cast("string"))
-    out = df.join(names, spread_null(F.col(name_col), df) == F.col("__raw__"), "left")
+    out = with_spread_key(df, "__key__", F.col(name_col)).join(names, F.col("__key__") == F.col("__raw__"), "left")
     return (out.withColumn(prefix + "canonical_name", F.col("__c__"))
             .withColumn(prefix + "method", F.coalesce(F.col("__m__"), F.lit(METHOD_NONE)))
             .withColumn(prefix + "confidence", F.coalesce(F.col("__s__"), F.lit(0.0)))
-            .drop("__raw__", "__c__", "__m__", "__s__"))
+            .drop("__key__", "__raw__", "__c__", "__m__", "__s__"))
 
 
 def mapping_log(resolved: DataFrame, entity_type: str, raw_col: str, url_col) -> DataFrame:

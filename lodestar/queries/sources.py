@@ -261,3 +261,31 @@ def q_paper_abstracts(spark, sf):
     p = P.paper_records(entries, as_of)
     return p.select(F.col("content.arxiv_id").alias("arxiv_id"), F.col("content.abstract").alias("abstract"),
                     F.array_join("content.categories", " ").alias("categories"))
+
+
+# ---------------------------------------------------------------- salvage
+@register("page_salvage", """
+SELECT event_id AS id, event_id % 100 AS pos, event_id % 10 = 1 AS is_nan,
+  CASE event_id % 10 WHEN 0 THEN 'last' WHEN 3 THEN '{"a":1,"a":2}' WHEN 4 THEN 'x],{"y"\\' WHEN 5 THEN NULL ELSE event_type END AS title
+FROM events WHERE event_id % 10 NOT IN (2, 6)""")
+def q_page_salvage(spark, sf):
+    """S6 + S7: pages in which some elements have a repeated key, ``NaN``, a
+    repeated key inside a field, brackets and a backslash in a text, a broken
+    value, or are no object: only the last two are lost, and only they."""
+    k = F.col("event_id")
+    key = F.concat(F.lit('{"id":'), k.cast("string"))
+    title = F.concat(F.lit(',"title":"'), F.col("event_type"), F.lit('"'))
+    item = (F.when(k % 10 == 0, F.concat(key, title, F.lit(',"title":"last"}')))
+            .when(k % 10 == 1, F.concat(key, title, F.lit(',"score":NaN}')))
+            .when(k % 10 == 2, F.concat(key, F.lit(',"title": }')))
+            .when(k % 10 == 3, F.concat(key, F.lit(',"title":{"a":1,"a":2}}')))
+            .when(k % 10 == 4, F.concat(key, F.lit(',"title":"x],{\\"y\\"\\\\"}')))
+            .when(k % 10 == 5, F.concat(key, F.lit(',"title":null}')))
+            .when(k % 10 == 6, F.lit('"notice"'))
+            .otherwise(F.concat(key, title, F.lit("}"))))
+    e = _ev(spark, sf).withColumn("x", F.concat(F.when(k % PAGE == 0, "").otherwise(", "), item))
+    fields = {"id": "bigint", "title": "string", "score": "double"}
+    lists, objects = e.where(F.col("page") % 2 == 0), e.where(F.col("page") % 2 == 1)
+    rows = S.json_mixed_rows(_pack_text(lists, "x", "[", "]"), fields, keep=["page"]).unionByName(
+        S.json_data_rows(_pack_text(objects, "x", '{"data": 1, "data":[', '], "next":{"data":[]}}'), fields, keep=["page"]))
+    return rows.select("id", F.col("pos").cast("bigint").alias("pos"), F.coalesce(F.isnan("score"), F.lit(False)).alias("is_nan"), "title")

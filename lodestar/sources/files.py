@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.session import path_exists
+from lodestar.sources.payloads import object_fields, with_objects
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType,
@@ -23,7 +24,8 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType,
                         with_rejects: bool = False):
     """Resume scan that skips lines which are not JSON objects; blank lines
     do not count.  Which lines are rows does not depend on the columns that
-    are selected: a field of another type is null and its line stays.
+    are selected: a field of another type is null and its line stays.  Of a
+    repeated key the last value counts, and ``NaN`` is a number (as in S1).
 
     With ``with_rejects`` returns ``(good, rejected_count_df)``."""
     if not path_exists(spark, path):
@@ -31,14 +33,12 @@ def read_jsonl_tolerant(spark: SparkSession, path: str, schema: T.StructType,
         return (empty, spark.range(1).select(F.lit(0).cast("bigint").alias("rejected"))) \
             if with_rejects else empty
     lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
-    doc = F.try_parse_json("value")
-    is_object = F.try_variant_get(doc, "$", "map<string,variant>").isNotNull()
-    good = (lines.where(is_object).select(doc.alias("__v__"))
-            .select(*[F.try_variant_get("__v__", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-                      for f in schema.fields]))
+    fields = {f.name: f.dataType.simpleString() for f in schema.fields}
+    objects = with_objects(lines, F.col("value"), fields)
+    good = objects.where("__is_object__").select(*object_fields(fields))
     if not with_rejects:
         return good
-    return good, lines.agg(F.count_if(~is_object).cast("bigint").alias("rejected"))
+    return good, objects.agg(F.count_if(~F.col("__is_object__")).cast("bigint").alias("rejected"))
 
 
 def prefer_nonempty(first: DataFrame, second: DataFrame) -> DataFrame:

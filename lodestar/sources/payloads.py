@@ -2,16 +2,19 @@
 
 Fetching is not part of the engine: payloads are landed as rows
 ``(source, fetched_at, payload STRING)`` plus any position columns (tag
-index, page start).  Parsing is ``from_json`` / ``from_xml`` and
-``posexplode``, so each payload row is parsed inside one task and the
+index, page start).  JSON pages are cut into elements by a structural scan
+(``elements``), each parsed by ``from_json``; feeds are read by ``from_xml``.
+Each payload row is handled inside one task and the
 element rows keep their position for order-dependent operators.
-A payload that does not parse yields no rows (never a failed job).
+A payload that does not parse yields no rows (never a failed job); a broken
+element of a JSON page is lost alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Element schemas of the landed payloads.
 COMPANY_ELEMENT = ("id BIGINT, name STRING, url STRING, one_liner STRING, "
@@ -33,12 +36,74 @@ ATOM_PAPER_ENTRY = ("id STRING, title STRING, summary STRING, published STRING,
                     "author ARRAY<STRUCT<name: STRING>>, category ARRAY<STRUCT<_term: STRING>>")
 
 
+def page_elements(payloads: DataFrame, payload_col: str = "payload", keep=(), member: str | None = None) -> DataFrame:
+    """``keep``, ``pos`` and the text ``element`` of each element of the JSON
+    lists (see ``elements``); a payload of another shape gives no rows."""
+    from pyspark import cloudpickle
+
+    from lodestar.sources import elements
+    cloudpickle.register_pickle_by_value(elements)
+    pages = payloads.select(*[F.col(k) for k in keep], F.col(payload_col).cast("string").alias("__payload__"))
+    out = T.StructType([*pages.schema.fields[:-1], T.StructField("pos", T.IntegerType()), T.StructField("element", T.StringType())])
+    return pages.mapInArrow(elements.split_pages(member), out)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def with_objects(df: DataFrame, text: Column, fields: dict, present: str | None = None) -> DataFrame:
+    """``df`` with the JSON objects of ``text`` parsed: ``__is_object__``, and
+    what ``object_fields`` reads.  With ``present`` an object counts only if it
+    has that key, be it null.
+
+    Only the named fields are parsed, each as a variant of its own.  Where a
+    field's own value has a repeated key inside (no variant), and only there,
+    the object is parsed again with its fields as texts."""
+    bad = "__bad__"
+    names = list(dict.fromkeys([*fields, *([present] if present else [])]))
+    opts = {"columnNameOfCorruptRecord": bad}
+
+    def parsed(kind):
+        return F.from_json(text, ", ".join(f"{quoted(n)} {kind}" for n in names) + f", {bad} string", opts)
+
+    o, raw = F.col("__o__"), F.col("__raw__")
+    out = df.withColumn("__o__", parsed("variant"))
+    good = o.isNotNull() & o[bad].isNull()
+    out = out.withColumn("__raw__", F.when(~good, parsed("string")))
+    is_object = good | (raw.isNotNull() & raw[bad].isNull())
+    if present:
+        is_object = is_object & F.when(good, o[present].isNotNull()).otherwise(
+            F.array_contains(F.json_object_keys(text), present))
+    return out.withColumn("__is_object__", F.coalesce(is_object, F.lit(False)))
+
+
+def object_fields(fields: dict) -> list[Column]:
+    """Fields of the objects of ``with_objects``.  A value of another type is
+    converted if it can be (a number as text, 1 as true) and null otherwise.  Of
+    a repeated key the last value counts; ``NaN`` and ``Infinity`` are numbers."""
+    o, raw = F.col("__o__"), F.col("__raw__")
+    cols = []
+    for n, t in fields.items():
+        plain = raw[n] if t == "string" else F.from_json(raw[n], t) if "<" in t else raw[n].try_cast(t)
+        cols.append(F.when(raw.isNull(), F.try_variant_get(o[n], "$", t)).otherwise(plain).alias(n))
+    return cols
+
+
+def _element_rows(elements: DataFrame, fields: dict, keep, present: str | None = None) -> DataFrame:
+    objects = with_objects(elements, F.col("element"), fields, present).where("__is_object__")
+    # A generator on purpose: Catalyst merges no projection across it, so that the
+    # expressions of later steps (dates) read columns and not the parser's output.
+    return objects.select(*keep, "pos", F.inline(F.array(F.struct(*object_fields(fields)))))
+
+
 def json_array_rows(payloads: DataFrame, element_ddl: str, payload_col: str = "payload",
                     keep=()) -> DataFrame:
-    """JSON array payload -> one row per element with its position ``pos``."""
-    arr = F.from_json(F.col(payload_col), f"array<struct<{element_ddl}>>")
-    return (payloads.select(*[F.col(k) for k in keep], F.posexplode(arr).alias("pos", "__e__"))
-            .select(*keep, "pos", "__e__.*"))
+    """JSON array payload -> one row per element with its position ``pos``.
+    Elements that are no objects are skipped."""
+    schema = T.StructType.fromDDL(element_ddl)
+    fields = {f.name: f.dataType.simpleString() for f in schema.fields}
+    return _element_rows(page_elements(payloads, payload_col, keep), fields, keep)
 
 
 def json_mixed_rows(payloads: DataFrame, fields: dict, key: str = "id",
@@ -46,31 +111,21 @@ def json_mixed_rows(payloads: DataFrame, fields: dict, key: str = "id",
     """Heterogeneous JSON list: non-objects and objects without ``key``
     are skipped (``"id": null`` still counts as present); a payload that is
     not a list gives no rows."""
-    arr = F.from_json(F.col(payload_col), "array<variant>")
-    e = payloads.select(*[F.col(k) for k in keep], F.posexplode(arr).alias("pos", "__v__"))
-    obj = F.try_variant_get(F.col("__v__"), "$", "map<string,variant>")
-    e = e.where(F.coalesce(F.map_contains_key(obj, key), F.lit(False)))
-    cols = [F.try_variant_get(F.col("__v__"), f"$.{name}", t).alias(name) for name, t in fields.items()]
-    return e.select(*keep, "pos", *cols)
+    return _element_rows(page_elements(payloads, payload_col, keep), fields, keep, present=key)
 
 
 def json_data_rows(payloads: DataFrame, fields: dict, payload_col: str = "payload",
                    keep=()) -> DataFrame:
     """JSON object with a ``data`` array -> rows; other shapes -> none.
-    Each field is read by itself: a value of another type is converted if it
-    can be (a number as text, 1 as true) and null otherwise, and never takes
-    other fields or the element with it."""
-    obj = F.from_json(F.col(payload_col), "struct<data: array<variant>>")
-    e = payloads.select(*[F.col(k) for k in keep], F.posexplode(obj["data"]).alias("pos", "__v__"))
-    e = e.where(F.try_variant_get(F.col("__v__"), "$", "map<string,variant>").isNotNull())
-    cols = [F.try_variant_get(F.col("__v__"), f"$.{name}", t).alias(name) for name, t in fields.items()]
-    return e.select(*keep, "pos", *cols)
+    Each field is read by itself (``object_fields``) and never takes other
+    fields or the element with it."""
+    return _element_rows(page_elements(payloads, payload_col, keep, member="data"), fields, keep)
 
 
 def atom_paper_entries(payloads: DataFrame, payload_col: str = "payload", keep=()) -> DataFrame:
     """Atom paper feed -> ``(pos, id, title, summary, published, authors,
     categories)``."""
-    doc = F.from_xml(F.col(payload_col), f"entry ARRAY<STRUCT<{ATOM_PAPER_ENTRY}>>")
+    doc = F.from_xml(inline_text(F.col(payload_col)), f"entry ARRAY<STRUCT<{ATOM_PAPER_ENTRY}>>")
     e = payloads.select(*[F.col(k) for k in keep], F.posexplode(doc["entry"]).alias("pos", "__e__"))
     return e.select(*keep, "pos", F.col("__e__.id").alias("id"), F.col("__e__.title").alias("title"),
                     F.col("__e__.summary").alias("summary"),
@@ -81,10 +136,19 @@ def atom_paper_entries(payloads: DataFrame, payload_col: str = "payload", keep=(
 
 def rss_items(payloads: DataFrame, payload_col: str = "payload", item_ddl: str = RSS_ITEM,
               keep=()) -> DataFrame:
-    """RSS 2.0 ``channel.item[]`` -> rows; malformed XML -> no rows."""
-    doc = F.from_xml(F.col(payload_col), f"channel STRUCT<item: ARRAY<STRUCT<{item_ddl}>>>")
-    return (payloads.select(*[F.col(k) for k in keep],
-                            F.posexplode(doc["channel"]["item"]).alias("pos", "__e__"))
+    """RSS ``item`` elements at any depth -> rows, in document order; an
+    element's text is the joined text below it; malformed XML -> no rows.
+
+    The page is parsed once to see that it is well-formed; its items are cut
+    out by their tags (CDATA sections are turned into escaped text before, so
+    that tags inside them are text) and parsed one by one."""
+    bad = "__bad__"
+    text = inline_text(F.col(payload_col))
+    page = F.from_xml(text, f"channel STRING, {bad} STRING", {"columnNameOfCorruptRecord": bad, "mode": "PERMISSIVE"})
+    pages = payloads.select(*[F.col(k) for k in keep], F.when(page[bad].isNull(), escaped_sections(text)).alias("__page__"))
+    items = F.regexp_extract_all("__page__", F.lit(r"(?s)(<item(?:\s[^<>]*)?(?:/>|(?<!/)>.*?</item\s*>))"))
+    return (pages.select(*keep, F.posexplode(items).alias("pos", "__item__"))
+            .select(*keep, "pos", F.from_xml("__item__", item_ddl).alias("__e__"))
             .select(*keep, "pos", "__e__.*"))
 
 
@@ -103,6 +167,18 @@ def inline_text(payload) -> Column:
     return F.array_join(opened, "")
 
 
+def escaped_sections(payload) -> Column:
+    """XML whose CDATA sections are escaped text, without comments."""
+    parts = F.split(payload, r"(?=<!\[CDATA\[)|(?<=\]\]>)", -1)
+
+    def plain(x):
+        body = F.regexp_replace(x, r"(?s)^<!\[CDATA\[(.*)\]\]>$", "$1")
+        return F.replace(F.replace(F.replace(body, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+    return F.array_join(F.transform(parts, lambda x: F.when(x.startswith("<![CDATA["), plain(x))
+                                    .otherwise(F.regexp_replace(x, r"(?s)<!--.*?-->", ""))), "")
+
+
 def feed_items(payloads: DataFrame, payload_col: str = "payload", keep=()) -> DataFrame:
     """S10 + U3: one parse with both RSS items and Atom entries; each is
     projected to ``(kind, pos, title, link, summary, date_raw)`` and the two
