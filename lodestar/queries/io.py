@@ -146,6 +146,50 @@ def q_stream_dedupe(spark, sf):
     return spark.read.parquet(sink).select("event_type", "user_id", "event_id")
 
 
+@register("stream_first_wins", """
+SELECT event_type, user_id, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY event_id) rn FROM events WHERE user_id % 7 <> 0)
+WHERE rn = 1 UNION ALL SELECT event_type, user_id, event_id FROM events WHERE user_id % 7 = 0""")
+def q_stream_first_wins(spark, sf):
+    """First row per key over all batches in any order of arrival, by keyed
+    state; the drop with the odd ids comes first, so that later batches take
+    keys over.  Rows without a key all stay."""
+    base, drops = _two_drops(spark, sf)
+
+    def upsert(batch, batch_id):
+        batch.write.mode("overwrite").parquet(ST.batch_path(f"{base}/first", batch_id))
+
+    for i, d in enumerate(reversed(drops)):
+        d.write.json(f"{base}/in/drop{i}")
+        s = ST.landed_stream(spark, f"{base}/in/*", _EV_SCHEMA).withColumn(
+            "k", F.when(F.col("user_id") % 7 != 0, F.concat_ws("|", "event_type", F.col("user_id").cast("string"))))
+        ST.run_available(ST.first_wins_stream(s, "k", ["event_id"]), None, f"{base}/ckpt", foreach_batch=upsert, mode="update")
+    rows = spark.read.parquet(f"{base}/first")
+    return ST.first_rows(rows, "k", ["event_id"]).select("event_type", "user_id", "event_id")
+
+
+def _deduped(spark, sf, dedupe):
+    base, drops = _two_drops(spark, sf)
+    for i, d in enumerate(drops):
+        d.write.json(f"{base}/in/drop{i}")
+        s = dedupe(ST.landed_stream(spark, f"{base}/in/*", _EV_SCHEMA))
+        ST.run_available(s, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").select("event_type", "user_id")
+
+
+@register("stream_dedupe_state", "SELECT DISTINCT event_type, user_id FROM events")
+def q_stream_dedupe_state(spark, sf):
+    """T2 with the keys in the state store: one row per key over both drops."""
+    return _deduped(spark, sf, lambda s: ST.dedupe_stateful(s, ["event_type", "user_id"]))
+
+
+@register("stream_dedupe_bounded", "SELECT DISTINCT event_type, user_id FROM events")
+def q_stream_dedupe_bounded(spark, sf):
+    """T2 with a watermark that leaves all events of the table in reach."""
+    return _deduped(spark, sf, lambda s: ST.dedupe_within_watermark(
+        s.withColumn("at", F.to_timestamp("ts")), ["event_type", "user_id"], "at", "10000 days"))
+
+
 def _gated(spark, sf):
     base, drops = _two_drops(spark, sf)
     as_of = events_as_of(spark, sf)

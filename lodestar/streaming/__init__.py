@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from lodestar.functions.dates import is_fresh, parse_flexible_date
 from lodestar.operators.dedupe import first_wins
 from lodestar.session import path_exists
+from lodestar.streaming.keyed_first import first_rows, first_wins_stream  # noqa: F401
 
 
 def landed_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
@@ -27,15 +28,15 @@ def landed_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 
 
 def run_available(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                  foreach_batch=None, query_name: str | None = None) -> None:
+                  foreach_batch=None, query_name: str | None = None, mode: str = "append") -> None:
     """Drain everything landed so far, then stop (resumable by checkpoint)."""
     w = df.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if query_name:
         w = w.queryName(query_name)
     if foreach_batch is not None:
-        q = w.foreachBatch(foreach_batch).start()
+        q = w.foreachBatch(foreach_batch).outputMode(mode).start()
     else:
-        q = w.format(fmt).option("path", sink).outputMode("append").start()
+        q = w.format(fmt).option("path", sink).outputMode(mode).start()
     q.awaitTermination()
 
 
@@ -52,7 +53,8 @@ def dedupe_into(spark: SparkSession, sink: str, key: str, order, schema: T.Struc
 
     The keys of the sink are kept next to it (``<sink>_keys``), partitioned by
     a hash of the key: a batch reads the partitions of its own keys only.
-    Rows with a null key are never duplicates."""
+    Rows with a null key are never duplicates.  :func:`first_wins_stream` does
+    not depend on the history, and lets an earlier row win that arrives later."""
     keys = f"{sink.rstrip('/')}_keys"
     at = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
     key_type = next(f.dataType for f in schema.fields if f.name == key)
