@@ -10,10 +10,13 @@ verified distance is not above that; the other queries grow their radius.
 
 Equal codes are one entry with their k smallest ids (no other id can be among
 the first k), so a vector that holds a large share of all rows is one entry;
-equal queries are answered once.  Index and queries meet in blocks: entries
-and queries are dealt into blocks of bounded size by a hash of the code, and
-each task handles one block of one segment's index against one block of
-queries, returning at most k candidates per query.
+equal queries are answered once.  The index is dealt out once: each entry lies,
+per segment, in the bucket of its value's first bits, with buckets for about
+``INDEX_BLOCK`` entries.  In a round a query goes to the buckets that hold values
+it looks up, at most as many as it has values, so that what is shuffled grows in
+proportion to the rows.  A task looks the values up, verifies and returns at
+most k candidates per query; no pairs are shuffled.  A bucket in which many codes
+share a value is split by a hash of the code, and its queries go to every part.
 
 Defined results: neighbours are ordered by distance, then id, and a query is
 its own neighbour; null vectors and null ids are neither indexed nor queries;
@@ -37,8 +40,8 @@ from pyspark.sql.window import Window
 from lodestar.llm.common import cut, ship
 
 SEGMENT = 16
-INDEX_BLOCK = 1 << 16
-QUERY_BLOCK = 1 << 9
+INDEX_BLOCK = 1 << 14     # entries of a bucket, about
+PAIRS = 1 << 20           # codes verified at a time
 
 
 def encode_signs(dims: int):
@@ -60,6 +63,12 @@ def encode_signs(dims: int):
     return run
 
 
+def segment_value(code, segment, bits: int):
+    """First ``bits`` bits of a segment of a code."""
+    value = F.conv(F.hex(F.substring(code, segment * (SEGMENT // 8) + 1, F.lit(SEGMENT // 8))), 16, 10).cast("int")
+    return F.shiftright(value, SEGMENT - bits)
+
+
 def sign_codes(vectors: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, int]:
     """(id, code) of all vectors, and the number of segments."""
     v = ship(vectors).select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v")).dropna()
@@ -76,8 +85,27 @@ def as_words(codes) -> np.ndarray:
     return np.frombuffer(b"".join(codes), ">u2").reshape(len(codes), -1).astype(np.uint16) if len(codes) else np.zeros((0, 1), np.uint16)
 
 
+def deal_queries(m: int, distance: int, bits: int):
+    """(query, bound) -> (query, bound, segment, bucket) for every bucket of
+    segment values that holds a value at ``distance`` from the query's own."""
+    tops = np.unique(masks(distance) >> (SEGMENT - bits)) if bits else np.zeros(1, np.uint16)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                words = as_words(part.column(0).to_pylist()) >> (SEGMENT - bits) if bits else np.zeros((part.num_rows, m), np.uint16)
+                buckets = (words[:, :, None] ^ tops).astype(np.int32)
+                row, segment, _ = np.indices(buckets.shape)
+                yield pa.RecordBatch.from_arrays(
+                    [*[c.take(pa.array(row.ravel())) for c in part.columns], pa.array(segment.ravel().astype(np.int32)),
+                     pa.array(buckets.ravel())], ["query", "bound", "segment", "bucket"])
+    return run
+
+
 def probe(k: int, distance: int):
-    """One block of a segment's index against one block of queries."""
+    """A bucket of a segment's index against the queries that look into it:
+    per query at most ``k`` entries, the nearest of the smallest ids."""
     flips = masks(distance)
 
     def run(entries: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
@@ -89,27 +117,40 @@ def probe(k: int, distance: int):
             order = np.argsort(codes[:, segment], kind="stable")
             starts = np.searchsorted(codes[order, segment], np.arange((1 << SEGMENT) + 1))
             bound = queries["bound"].to_numpy()
-            for i in range(len(asked)):
-                values = (asked[i, segment] ^ flips).astype(np.int64)
-                a, n = starts[values], starts[values + 1] - starts[values]
-                total = int(n.sum())
-                if not total:
-                    continue
-                place = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(total)
-                hit = order[place]
-                d = np.bitwise_count(codes[hit] ^ asked[i]).sum(1).astype(np.int64)
-                near = d <= bound[i]
-                hit, d = hit[near], d[near]
-                best = np.lexsort((first[hit], d))[:k]
-                out.append(pd.DataFrame({"query": [queries["query"].iloc[i]] * len(best), "distance": d[best],
-                                         "code": entries["code"].to_numpy()[hit[best]], "first_id": first[hit[best]],
-                                         "n": entries["n"].to_numpy()[hit[best]]}))
-        return pd.concat(out) if out else pd.DataFrame(
-            {"query": pd.Series([], dtype=object), "distance": pd.Series([], dtype="int64"),
-             "code": pd.Series([], dtype=object), "first_id": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
+            step = max(1, (1 << 20) // len(flips))
+            for q0 in range(0, len(asked), step):
+                values = (asked[q0:q0 + step, segment, None] ^ flips).astype(np.int64)
+                a, n = starts[values].ravel(), (starts[values + 1] - starts[values]).ravel()
+                look = np.flatnonzero(n)
+                ends = np.cumsum(n[look])
+                for i, j in spans_of(ends, PAIRS):
+                    some = look[i:j]
+                    m, total = n[some], int(n[some].sum())
+                    place = np.repeat(a[some] - (np.cumsum(m) - m), m) + np.arange(total)
+                    hit, q = order[place], np.repeat(some // len(flips), m) + q0
+                    d = np.bitwise_count(codes[hit] ^ asked[q]).sum(1).astype(np.int64)
+                    near = d <= bound[q]
+                    hit, q, d = hit[near], q[near], d[near]
+                    best = np.lexsort((first[hit], d, q))
+                    hit, q, d = hit[best], q[best], d[best]
+                    nth = np.arange(len(q)) - np.searchsorted(q, q)
+                    keep = nth < k
+                    out.append((q[keep], d[keep], hit[keep]))
+        q, d, hit = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 3
+        return pd.DataFrame({"query": queries["query"].to_numpy()[q], "distance": d, "code": entries["code"].to_numpy()[hit],
+                             "first_id": entries["first_id"].to_numpy()[hit], "n": entries["n"].to_numpy()[hit]})
     return run
 
 
+def spans_of(ends: np.ndarray, size: int):
+    """Index ranges of about ``size`` in sum, at least one item each."""
+    i = 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right")))
+        yield i, j
+        i = j
+
+
 FOUND = "query binary, distance long, code binary, first_id long, n long"
 
 
@@ -125,24 +166,24 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", ve
     n_entries, n_ids = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     asked = codes.where(is_query)
     queries = cut(asked.select(F.col("code").alias("query")).distinct())
-    n_queries = queries.count()
     want = min(k, n_ids)  # ids an answer can have; n_ids counts up to k a code
-    index_blocks, query_blocks = -(-n_entries // INDEX_BLOCK) or 1, -(-n_queries // QUERY_BLOCK) or 1
-
-    def block(code, n):
-        return F.pmod(F.xxhash64(code), F.lit(n)).cast("int")
-
-    def each(n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    index = (entries.select("code", "first_id", "n", block("code", index_blocks).alias("index_block"))
-             .withColumn("segment", each(m)).withColumn("query_block", each(query_blocks)))
-    keys = ["segment", "index_block", "query_block"]
+    bits = min(max(n_entries - 1, 0) // INDEX_BLOCK, (1 << SEGMENT) - 1).bit_length()
+
+    # The index: every entry once per segment, in the bucket of its value's first bits.
+    index = (entries.select("code", "first_id", "n").withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+             .withColumn("bucket", segment_value(F.col("code"), F.col("segment"), bits)))
+    # A bucket of more entries than usual (a value that many codes share) is split; its queries go to all parts.
+    parts = cut(index.groupBy("segment", "bucket").agg(
+        F.ceil(F.count(F.lit(1)) / (2 * INDEX_BLOCK)).cast("int").alias("parts")))
+    index = cut(index.join(parts, ["segment", "bucket"]).withColumn("part", F.pmod(F.xxhash64("code"), F.col("parts")).cast("int"))
+                .drop("parts"))
+    keys = ["segment", "bucket", "part"]
     found = spark.createDataFrame([], FOUND)
     active = queries.withColumn("bound", F.lit(m * SEGMENT).cast("long"))
     for s in range(SEGMENT + 1):
-        spread = (active.withColumn("query_block", block("query", query_blocks))
-                  .withColumn("segment", each(m)).withColumn("index_block", each(index_blocks)))
+        spread = (active.select("query", "bound").mapInArrow(
+            deal_queries(m, s, bits), "query binary, bound long, segment int, bucket int")
+            .join(parts, ["segment", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts"))
         new = index.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(probe(k, s), FOUND)
         # Ids at smaller distances come first; at its own distance any entry can hold the next smallest id.
         nearer = Window.partitionBy("query").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
