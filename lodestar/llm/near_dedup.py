@@ -14,11 +14,14 @@ keeps it below ``MISSED`` (30 bands of 6 for 85, 36 bands of 5 for 80).
 Scale.  Documents with equal sets (a 128-bit digest) are one node, so copies
 never meet each other.  In a bucket (one key of one band) no pairs are emitted:
 first every node is tested against the one bucket minimum it shares most bands
-with, and components are formed.  Buckets whose nodes are still in more than
-one component are dealt into blocks of about ``BLOCK`` nodes, every two blocks
-of a bucket meet in one task, and that task returns only the links that join
-components.  No candidate is dropped: it is tested, or both nodes are in one
-component already.  All tests are exact, on the full sets of both texts.
+with, and components are formed.  Nodes of buckets that still hold more than one
+component pass a lossless prefix filter: they are candidates only if they share
+one of their rarest shingles, are of like size and in different components.  So
+pages that share a template are no candidates, however many they are.  Only a rare
+shingle that more than ``BLOCK`` unsure nodes share is handled in blocks, every two
+blocks in one task, which returns just the links that join components.  No
+candidate is dropped: it is tested, or both nodes are in one component already.
+All tests are exact, on the full sets of both texts.
 
 Texts of candidate nodes are read again by their digest, behind a bitmap of
 fixed size (``FILTER_BITS``) that keeps most other texts from being shuffled.
@@ -26,8 +29,8 @@ fixed size (``FILTER_BITS``) that keeps most other texts from being shuffled.
 Defined results: null texts and texts without words have an empty set, are
 linked with nothing and kept; the smallest id of a component is its
 ``component_id`` and its row is kept; null ids come after all others, equal
-ids and null ids are ordered by a hash of the text, and rows equal in id and
-text are kept alike by ``near_groups`` and once by ``near_dedup``; an empty
+ids and null ids are ordered by a hash of the text; ``near_groups`` marks every
+row with the component's id as kept, ``near_dedup`` keeps one row; an empty
 table gives an empty result; other columns pass through untouched.
 """
 
@@ -54,6 +57,7 @@ HASHES = 90
 MISSED = 1e-6            # probability that a pair at the limit is no candidate
 FILTER_BITS = 1 << 23
 BLOCK = 256
+SLOTS = 1 << 20          # counters of the order of shingles
 _RNG = np.random.default_rng(5)
 _XOR = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -316,21 +320,91 @@ def find_components(nodes: DataFrame, docs_text: DataFrame, least: int) -> DataF
     links = confirm(best.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct(), texts, least)
     roots = components(links)
 
-    # Buckets that still hold more than one component: all their nodes, in blocks.
+    # Nodes of buckets that still hold more than one component.
     r = roots.select(F.col("node").alias("linked"), "root")
     left = (members.join(r, members["node"] == r["linked"], "left")
             .select("key", "node", F.coalesce("root", "node").alias("root")))
-    still = (left.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"))
-             .where("r0 <> r1").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    mine, other = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"), F.col("other")
-    placed = (left.join(still, "key")
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("mine", mine)
+    still = left.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    unsure = cut(left.join(still, "key").select("node", "root").distinct())
+    known = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    if not unsure.take(1):
+        return roots
+    pairs, large = prefix_pairs(unsure.join(texts, "node"), least)
+    more = confirm(pairs, texts, least)
+    if large.take(1):
+        more = more.union(large_groups(large, texts, least))
+    return components(known.union(more))
+
+
+def slot_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(SLOTS)).astype(np.int64)
+
+
+def prefix_pairs(unsure: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate links among (node, root, words) of different roots, and the
+    rows (key, node, root) of groups that are too large for pairs.
+
+    The shingles of all nodes are put in one order, rare ones first (by the
+    counts of ``SLOTS`` hash slots).  Sets that share ``least`` per cent share a
+    shingle among the first ``n - ceil(least * n / 100) + 1`` of each, so nodes
+    that meet on none of these are no candidates.  A shingle alone in its slot
+    meets nothing and is left out."""
+    spark = unsure.sparkSession
+
+    def count(batches):
+        sets, n = Sets(1), np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for node, words in zip(*(c.to_pylist() for c in batch.columns)):
+                np.add.at(n, slot_of(sets.of(node, words)), 1)
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used])], ["slot", "n"])
+
+    found = (unsure.select("node", "words").mapInArrow(count, "slot long, n long")
+             .groupBy("slot").agg(F.sum("n").alias("n")).toPandas())  # SLOTS rows at most
+    n = np.zeros(SLOTS, np.int64)
+    n[found["slot"].to_numpy(np.int64)] = found["n"]
+    shared = spark.sparkContext.broadcast(n)
+
+    def prefixes(batches):
+        sets = Sets(1)
+        for batch in batches:
+            key, at, size = [], [], []
+            for k, (node, words) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 2)))):
+                s = sets.of(node, words)
+                times = shared.value[slot_of(s)]
+                first = np.lexsort((s, times))[:len(s) - (least * len(s) + 99) // 100 + 1]
+                first = first[times[first] > 1]
+                key.append(s[first].view(np.int64))
+                at += [k] * len(first)
+                size += [len(s)] * len(first)
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(key) if key else [], pa.int64()), batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.array(size, pa.int64())], ["key", "node", "root", "n"])
+
+    rows = cut(unsure.select("node", "root", "words").mapInArrow(prefixes, "key long, node binary, root binary, n long"))
+    groups = cut(rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count(F.lit(1)).alias("size"))
+                 .where("r0 <> r1").select("key", "size"))
+    small = rows.join(groups.where(F.col("size") <= BLOCK).select("key"), "key")
+    other = small.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+    near_size = F.lit(100) * F.least("n", "n_b") >= F.lit(least) * F.greatest("n", "n_b")
+    pairs = (small.join(other, "key").where((F.col("root") < F.col("root_b")) & near_size)
+             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    large = rows.join(groups.where(F.col("size") > BLOCK), "key").select("key", "node", "root", "size")
+    return pairs, large
+
+
+def large_groups(rows: DataFrame, texts: DataFrame, least: int) -> DataFrame:
+    """Links within groups of any size: every two blocks of a group meet in one task."""
+    other = F.col("other")
+    placed = (rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
               .select("key", F.least("mine", other).alias("lo"), F.greatest("mine", other).alias("hi"), "node", "root"))
     group = ["key", "lo", "hi"]
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    more = cut(placed.join(texts, "node").select(*group, "node", "root", "words").repartition(n, *group)
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(placed.join(texts, "node").select(*group, "node", "root", "words").repartition(n, *group)
                .sortWithinPartitions(*group).mapInArrow(block_links(least), "a binary, b binary"))
-    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
 
 
 def near_rows(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
@@ -358,7 +432,7 @@ def near_rows(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFr
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
     r = near_rows(docs, id_col, text_col, least)
-    kept = F.col("id").eqNullSafe(F.col("w.id")) & (F.col("row_hash") == F.col("w.row_hash"))
+    kept = F.col("id").eqNullSafe(F.col("w.id"))
     return r.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("w.id").alias("component_id"),
                     kept.alias("kept"))
 

@@ -149,3 +149,58 @@ def test_signature_values_agree_as_often_as_the_sets(spark):
         s = nd.signatures([a, b])
         agree.append((s[0] == s[1]).mean())
     assert abs(np.mean(agree) - 360 / 500) < 0.02
+
+
+def template_docs(n, rng):
+    """Distinct pages around one template, all pairs just below the limit, and a near copy of every tenth."""
+    template = " ".join("".join(rng.choices("abcdef", k=5)) for _ in range(200))
+    rows = []
+    for k in range(n):
+        own = " ".join("".join(rng.choices("ghijkl", k=5)) for _ in range(36))
+        rows.append((2 * k, f"{template} {own}"))
+        if k % 10 == 0:
+            rows.append((2 * k + 1, f"{template} {own} end"))
+    return rows
+
+
+def test_pages_of_a_template_are_no_candidates(spark, monkeypatch):
+    pairs_seen = []
+    inner = nd.prefix_pairs
+
+    def watched(unsure, least):
+        pairs, large = inner(unsure, least)
+        pairs_seen.append((unsure.count(), pairs.count(), large.count()))
+        return pairs, large
+
+    monkeypatch.setattr(nd, "prefix_pairs", watched)
+    rng = random.Random(12)
+    for n in (150, 600):
+        rows = template_docs(n, rng)
+        got = {r.doc_id: r.component_id for r in nd.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got == {k: k - k % 2 for k, _ in rows}
+    for unsure, pairs, large in pairs_seen:
+        assert unsure > 100 and pairs <= 0.2 * unsure and large == 0
+
+
+def test_large_groups_of_a_rare_shingle_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 3)
+    rng = random.Random(13)
+    base = ["".join(rng.choices("abcdef", k=5)) for _ in range(80)]
+    rows = []
+    for k in range(40):
+        words = list(base)
+        for at in rng.sample(range(80), rng.choice((0, 1, 2, 3))):
+            words[at] = f"w{rng.randrange(6)}"
+        rows.append((k, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in nd.near_groups(spark.createDataFrame(rows, "doc_id long, text string"), least=80).collect()}
+    sets = {k: shingles(t) for k, t in rows}
+    root = {k: k for k, _ in rows}
+    changed = True
+    while changed:
+        changed = False
+        for a in root:
+            for b in root:
+                if root[a] != root[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    assert got == root
