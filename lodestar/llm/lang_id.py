@@ -142,24 +142,27 @@ class Model:
         self.index: dict[str, int] = {}
         self.scores = np.zeros((0, len(langs)), np.float32)
         self.letters = np.zeros(0, np.int64)
+        self.likely = np.zeros((0, len(langs)), bool)   # languages that use the word's script
 
-    def score(self, words: list[str]) -> np.ndarray:
+    def score(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at, bins = grams(words)
         out = np.stack([np.bincount(at, p[bins], len(words)) for p in self.log_p], axis=1).astype(np.float32)
         out -= out.max(1, keepdims=True)
         can = self.uses[:, word_scripts(words)].T
         out[~can] = FLOOR
         out[~can.any(1)] = 0
-        return out
+        return out, can
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.index]
         if len(self.index) + len(new) > KNOWN_WORDS:
-            self.index, self.scores, self.letters = {}, self.scores[:0], self.letters[:0]
+            self.index, self.scores, self.letters, self.likely = {}, self.scores[:0], self.letters[:0], self.likely[:0]
             new = list(words)
         if new:
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.scores = np.concatenate([self.scores, self.score(new)])
+            scores, likely = self.score(new)
+            self.scores = np.concatenate([self.scores, scores])
+            self.likely = np.concatenate([self.likely, likely])
             self.letters = np.concatenate([self.letters, [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new]])
 
     def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -170,6 +173,18 @@ class Model:
         ids = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
         return viterbi(ids, self.scores, SWITCH), [self.letters[i] for i in ids]
 
+    def supported(self, texts: list[str]) -> list[float]:
+        """Share of a text's letters that lie in words whose label is a language
+        that uses the word's script; 0 without letters."""
+        paths, letters = self.label(texts)
+        index = self.index.__getitem__
+        out = []
+        for t, path, size in zip(texts, paths, letters):
+            total = int(size.sum())
+            ids = np.fromiter(map(index, WORDS.findall(t.lower())), np.int64, len(path)) if total else path
+            out.append(float(size[self.likely[ids, path]].sum() / total) if total else 0.0)
+        return out
+
 
 def viterbi(docs: list[np.ndarray], scores: np.ndarray, switch: float) -> list[np.ndarray]:
     """Best labelling of each sequence of word numbers; all documents advance
@@ -278,8 +293,13 @@ def identify(docs: DataFrame, learned: tuple[list[str], np.ndarray], id_col: str
     return out.withColumnRenamed("id", id_col)
 
 
-def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is found, columns as they are."""
+def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_col: str = "text",
+                  least: float = 0.2) -> DataFrame:
+    """The rows of ``docs`` whose language is found, columns as they are.
+
+    A text is kept if words labelled with a language that uses their script hold
+    ``least`` of its letters: texts without letters go, and texts in scripts of
+    no learned language.  Where nothing could be learned, texts with letters stay."""
     langs, n = learned
     shared = docs.sparkSession.sparkContext.broadcast((langs, n.tobytes()))
 
@@ -287,7 +307,8 @@ def with_language(docs: DataFrame, learned: tuple[list[str], np.ndarray], text_c
         m = model_of(shared)
         for batch in batches:
             for at, texts in text_slices(batch, text_col, SLICE):
-                found = [bool(m.langs and size.sum()) for size in m.label(texts)[1]] if m.langs else [False] * len(texts)
+                found = ([x >= least for x in m.supported(texts)] if m.langs
+                         else [any(map(str.isalpha, t)) for t in texts])
                 yield batch.slice(at, len(texts)).filter(pa.array(found, pa.bool_()))
 
     return ship(docs).mapInArrow(run, docs.schema)

@@ -41,7 +41,9 @@ def test_spans_of_a_mixed_text_and_odd_rows(spark, odd, empty):
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {1, 2, 3, 8, 9, 10, 11, None}
     nothing = lang_id.learn(empty)
     assert {r.lang_pred for r in lang_id.identify(odd, nothing).collect()} == {"und"}
-    assert lang_id.with_language(odd, nothing).count() == 0 and lang_id.identify(empty, model).count() == 0
+    # Nothing learned: the texts with letters stay.
+    assert {r.doc_id for r in lang_id.with_language(odd, nothing).collect()} == {1, 2, 3, 8, 9, 10, 11, None}
+    assert lang_id.identify(empty, model).count() == 0
 
 
 def test_language_accuracy_on_held_out_rows(spark):
@@ -197,3 +199,25 @@ def test_search_of_few_and_no_rows(spark):
     got = topk_search.search(spark.createDataFrame(two, schema), F.lit(True), k=5)
     assert sorted(map(tuple, got.collect())) == brute_search(two, lambda i: True, 5)
     assert topk_search.search(spark.createDataFrame([], schema), F.lit(True)).count() == 0
+
+
+def test_a_label_decides_whether_a_text_stays(spark):
+    train = spark.createDataFrame([("the cat sat on the mat and the dog " * 5, "en"), ("der hund und die katze sind nicht da " * 5, "de")],
+                                  "text string, lang string")
+    docs = spark.createDataFrame([(1, "the dog and the cat"), (2, "Привет мир это русский текст"), (3, "123 !"), (4, None),
+                                  (5, "ok " + "привет " * 30), (6, "the dog привет")], "doc_id long, text string")
+    kept = {r.doc_id for r in lang_id.with_language(docs, lang_id.learn(train)).collect()}
+    assert kept == {1, 6}
+    nothing = lang_id.learn(train.where("false"))
+    assert {r.doc_id for r in lang_id.with_language(docs, nothing).collect()} == {1, 2, 5, 6}
+
+
+def test_search_with_many_buckets_and_split_ones(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "INDEX_BLOCK", 8)
+    monkeypatch.setattr(topk_search, "PAIRS", 64)
+    rng = np.random.default_rng(9)
+    head = rng.normal(size=16)
+    rows = [(i, (np.concatenate([head, rng.normal(size=16)]) if i % 3 else rng.normal(size=32)).tolist()) for i in range(300)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk_search.search(v, F.col("id") % 20 == 0, k=5)
+    assert sorted(map(tuple, got.collect())) == sorted(brute_search(rows, lambda i: i % 20 == 0, 5))
