@@ -27,6 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestar.llm.common import BLANKS, cut, fresh, ship
@@ -99,23 +100,29 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("id").alias(id_col), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def hashable(kind: T.DataType) -> bool:
+    """Whether Spark hashes values of the type (no maps and variants inside)."""
+    return not any(x in kind.simpleString() for x in ("map<", "variant"))
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 counters: int = COUNTERS) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``.
 
     Losers of heavy groups are dropped map-side, before any whole row is
     shuffled.  Rows equal in id and text but not in other columns are ordered
-    by a hash of the whole row, so reruns agree."""
+    by a hash of the row (without map and variant columns), so reruns agree; of
+    rows equal in all that is hashed one stays."""
     d, r, n, wd, w = fresh(docs, "digest", "row_hash", "nth", "w_digest", "w")
     wide = (docs.withColumn(d, digest(F.col(text_col)))
-            .withColumn(r, F.xxhash64(*[F.col(c) for c in docs.columns]) if docs.columns else F.lit(0)))
+            .withColumn(r, F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema.fields if hashable(f.dataType)])))
     keys = cut(wide.select(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col(r).alias("row"),
                            F.col(d).alias("digest")))
     won = F.broadcast(winners(keys, ["no_id", "id", "row"], counters)
                       .select(F.col("digest").alias(wd), F.col("w").alias(w)))
     same = F.col(d) == F.col(wd)
     heavy = (wide.join(won, same).where(F.col(f"{w}.id").eqNullSafe(F.col(id_col)) & (F.col(f"{w}.row") == F.col(r)))
-             .select(*docs.columns).dropDuplicates())
+             .dropDuplicates([id_col, r, d]).select(*docs.columns))
     first = Window.partitionBy(d).orderBy(F.col(id_col).asc_nulls_last(), r)
     rest = (wide.join(won, same, "left_anti").withColumn(n, F.row_number().over(first))
             .where(F.col(n) == 1).select(*docs.columns))

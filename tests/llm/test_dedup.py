@@ -204,3 +204,11 @@ def test_large_groups_of_a_rare_shingle_are_compared_in_blocks(spark, monkeypatc
                     root[a] = root[b] = min(root[a], root[b])
                     changed = True
     assert got == root
+
+
+def test_exact_dedup_takes_columns_of_any_type(spark):
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(1, "a b", {"x": 1}), (1, "a b", {"x": 1}), (2, "a  b", {"y": 2}), (3, "c", None)],
+                                 "doc_id long, text string, m map<string,int>").withColumn("v", F.parse_json(F.lit("[1]")))
+    for counters in (1, 1000):
+        assert sorted(r.doc_id for r in ex.exact_dedup(docs, counters=counters).select("doc_id").collect()) == [1, 3]
