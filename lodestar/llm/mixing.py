@@ -8,9 +8,11 @@ follows from prefix sums over the sources ordered by ``cap * size / weight``.
 
 Copies.  A document of a source with ``f = target / size`` is taken
 ``floor(f)`` whole times for certain.  The rest of the target is an
-unequal-probability sample without replacement: the inclusion probability is
-``p = f - floor(f)``, different for each source, and documents are ranked by
-random odds over inclusion odds, ``(u/(1-u)) / (p/(1-p))`` (Pareto order
+unequal-probability sample without replacement.  A document's inclusion odds are
+those of ``p = f - floor(f)``, which differs between sources, times
+``sqrt(TYPICAL / size)``: a long document uses up more of the sample and is taken
+with less probability.  Documents are ranked by random odds over inclusion odds,
+``(u/(1-u)) / (p/(1-p) * sqrt(TYPICAL / size))`` (Pareto order
 sampling).  The sample has a fixed size in words: documents are taken in rank
 order, those that do not fit any more are skipped, until none fits; last comes
 the one whose size is nearest to the words still missing.
@@ -37,6 +39,7 @@ from pyspark.sql.window import Window
 from lodestar.llm.common import WORD, cut, fresh, has_rows, join_on, small
 
 BINS = 4096
+TYPICAL = 256  # words of a document whose inclusion odds are its source's
 CAP = 3
 PAST = 2.0  # behind every rank
 RUNS = "array<struct<start: double, stop: double, most: double>>"
@@ -79,9 +82,16 @@ def targets(sources: DataFrame, cap: int = CAP) -> DataFrame:
             .select("source", "source_size", "target", "whole", "missing", "p"))
 
 
-def rank(u: Column, p: Column) -> Column:
-    """Pareto rank q = odds(u) / odds(p) as q / (1 + q); 1 where nothing is sampled."""
-    q = (u / (1 - u)) * ((1 - p) / p)
+def inclusion(p: Column, size: Column) -> Column:
+    """Inclusion odds of a document: those of its source's share, less for a
+    long document, which uses up more of the sample (the square root of its
+    length against ``TYPICAL`` words)."""
+    return p / (1 - p) * F.sqrt(F.lit(TYPICAL) / F.greatest(size, F.lit(1)))
+
+
+def rank(u: Column, p: Column, size: Column) -> Column:
+    """Pareto rank q = odds(u) / inclusion odds as q / (1 + q); 1 where nothing is sampled."""
+    q = (u / (1 - u)) / inclusion(p, size)
     return F.when(p > 0, q / (1 + q)).otherwise(F.lit(1.0))
 
 
@@ -97,7 +107,7 @@ def plan_mix(narrow: DataFrame, cap: int = CAP, bins: int = BINS) -> DataFrame:
     size up to which its documents are in the sample) and ``last`` (the rank of
     the document that ends it)."""
     per_source = small(cut(targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), cap)))
-    v = rank(F.col("u"), F.col("p"))
+    v = rank(F.col("u"), F.col("p"), F.col("size"))
     ranked = (join_on(narrow, per_source, "source").where("missing > 0 and size > 0")
               .withColumn("v", v).withColumn("bin", F.least(F.floor(v * bins), F.lit(bins - 1)).cast("int")))
     upto = Window.partitionBy("source").orderBy("bin")
@@ -117,7 +127,7 @@ def plan_mix(narrow: DataFrame, cap: int = CAP, bins: int = BINS) -> DataFrame:
         if not has_rows(edge):
             break
         bins_cut = edge.where("edge is not null").select("source", "edge.bin", "edge.before")
-        summed = join_on(able, F.broadcast(bins_cut), "source", "bin").withColumn("upto", F.col("before") + F.sum("size").over(inside))
+        summed = join_on(able, small(bins_cut), "source", "bin").withColumn("upto", F.col("before") + F.sum("size").over(inside))
         fit = F.col("upto") <= F.col("gap")
         stop = summed.groupBy("source").agg(F.min(F.when(~fit, F.col("v"))).alias("stop"),
                                             F.max(F.when(fit, F.col("upto")).otherwise(F.col("before"))).alias("filled"))
@@ -147,7 +157,7 @@ def in_runs(v: Column, size: Column, taken: Column) -> Column:
 
 def n_copies(u: Column, size: Column, whole: Column, p: Column, taken: Column, last: Column) -> Column:
     """How often a document is taken, from its random number, its size and its source's plan."""
-    v = rank(u, p)
+    v = rank(u, p, size)
     return whole + F.when((p > 0) & (size > 0) & (in_runs(v, size, taken) | (v == last)), 1).otherwise(0)
 
 

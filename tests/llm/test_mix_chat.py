@@ -70,14 +70,14 @@ def test_mix_comes_near_its_targets_and_reruns_agree(spark, corpus):
 def test_a_document_above_the_gap_is_skipped(spark):
     rng = random.Random(5)
     long = "w " * 10000
-    early = mixing.uniform(F.lit(0), F.col("id"), F.lit(long)).between(0.25, 0.35)  # ranked before most others
+    early = mixing.uniform(F.lit(0), F.col("id"), F.lit(long)).between(0.01, 0.05)  # ranked before most others, long as it is
     rows = [(k, "w " * rng.randint(5, 60), "a") for k in range(400)] + [(999, long, "b")]
     rows += [(spark.range(400, 900).where(early).first()[0], long, "a")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     u = {r.id: r.u for r in mixing.sized(docs, "doc_id", "text", "source", 0).collect()}
     got = [r for r in mixing.mix_report(docs).collect() if r.doc_id != 999]
     gap, extra = got[0].target, []
-    for r in sorted(got, key=lambda r: u[r.doc_id]):
+    for r in sorted(got, key=lambda r: u[r.doc_id] / (1 - u[r.doc_id]) * r.size ** 0.5):  # random over inclusion odds
         fits = r.size <= gap
         gap -= r.size * fits
         if r.taken != r.size * fits:
@@ -169,3 +169,20 @@ def test_digest_matches_plain_python(spark, chats):
 
 def test_no_conversations(spark, chats):
     assert cf.chat_digest(cf.format_chats(chats.where("false"))).count() == 0
+
+
+def test_inclusion_odds_decide_the_order(spark):
+    """Documents of one source, ranked by the Pareto ratio, are another sample than by their random numbers."""
+    from lodestar.llm import mixing
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame([(k, "w " * (20 if k % 2 else 2000), "s") for k in range(200)], "doc_id long, text string, source string")
+    rows = mixing.sized(docs, "doc_id", "text", "source", 0).select(
+        "id", "size", "u", mixing.rank(F.col("u"), F.lit(0.5), F.col("size")).alias("v")).collect()
+    half = len(rows) // 2
+    by_u = {r.id for r in sorted(rows, key=lambda r: r.u)[:half]}
+    by_v = {r.id for r in sorted(rows, key=lambda r: r.v)[:half]}
+    assert by_u != by_v
+    assert sum(r.size == 20 for r in rows if r.id in by_v) > 1.5 * sum(r.size == 20 for r in rows if r.id in by_u) / 1.2 > 0
+    for r in rows:
+        odds = (r.u / (1 - r.u)) / (1.0 * (256 / r.size) ** 0.5)
+        assert abs(r.v - odds / (1 + odds)) < 1e-9
