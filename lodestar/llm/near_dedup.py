@@ -57,7 +57,7 @@ HASHES = 90
 MISSED = 1e-6            # probability that a pair at the limit is no candidate
 FILTER_BITS = 1 << 23
 BLOCK = 256
-SLOTS = 1 << 20          # counters of the order of shingles
+SLOTS = 1 << 17          # counters of the order of shingles
 _RNG = np.random.default_rng(5)
 _XOR = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64)
 _MUL = _RNG.integers(0, 1 << 64, HASHES, dtype=np.uint64) | np.uint64(1)
