@@ -40,7 +40,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import ship
+from lodestar.llm.common import ship, sole
 
 SLICE = 1 << 21          # bytes of text handled at a time
 WINDOW = 32              # bytes under the rolling hash
@@ -48,7 +48,8 @@ BORDER_BITS = 10         # a border every 2**10 bytes on average
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
 DICTIONARY = 8192
-CACHED_PIECES = 400_000  # per Python worker
+CACHED_PIECES = 300_000  # per Python worker
+CALL = 256               # texts that the library gets in one call
 JOINED = 64              # new pieces that the library encodes at a time
 
 # Pre-tokenizers whose part borders ``cuts`` knows: byte-level BPE with its own
@@ -117,7 +118,10 @@ class Codec:
         self.ends = np.zeros(1 << 14, np.int64)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for a in range(0, len(texts), CALL):               # bounds what the library holds
+            out += [e.ids for e in self.tok.encode_batch_fast(texts[a:a + CALL], add_special_tokens=False)]
+        return out
 
     def _parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all parts and the number of each.  The library gets many parts
@@ -196,9 +200,10 @@ _CODECS: dict[tuple[str, bool], Codec] = {}
 
 
 def codec(path: str, plain: bool = False) -> Codec:
-    if (path, plain) not in _CODECS:
-        _CODECS[path, plain] = Codec(path, plain)
-    return _CODECS[path, plain]
+    held = sole(_CODECS)
+    if (path, plain) not in held:
+        held[path, plain] = Codec(path, plain)
+    return held[path, plain]
 
 
 def text_slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE):

@@ -84,5 +84,19 @@ def fold(doc_id: Column, n: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+_CACHES: list[dict] = []
+
+
+def sole(cache: dict) -> dict:
+    """``cache``, an operator's cache in this Python worker; the caches that other
+    operators have left there are emptied, so that stages do not add them up."""
+    for other in _CACHES:
+        if other is not cache:
+            other.clear()
+    if not any(other is cache for other in _CACHES):
+        _CACHES.append(cache)
+    return cache
+
+
 def has_rows(df: DataFrame) -> bool:
     return len(df.take(1)) > 0

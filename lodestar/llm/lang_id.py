@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.bpe import text_slices
-from lodestar.llm.common import ship
+from lodestar.llm.common import ship, sole
 
 UND = "und"
 BINS = 1 << 15
@@ -165,24 +165,27 @@ class Model:
             self.likely = np.concatenate([self.likely, likely])
             self.letters = np.concatenate([self.letters, [len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in new]])
 
-    def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Language number of each word, and letters of each word, per text."""
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """Numbers of the words of each text; they hold until more words are learned."""
         words = [WORDS.findall(t.lower()) for t in texts]
         self.learn(set().union(*words))
         get = self.index.__getitem__
-        ids = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
+        return [np.fromiter(map(get, w), np.int32, len(w)) for w in words]
+
+    def label(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Language number of each word, and letters of each word, per text."""
+        ids = self.numbers(texts)
         return viterbi(ids, self.scores, SWITCH), [self.letters[i] for i in ids]
 
     def supported(self, texts: list[str]) -> list[float]:
         """Share of a text's letters that lie in words whose label is a language
         that uses the word's script; 0 without letters."""
-        paths, letters = self.label(texts)
-        index = self.index.__getitem__
+        ids = self.numbers(texts)
         out = []
-        for t, path, size in zip(texts, paths, letters):
+        for i, path in zip(ids, viterbi(ids, self.scores, SWITCH)):
+            size = self.letters[i]
             total = int(size.sum())
-            ids = np.fromiter(map(index, WORDS.findall(t.lower())), np.int64, len(path)) if total else path
-            out.append(float(size[self.likely[ids, path]].sum() / total) if total else 0.0)
+            out.append(float(size[self.likely[i, path]].sum() / total) if total else 0.0)
         return out
 
 
@@ -248,7 +251,7 @@ _MODELS: dict[int, Model] = {}
 def model_of(shared) -> Model:
     langs, packed = shared.value
     key = zlib.crc32(packed)
-    if key not in _MODELS:
+    if key not in sole(_MODELS):
         _MODELS.clear()
         _MODELS[key] = Model(langs, np.frombuffer(packed, np.float64).reshape(len(langs), BINS + len(SCRIPT_NAMES)))
     return _MODELS[key]
