@@ -9,7 +9,8 @@ Plan shape (per call):
    per form implements "last form wins");
 3. fuzzy: the names without an exact hit meet the seed forms that share a
    segment at a possible place (Pass-Join blocking, an equi-join on hashes;
-   see ``_candidate_pairs``), then cheap tests and the Indel ratio of the
+   see ``_candidate_pairs``) or, for forms above ``LONG`` characters, a rare
+   gram (``grams``), then cheap tests and the Indel ratio of the
    token-sorted strings keep the best form per name (ties: the earliest form);
 4. the small name -> match map is joined back to every input row.
 
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.similarity import cheap_bound_ok, lcs_length, lcs_length_batched
 from lodestar.functions.text import normalize_name, self_canonical, token_sort
+from lodestar.operators.grams import long_pairs
 from lodestar.operators.keys import with_spread_key
 from lodestar.schemas import FUZZY_THRESHOLD, METHOD_EXACT, METHOD_FUZZY, METHOD_NONE
 from lodestar.sources.seed import seed_forms
 
+LONG = 24  # characters; longer forms are looked up by grams: segment rows grow with the cube of the length
+
 
 def exact_lookup(forms: DataFrame) -> DataFrame:
     """J3 table: normalised form -> canonical; if two canonicals share a form
@@ -66,7 +70,15 @@ def _segments(l2: Column, tau: Column):
 
 
 def _candidate_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
-    """All (nid, fid) pairs that can reach the threshold, by segment blocking.
+    """All (nid, fid) pairs that can reach the threshold: by segments for forms
+    of up to ``LONG`` characters, by grams for longer ones."""
+    names = names.select("nid", "q_sorted", F.length("q_sorted").alias("l1"))
+    forms = forms.select("fid", "sorted_norm", F.length("sorted_norm").alias("l2"))
+    return _short_pairs(names, forms, threshold).unionByName(long_pairs(names, forms, threshold, LONG)).distinct()
+
+
+def _short_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFrame:
+    """(nid, fid), with repeats, by segment blocking, for forms of up to ``LONG`` characters.
 
     A form is cut into ``tau + 1`` segments for each compatible partner length
     (``tau``: the edits that the threshold allows at these two lengths).  At
@@ -79,20 +91,21 @@ def _candidate_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> Data
     def hashed(text, l1, l2, i):
         return F.xxhash64(text, l1, l2, i)
 
-    f = forms.select("fid", "sorted_norm", F.length("sorted_norm").alias("l2"))
+    # ``explode_outer``: see ``grams.prefixes``.
+    none = F.array().cast("array<int>")
     lo, hi = _length_range(F.col("l2"), threshold)
-    f = (f.withColumn("l1", F.explode(F.sequence(lo, hi)))
+    f = (forms.withColumn("l1", F.explode_outer(F.when(F.col("l2") <= LONG, F.sequence(lo, hi)).otherwise(none)))
          .where((F.col("l1") >= 0) & _compatible(F.col("l1"), F.col("l2"), threshold))
          .withColumn("tau", _budget(F.col("l1"), F.col("l2"), threshold))
          .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("tau")))))
     s0, sl = _segments(F.col("l2"), F.col("tau"))(F.col("i"))
     f = f.select("fid", hashed(F.substr(F.col("sorted_norm"), s0 + 1, sl), F.col("l1"), F.col("l2"), F.col("i")).alias("seg"))
 
-    q = names.select("nid", "q_sorted", F.length("q_sorted").alias("l1"))
     lo, hi = _length_range(F.col("l1"), threshold)
     # Only lengths that some form has: at most one row per form length.
-    lengths = forms.select(F.length("sorted_norm").alias("l2")).distinct()
-    q = (q.withColumn("l2", F.explode(F.sequence(lo, hi)))
+    lengths = forms.select("l2").distinct()
+    q = (names.withColumn("l2", F.explode_outer(
+        F.when(lo <= LONG, F.sequence(lo, F.least(hi, F.lit(LONG)))).otherwise(none)))
          .where((F.col("l2") >= 0) & _compatible(F.col("l1"), F.col("l2"), threshold))
          .join(lengths, "l2", "left_semi")
          .withColumn("tau", _budget(F.col("l1"), F.col("l2"), threshold))
@@ -108,7 +121,7 @@ def _candidate_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> Data
          .withColumn("qpos", F.explode(F.sequence(F.col("qlo"), F.col("qhi"))))
          .select("nid", hashed(F.substr(F.col("q_sorted"), F.col("qpos") + 1, F.col("sl")),
                                F.col("l1"), F.col("l2"), F.col("i")).alias("seg")))
-    return q.join(f, "seg").select("nid", "fid").distinct()
+    return q.join(f, "seg").select("nid", "fid")
 
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
@@ -128,7 +141,7 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
     n_parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.repartition(n_parts, F.xxhash64(key))
     names = names.withColumn("nid", F.xxhash64(key))
-    forms = forms.withColumn("fid", F.xxhash64("seed_order", "form_pos"))
+    forms = forms.withColumn("fid", F.xxhash64("seed_order", "form_pos")).repartition(n_parts, "fid")
     found = _candidate_pairs(names, forms, threshold)
     pairs = (found.join(names, "nid")
              .join(forms.select("fid", "seed_order", "form_pos", "canonical", "sorted_norm"), "fid")

@@ -130,20 +130,63 @@ def test_blocking_equals_brute_force_on_long_names(spark):
     assert sum(1 for v in got.values() if v[1] < 100) > 50
 
 
-def test_blocking_rows_per_name_are_bounded(spark):
-    """A name of 60 characters against forms of one length: its segments at the
-    possible places, not all of its substrings."""
+def test_blocking_has_no_nested_loop(spark):
+    """Names meet short forms by segments and long ones by grams, both as equi-joins."""
     from pyspark.sql import functions as F
 
     from lodestar.operators import resolve as R
-    forms = spark.createDataFrame([(0, 0, "c", "ab" * 30)], "seed_order int, form_pos int, canonical string, sorted_norm string")
-    names = spark.createDataFrame([(1, "ba" * 30)], "nid long, q_sorted string")
-    plan = R._candidate_pairs(names, forms.withColumn("fid", F.lit(1).cast("long")), 90)
+    forms = spark.createDataFrame([(1, "ab" * 30), (2, "ab" * 10)], "fid long, sorted_norm string")
+    names = spark.createDataFrame([(1, "ba" * 30), (2, "ba" * 10), (3, "xy" * 30)], "nid long, q_sorted string")
+    plan = R._candidate_pairs(names, forms, 90)
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in plan._jdf.queryExecution().executedPlan().toString()
-    tau = 12
+    assert {tuple(r) for r in plan.collect()} == {(1, 1), (2, 2)}
+    tau = 4
     places = sum(max(0, min(i, tau - i, tau // 2) * 2 + 1) for i in range(tau + 1))
-    assert places < 100 and plan.count() <= 1
+    assert places < 20
+    assert R._short_pairs(names.withColumn("l1", F.length("q_sorted")),
+                          forms.where("fid = 2").withColumn("l2", F.length("sorted_norm")), 90).count() <= places
+
+
+def edited(rng, s, edits):
+    w = list(s)
+    for _ in range(edits):
+        at = rng.randrange(len(w))
+        w[at:at + 1] = rng.choice([[], [w[at], rng.choice("abxy")]])
+    return "".join(w)
+
+
+def test_gram_pairs_lose_no_pair(spark):
+    """Long strings over small alphabets, edited up to the limit and past it, at
+    several thresholds: every pair that reaches the threshold is a candidate."""
+    import random
+
+    from lodestar.operators.grams import long_pairs
+    rng = random.Random(5)
+    for threshold in (95, 90, 80, 65):
+        base = ["".join(rng.choices("ab" if i % 3 else "abcdefghij ", k=rng.randint(25, 90))) for i in range(25)] + ["a" * 40]
+        forms = base
+        names = [edited(rng, s, rng.randint(0, 2 + len(s) * 2 * (100 - threshold) // 100)) for s in forms for _ in range(5)]
+        n = spark.createDataFrame(list(enumerate(names)), "nid long, q_sorted string").selectExpr("*", "length(q_sorted) l1")
+        f = spark.createDataFrame(list(enumerate(forms)), "fid long, sorted_norm string").selectExpr("*", "length(sorted_norm) l2")
+        got = {tuple(r) for r in long_pairs(n, f, threshold, 24).distinct().collect()}
+        want = {(i, j) for i, a in enumerate(names) for j, b in enumerate(forms)
+                if 100 * (len(a) + len(b) - 2 * lcs(a, b)) <= (100 - threshold) * (len(a) + len(b))}
+        assert want <= got and len(want) > 40
+
+
+def test_gram_rows_grow_with_length_only(spark):
+    """Rows a string at 25, 100, 400 and 20,000 characters: about half its length."""
+    import random
+
+    from lodestar.operators.grams import prefixes
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=k)) for k in (25, 100, 400, 20000)]
+    n = spark.createDataFrame([(i, s, len(s)) for i, s in enumerate(texts)], "nid long, q_sorted string, l1 int")
+    f = n.toDF("fid", "sorted_norm", "l2")
+    for rows, key in zip(prefixes(n, f, 90, 24), ("nid", "fid")):
+        count = {r[key]: r["count"] for r in rows.groupBy(key).count().collect()}
+        assert all(0 < count[i] <= 0.55 * len(s) + 2 for i, s in enumerate(texts))
 
 
 def test_last_form_wins_on_shared_exact_form(spark):
