@@ -125,11 +125,13 @@ def _short_pairs(names: DataFrame, forms: DataFrame, threshold: int) -> DataFram
 
 
 def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESHOLD,
-               key: str = "norm", lcs_impl: str = "batched") -> DataFrame:
+               key: str = "norm", lcs_impl: str = "batched", with_form: bool = False) -> DataFrame:
     """For each distinct ``key`` of ``names`` (with its ``norm``) the
     best-scoring seed form, kept only if its token-sort ratio reaches
-    ``threshold``.  Returns ``(key, canonical, confidence)``."""
+    ``threshold``.  Returns ``(key, canonical, confidence)``, with ``with_form``
+    also the form's place ``(seed_order, form_pos)``."""
     cols = [key] if key == "norm" else [key, "norm"]
+    place = ["seed_order", "form_pos"] if with_form else []
     # Non-nullable on purpose: a nullable derived key lets Catalyst infer an
     # IsNotNull filter and push it below the distinct, i.e. onto every row.
     names = names.select(*cols).withColumn("q_sorted", F.coalesce(token_sort("norm"), F.lit("")))
@@ -156,12 +158,12 @@ def fuzzy_best(names: DataFrame, forms: DataFrame, threshold: int = FUZZY_THRESH
               .withColumn("score", F.when(F.col("total") == 0, F.lit(100.0))
                           .otherwise((F.lit(1.0) - F.col("indel") / F.col("total")) * F.lit(100.0))))
     best = (scored.groupBy(key)
-            .agg(F.min_by(F.struct("canonical", "score", "indel", "total"),
+            .agg(F.min_by(F.struct("canonical", "score", "indel", "total", *place),
                           F.struct((-F.col("score")).alias("neg_score"), "seed_order", "form_pos"))
                  .alias("b")))
     ok = F.lit(100) * F.col("b.indel") <= F.lit(100 - threshold) * F.col("b.total")
     return best.where(ok).select(key, F.col("b.canonical").alias("canonical"),
-                                 F.col("b.score").alias("confidence"))
+                                 F.col("b.score").alias("confidence"), *[F.col(f"b.{c}") for c in place])
 
 
 def match_map(names: DataFrame, seed: DataFrame, threshold: int = FUZZY_THRESHOLD,
@@ -226,6 +228,12 @@ def resolve(df: DataFrame, name_col: str, seed: DataFrame, threshold: int = FUZZ
                      F.coalesce(F.col("confidence"), F.lit(0.0)).alias("__s__")))
     if materialized:
         names = materialize(names, "resolve-map")
+    return apply_map(df, name_col, names, prefix)
+
+
+def apply_map(df: DataFrame, name_col: str, names: DataFrame, prefix: str = "") -> DataFrame:
+    """Every row of ``df`` with its name's ``canonical_name``, ``method`` and
+    ``confidence`` from ``names(__raw__, __c__, __m__, __s__)``, one row per name."""
     names = names.withColumn("__raw__", F.col("__raw__").cast("string"))
     out = with_spread_key(df, "__key__", F.col(name_col)).join(names, F.col("__key__") == F.col("__raw__"), "left")
     return (out.withColumn(prefix + "canonical_name", F.col("__c__"))

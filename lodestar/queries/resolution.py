@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from lodestar.operators.filters import head_sample, seed_matched
 from lodestar.operators.profile import frequency
 from lodestar.operators.resolve import mapping_log, resolve
+from lodestar.operators.resolve_kept import refresh, resolve_kept
 from lodestar.queries import sqlfrag as Q
 from lodestar.queries.common import load, register
+from lodestar.session import scratch_path
 
 
 def part_seed(spark, sf):
@@ -258,3 +260,28 @@ def q_resolve_generated(spark, sf):
     runs on every distinct name that misses the exact lookup."""
     r = resolve(raw_generated_names(spark, sf), "raw_name", part_seed(spark, sf))
     return r.select("o_orderkey", "canonical_name", "method", "confidence")
+
+
+def earlier_part_seed(spark, sf):
+    """A seed from before ``part_seed``: names of every fifth length are not in it yet, some
+    names of the other half still are, and the names of every third length have other aliases."""
+    p = load(spark, sf, "part").select("p_name").where(F.col("p_name").isNotNull()).distinct()
+    n = F.length("p_name")
+    p = p.where(F.when(F.ascii("p_name") % 2 == 0, n % 5 != 0).otherwise(n % 4 == 0))
+    canon = F.concat(F.upper(F.substr("p_name", F.lit(1), F.lit(1))), F.substr("p_name", F.lit(2)))
+    return p.select(F.col("p_name").alias("seed_idx"), canon.alias("canonical"),
+                    F.when(n % 3 == 0, F.array(F.concat(F.col("p_name"), F.lit(" gone"))))
+                    .otherwise(F.array(F.concat(F.col("p_name"), F.lit(" Inc")),
+                                       F.regexp_replace("p_name", " ", "-"))).alias("aliases"))
+
+
+@register("resolve_incremental", RESOLVE_FULL_SQL)
+def q_resolve_incremental(spark, sf):
+    """J5 by the stored map: a version of an earlier seed over the part rows with an even key,
+    then one that brings in all rows, then one that follows the seed.  Equal to a full run."""
+    base = scratch_path(spark, "resolve-kept")
+    names = raw_part_names(spark, sf)
+    refresh(spark, base, earlier_part_seed(spark, sf), names.where("p_partkey % 2 = 0"), "raw_name")
+    refresh(spark, base, earlier_part_seed(spark, sf), names, "raw_name")
+    refresh(spark, base, part_seed(spark, sf))
+    return resolve_kept(names, "raw_name", base).select("p_partkey", "raw_name", "canonical_name", "method", "confidence")
