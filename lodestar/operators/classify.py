@@ -9,6 +9,9 @@ reply is ``UNKNOWN`` and does not fall through.  A deterministic rule tier
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,9 @@ B2B_CUES = (_L + r"business|businesses|enterprise|enterprises|companies|clients|
 CONSUMER_CUES = _L + r"consumer|consumers|individuals|personal|app for" + _R
 
 
+LANDED_TIERS = 1000  # landed replies keep tier numbers below this one
+
+
 def first_success(replies: DataFrame, key: str = "record_key") -> DataFrame:
     """Per key, the reply of the lowest tier whose outcome is ``ok`` and
     whose body parses as JSON.  Keys where every tier failed are absent.  Of
@@ -42,6 +48,41 @@ def first_success(replies: DataFrame, key: str = "record_key") -> DataFrame:
                  F.min("tier_idx").alias("tier_idx")))
 
 
+class Tier(NamedTuple):
+    """One classifier of a chain: ``classify`` takes ``(record_key, prompt)`` rows, the
+    prompt cut to ``max_chars`` (None: whole), and returns ``(record_key, status, body)``."""
+    classify: Callable[[DataFrame], DataFrame]
+    max_chars: int | None = 6000
+
+
+def run_tiers(records: DataFrame, tiers: list[Tier], landed: DataFrame | None = None) -> DataFrame:
+    """Answers of a chain of the caller's classifiers, ``(record_key, reply, tier_idx)``.
+
+    ``records(record_key, prompt)`` has one row per key.  ``landed`` replies come first
+    (with their own tier numbers); each tier then sees only the records without an answer so
+    far, and a failed or unparseable reply leaves its record to the next.  Tiers are numbered
+    from 0, or from ``LANDED_TIERS`` behind landed replies.  A tier's replies are written once to
+    the checkpoint folder, so its classifier is not asked again by later tiers or after a lost
+    executor."""
+    from lodestar.session import materialize
+    keys = records.select("record_key", F.coalesce("prompt", F.lit("")).alias("prompt"))
+    done = None if landed is None else first_success(landed)
+    first = 0 if landed is None else LANDED_TIERS
+    for i, tier in enumerate(tiers):
+        todo = keys
+        if done is not None:
+            seen = done.select("record_key", F.lit(True).alias("__seen__"))
+            todo = keys.join(seen, "record_key", "left").where("__seen__ is null").drop("__seen__")
+        if tier.max_chars is not None:
+            todo = todo.withColumn("prompt", truncate_text("prompt", tier.max_chars))
+        got = tier.classify(todo).select("record_key", F.lit(first + i).alias("tier_idx"), "status", "body")
+        got = first_success(materialize(got, f"tier-{i}"))
+        done = got if done is None else done.unionByName(got)
+    if done is None:
+        raise ValueError("no tier and no landed reply")
+    return done
+
+
 def pricing_from_replies(records: DataFrame, replies: DataFrame, key: str = "record_key",
                          out: str = "pricingModel") -> DataFrame:
     """Pricing class from the first successful tier; all tiers failed or
@@ -71,9 +112,11 @@ def classification_input(startups: DataFrame, max_chars: int | None = 6000) -> C
 
 def build_products(startups: DataFrame, done: DataFrame | None = None,
                    replies: DataFrame | None = None, limit: int | None = None,
-                   order=("source.url",), use_rules: bool = True, max_chars: int | None = 6000) -> DataFrame:
+                   order=("source.url",), use_rules: bool = True, max_chars: int | None = 6000,
+                   tiers: list[Tier] | None = None) -> DataFrame:
     """C4: L1 limit -> J2 skip finished urls -> prompt -> C2 (then C3 for
-    records no tier answered) -> P2.  ``replies`` are keyed by source url."""
+    records no tier answered) -> P2.  ``replies`` are keyed by source url; ``tiers``
+    (``run_tiers``) are asked for records that the replies leave open."""
     from lodestar.operators.dedupe import resume_anti
     from lodestar.operators.filters import limit_first
     from lodestar.operators.records import product_records
@@ -82,8 +125,13 @@ def build_products(startups: DataFrame, done: DataFrame | None = None,
     if done is not None:
         s = resume_anti(s, done, "record_key", F.col("source.url"))
     s = s.withColumn("prompt", classification_input(s, max_chars))
-    if replies is not None:
-        fs = first_success(replies).select(
+    if tiers:
+        whole = s.where("record_key is not null").select("record_key", classification_input(s, None).alias("prompt"))
+        answers = run_tiers(whole.groupBy("record_key").agg(F.min("prompt").alias("prompt")), tiers, replies)
+    else:
+        answers = None if replies is None else first_success(replies)
+    if answers is not None:
+        fs = answers.select(
             "record_key", reply_field_enum(parse_reply(F.col("reply"))).alias("__model__"))
         s = s.join(fs, "record_key", "left")
     else:

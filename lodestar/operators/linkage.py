@@ -37,11 +37,12 @@ def top_candidates(cands: DataFrame, key: str = "ref_id", k: int = 8,
 
 
 def choose_link(top: DataFrame, key: str = "ref_id", url: str = "html_url",
-                full_name: str = "full_name", description: str = "description") -> DataFrame:
-    """W2 + F4: per id, the best-ranked candidate that is not an aggregator.
+                full_name: str = "full_name", description: str = "description", keywords=None) -> DataFrame:
+    """W2 + F4: per id, the best-ranked candidate that is not an aggregator (by
+    ``keywords``, or the default list).
     Cut to k happens before the filter: if all k are aggregators there is no
     link; an empty url that survives the filter also gives no link."""
-    ok_rank = F.when(~is_aggregator(F.col(full_name), F.col(description)), F.col("rank"))
+    ok_rank = F.when(~is_aggregator(F.col(full_name), F.col(description), keywords), F.col("rank"))
     return (top.groupBy(key)
             .agg(F.min_by(F.col(url), ok_rank).alias("__u__"), F.min(ok_rank).alias("__r__"))
             .where(F.col("__r__").isNotNull())
@@ -50,11 +51,11 @@ def choose_link(top: DataFrame, key: str = "ref_id", url: str = "html_url",
 
 
 def find_links(papers: DataFrame, cands: DataFrame, id_col: str = "arxiv_id", k: int = 8,
-               ref_key: str = "ref_id") -> DataFrame:
+               ref_key: str = "ref_id", keywords=None) -> DataFrame:
     """Paper rows + ``github_url`` (null when no acceptable candidate).
     Candidates ``(ref_id, html_url, full_name, description, stars)`` are keyed
     by the bare (version-less) paper id."""
-    links = choose_link(top_candidates(cands, ref_key, k))
+    links = choose_link(top_candidates(cands, ref_key, k), keywords=keywords)
     p = with_spread_key(papers, "__bare__", F.when(truthy(id_col), bare_id(F.col(id_col))))
     return (p.join(links.withColumnRenamed(ref_key, "__bare__"), "__bare__", "left")
             .drop("__bare__"))
@@ -74,19 +75,19 @@ def star_lookup(df: DataFrame, repo_dim: DataFrame, url_col: str = "github_url",
 
 
 def enrich_papers(papers: DataFrame, cands: DataFrame, repo_dim: DataFrame,
-                  id_col: str = "arxiv_id", k: int = 8) -> DataFrame:
+                  id_col: str = "arxiv_id", k: int = 8, keywords=None) -> DataFrame:
     """Link (J6) then star lookup (J7) for linked papers; unlinked -> both null."""
-    linked = find_links(papers.drop("github_url", "github_stars"), cands, id_col, k)
+    linked = find_links(papers.drop("github_url", "github_stars"), cands, id_col, k, keywords=keywords)
     return star_lookup(linked, repo_dim)
 
 
 def refill_links(papers: DataFrame, cands: DataFrame, repo_dim: DataFrame,
-                 id_col: str = "arxiv_id", k: int = 8) -> DataFrame:
+                 id_col: str = "arxiv_id", k: int = 8, keywords=None) -> DataFrame:
     """Clear links whose url looks like an aggregator (F4 on the url with
     an empty description), then re-link every row without a link that has an
     id.  Rows without an id keep what they have (possibly the cleared nulls).
     Adds ``__cleared__`` / ``__rechecked__`` flags for the repair counters (A9)."""
-    bad = truthy("github_url") & is_aggregator(F.col("github_url"), F.lit(""))
+    bad = truthy("github_url") & is_aggregator(F.col("github_url"), F.lit(""), keywords)
     p = (papers.withColumn("__cleared__", F.coalesce(bad, F.lit(False)))
          .withColumn("github_url", F.when(F.col("__cleared__"), F.lit(None).cast("string"))
                      .otherwise(F.col("github_url")))
@@ -95,7 +96,7 @@ def refill_links(papers: DataFrame, cands: DataFrame, repo_dim: DataFrame,
          .withColumn("__rechecked__", ~truthy("github_url")))
     todo = p.where(F.col("__rechecked__") & truthy(id_col))
     keep = p.where(~(F.col("__rechecked__") & truthy(id_col)))
-    found = find_links(todo.withColumnRenamed("github_url", "__old_url__"), cands, id_col, k)
+    found = find_links(todo.withColumnRenamed("github_url", "__old_url__"), cands, id_col, k, keywords=keywords)
     found = star_lookup(found.withColumnRenamed("github_stars", "__old_stars__"), repo_dim,
                         "github_url", "__new_stars__")
     found = (found.withColumn("github_stars", F.when(F.col("github_url").isNotNull(),

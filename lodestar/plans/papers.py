@@ -18,8 +18,9 @@ from lodestar.sources.payloads import atom_paper_entries
 
 def papers_from_feeds(payloads: DataFrame, candidates: DataFrame, repo_dim: DataFrame, collected_at,
                       total: int | None = None, done: DataFrame | None = None,
-                      strict_parity: bool = False) -> DataFrame:
-    """All papers of all pages; ``total`` cuts each category to its first rows.
+                      strict_parity: bool = False, keywords=None) -> DataFrame:
+    """All papers of all pages; ``total`` cuts each category to its first rows;
+    ``keywords`` (default: the fixed list) mark repositories that only collect links.
     ``payloads(category, cat_idx, page_start, payload)``; ``candidates``
     ``(ref_id, html_url, full_name, description, stars)``; ``repo_dim``
     ``(owner, repo, stargazers_count)``; ``done`` = the sink (envelope rows)."""
@@ -36,20 +37,20 @@ def papers_from_feeds(payloads: DataFrame, candidates: DataFrame, repo_dim: Data
         recs = resume_anti(recs, done, "arxiv_id", F.col("content.arxiv_id"))
     flat = recs.select("*", F.col("content.github_url").alias("github_url"),
                        F.col("content.github_stars").alias("github_stars"))
-    linked = enrich_papers(flat, candidates, repo_dim)
+    linked = enrich_papers(flat, candidates, repo_dim, keywords=keywords)
     return (linked.withColumn("content", F.col("content").withField("github_url", F.col("github_url"))
                               .withField("github_stars", F.col("github_stars")))
             .drop("github_url", "github_stars", "arxiv_id", "category", "cat_idx", "page_start", "pos"))
 
 
 def repair_papers(papers: DataFrame, candidates: DataFrame, repo_dim: DataFrame,
-                  max_papers: int = 2) -> DataFrame:
+                  max_papers: int = 2, keywords=None) -> DataFrame:
     """J9 then J10 over the sink: clear aggregator links and re-link, then
     null urls that are linked to more than ``max_papers`` papers."""
     flat = papers.select("*", F.col("content.arxiv_id").alias("arxiv_id"),
                          F.col("content.github_url").alias("github_url"),
                          F.col("content.github_stars").alias("github_stars"))
-    fixed = overmatch_clear(refill_links(flat, candidates, repo_dim), max_papers)
+    fixed = overmatch_clear(refill_links(flat, candidates, repo_dim, keywords=keywords), max_papers)
     return (fixed.withColumn("content", F.col("content").withField("github_url", F.col("github_url"))
                              .withField("github_stars", F.col("github_stars")))
             .drop("arxiv_id", "github_url", "github_stars", "__cleared__", "__rechecked__", "__overmatched__"))

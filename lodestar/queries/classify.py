@@ -120,6 +120,36 @@ def q_product_build(spark, sf):
     return underscored(flatten(out, "products"))
 
 
+def _by_length(todo):
+    """A classifier that fails on every third document and judges by the length it is shown."""
+    ok = F.col("record_key") % 3 != 0
+    kind = F.when(F.length("prompt") % 2 == 0, F.lit("free")).otherwise(F.lit("PAID"))
+    return todo.select("record_key", F.when(ok, 200).otherwise(503).alias("status"),
+                       F.concat(F.lit('{"pricingModel": "'), kind, F.lit('"}')).alias("body"))
+
+
+def _enterprise(todo):
+    """A classifier whose replies to every fifth document are no JSON."""
+    good = F.col("record_key") % 5 != 0
+    return todo.select("record_key", F.lit(200).alias("status"),
+                       F.when(good, F.lit('{"pricingModel": "ENTERPRISE"}')).otherwise(F.lit("no idea")).alias("body"))
+
+
+@register("classifier_tiers", """
+SELECT doc_id,
+  CASE WHEN doc_id % 3 <> 0 THEN CASE WHEN least(length(coalesce(text, '')), 200) % 2 = 0 THEN 'FREE' ELSE 'PAID' END
+       WHEN doc_id % 5 <> 0 THEN 'ENTERPRISE' ELSE 'UNKNOWN' END AS pricingModel,
+  CASE WHEN doc_id % 3 <> 0 THEN 0 WHEN doc_id % 5 <> 0 THEN 1 END AS tier_idx
+FROM documents""")
+def q_classifier_tiers(spark, sf):
+    """The caller's classifiers as a chain, the first with a budget of 200 characters."""
+    d = load(spark, sf, "documents").select(F.col("doc_id").alias("record_key"), F.col("text").alias("prompt"))
+    answers = C.run_tiers(d, [C.Tier(_by_length, 200), C.Tier(_enterprise)])
+    model = R.reply_field_enum(R.parse_reply(F.col("reply")))
+    return (d.join(answers, "record_key", "left")
+            .select(F.col("record_key").alias("doc_id"), F.coalesce(model, F.lit("UNKNOWN")).alias("pricingModel"), "tier_idx"))
+
+
 def _product_build_sql():
     from lodestar.queries.records import STARTUPS_SQL, _rules_sql
     return f"""
