@@ -6,7 +6,8 @@ word belongs to one of ``CLASSES`` classes by its last two bytes, and the end
 token is a symbol too.  ``P(word | state)`` is the state's emission of the
 word's symbol, times ``(c + 1) / (N_k + V_k + 1)`` inside a class (c: training
 count of the word, N_k and V_k: tokens and distinct words of the class in
-training; unseen words share the last unit).
+training; the last unit is that of one unseen word: different unseen words of a
+class count as one and the same word, so each of them gets the whole unit).
 
 Counting: every training word is counted, map-side first, then by a shuffle on
 the word.  The most frequent words, at most ``DICTIONARY``, are broadcast with

@@ -142,12 +142,43 @@ def test_language_model_is_trained_for_six_steps(spark, odd, monkeypatch):
     assert len(logs) == 6 and logs[-1] > logs[0]
 
 
-def test_language_model_is_a_distribution(monkeypatch):
-    """The probabilities of a class's words and one unseen word add up to one."""
-    n, v = 37, 5
-    assert math.isclose(sum((c + 1) / (n + v + 1) for c in (20, 9, 5, 2, 1)) + 1 / (n + v + 1), 1.0)
-    with pytest.raises(ValueError):
-        math.log10(0)
+def test_language_model_score_is_the_plain_forward_sum(spark, monkeypatch):
+    """Own words, class words in the dictionary, rare and unseen ones: the score is the plain
+    forward sum times the words' shares, and a class's words and one unseen word add up to the class."""
+    monkeypatch.setattr(hmm_lm, "DICTIONARY", hmm_lm.OWN + 300)  # holds the words seen twice, not those seen once
+    own, twice, once = ([f"{a}{i:04d}" for i in range(n)] for a, n in (("w", hmm_lm.OWN), ("c", 200), ("r", 200)))
+    corpus = [" ".join(own * 2 + twice), " ".join(once + own + twice)]
+    c = Counter(w.encode() for t in corpus for w in t.split())
+    unseen = sorted({"zz" + w[-2:] for w in twice + once})
+    texts = [*twice, *once, *unseen, "", "W0001 c0007 r0100 zz99 c0007 w0005", "r0001 r0001 zz01 Zz01 w8191"]
+    seen, plain = [], hmm_lm.train
+    monkeypatch.setattr(hmm_lm, "train", lambda seqs, counts, steps: seen.append(plain(seqs, counts, steps)[0]) or (seen[-1], []))
+    docs = spark.createDataFrame(list(enumerate(corpus + texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in hmm_lm.score_texts(docs, F.col("doc_id") < 2, steps=2).collect()}
+    start, move, emit = seen[0]
+    ranks = {w.encode(): i for i, w in enumerate(own)}  # equal counts rank by the word
+    group = {w: zlib.crc32(w[-2:]) % hmm_lm.CLASSES for w in c if w not in ranks}
+
+    def forward(symbols):
+        v = None
+        for x in [*symbols, hmm_lm.END]:
+            v = (start if v is None else v @ move) * emit[:, x]
+        return v.sum()
+
+    def share(w):
+        same = [x for x, k in group.items() if k == zlib.crc32(w[-2:]) % hmm_lm.CLASSES]
+        return (c[w] + 1) / (sum(c[x] for x in same) + len(same) + 1)
+    by_class = Counter()
+    for d, t in enumerate(texts, 2):
+        words = t.lower().encode().split()
+        symbols = [ranks.get(w, hmm_lm.OWN + zlib.crc32(w[-2:]) % hmm_lm.CLASSES) for w in words]
+        want = math.log10(forward(symbols)) + sum(math.log10(share(w)) for w in words if w not in ranks)
+        assert math.isclose(got[d].score, want, rel_tol=1e-9), t
+        if len(words) == 1 and (words[0] in c or not any(zlib.crc32(u.encode()[-2:]) % hmm_lm.CLASSES == symbols[0] - hmm_lm.OWN
+                                                         for u in unseen[:unseen.index(t)])):
+            by_class[symbols[0]] += 10 ** got[d].score
+    assert len(by_class) > 50
+    assert all(math.isclose(p, forward([k]), rel_tol=1e-9) for k, p in by_class.items())
 
 
 def test_language_model_edge_cases(spark, odd, empty):
