@@ -6,7 +6,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 from lodestar.llm import hmm_lm, lang_id, quality, topk_search
 from lodestar.llm.common import fold
 from pyspark.sql import functions as F
