@@ -9,6 +9,14 @@ one is a leaf: one group.  All open intervals of a slice of texts advance
 together, one probe a step; an interval whose one side is a single token has no
 inner end and is a leaf at once.
 
+Parts.  Where a part surely begins for A (``bpe.cuts``) and no piece of B holds the
+bytes of both sides next to each other, both tokenizers have an end: A's pattern
+splits there, and B, which merges neighbours into pieces only, cannot merge across.
+So texts are cut there first, each distinct part is encoded and aligned once, and
+a text's tokens, groups and links are those of its parts, one after the other.
+Parts are held per Python worker, bounded in number and bytes.  Texts with a part
+whose tokens do not give its bytes, and other kinds of models, are aligned whole.
+
 Links are the pairs of an A and a B token whose byte ranges overlap; inside a
 group they follow from merging the ends.  The count of an id pair is the number
 of documents that hold it linked: pairs are made distinct per document, counted
@@ -35,11 +43,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.bpe import codec, text_slices
+from lodestar.llm.bpe import Codec, codec, cuts, distinct_parts, text_slices
 from lodestar.llm.common import cut, ship
 
 HELD = 4_000_000         # id pairs that are broadcast at most
 COUNTED = 1 << 22        # id pairs that a task holds before it hands on their counts
+HELD_PARTS = 300_000     # aligned parts that a Python worker holds at most,
+HELD_BYTES = 48 << 20    # and the bytes of theirs that it holds before it starts again
+LEAD = "a"               # stands before a part without a blank, as B sets one before any text
 
 
 class Pieces:
@@ -58,6 +69,33 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def apart(self) -> np.ndarray | None:
+        """[x, y]: whether texts can be cut between bytes x and y, as no piece holds
+        them so; None if the model does more than merge the characters of its text."""
+        try:
+            from sentencepiece.sentencepiece_model_pb2 import ModelProto
+        except ImportError:
+            return None
+        m = ModelProto.FromString(self.model.serialized_model_proto())
+        n, t = m.normalizer_spec, m.trainer_spec
+        if (n.precompiled_charsmap or n.remove_extra_whitespaces or not n.add_dummy_prefix or not n.escape_whitespaces
+                or t.model_type != t.BPE or t.treat_whitespace_as_suffix or not t.byte_fallback
+                or any(p.type == p.USER_DEFINED for p in m.pieces)):
+            return None
+        out = np.ones((256, 256), bool)
+        for b in self.bytes:
+            out[list(b[:-1]), list(b[1:])] = False
+        after = out[ord(LEAD)].copy()
+        after[32] = True
+        return out & after
+
+    def encode_parts(self, parts: list[bytes]) -> list[list[int]]:
+        """Ids of each part, which begins with a blank or may stand after ``LEAD``."""
+        skip = len(self.model.encode(LEAD))
+        bare = [p[0] != 32 for p in parts]
+        done = self.encode([LEAD + p.decode() if x else p[1:].decode() for x, p in zip(bare, parts)])
+        return [ids[skip:] if x else ids for x, ids in zip(bare, done)]
+
 
 _PIECES: dict[str, Pieces] = {}
 
@@ -118,17 +156,36 @@ class Aligned:
 
     def __init__(self, texts: list[str], a_path: str, b_path: str):
         left, right = codec(a_path, plain=True), pieces(b_path)
+        docs = [b" " + t.encode() if t else b"" for t in texts]
         flat, ends = left.encode_flat([" " + t if t else "" for t in texts])
-        pairs = []
-        for t, a_from, a_to, b in zip(texts, [0, *ends[:-1].tolist()], ends.tolist(), right.encode(texts)):
-            want = b" " + t.encode()
-            a = flat[a_from:a_to]
-            good = (t and b"".join(map(left.token_bytes.__getitem__, a.tolist())) == want
-                    and b"".join(map(right.bytes.__getitem__, b)) == want)
-            pairs.append((a, b) if good else (a[:0], []))
-        self.a = np.concatenate([a for a, _ in pairs]).astype(np.int64) if pairs else np.zeros(0, np.int64)
-        self.b = np.fromiter(chain.from_iterable(b for _, b in pairs), np.int64)
-        self.a_to, self.b_to = np.cumsum([len(a) for a, _ in pairs]), np.cumsum([len(b) for _, b in pairs])
+        self._align(docs, flat, ends, right.encode(texts), left, right)
+
+    @classmethod
+    def of_parts(cls, parts: list[bytes], flat: np.ndarray, ends: np.ndarray, left: Codec, right: Pieces) -> Aligned:
+        """Parts in place of texts, of which the A ids are known."""
+        out = cls.__new__(cls)
+        out._align(parts, flat, ends, right.encode_parts(parts), left, right)
+        return out
+
+    def _align(self, docs: list[bytes], flat: np.ndarray, ends: np.ndarray, b_ids: list[list[int]], left: Codec,
+               right: Pieces) -> None:
+        self.a, self.b = flat.astype(np.int64), np.fromiter(chain.from_iterable(b_ids), np.int64)
+        self.a_to, self.b_to = ends, np.cumsum([len(b) for b in b_ids], dtype=np.int64)
+        sizes = np.array([len(d) for d in docs], np.int64)
+        want, reach = b"".join(docs), np.append(0, np.cumsum(sizes))
+        if not (all(np.array_equal(np.append(0, np.cumsum(size[ids]))[to], reach[1:])
+                    for size, ids, to in ((left.token_sizes, self.a, self.a_to), (right.sizes, self.b, self.b_to)))
+                and b"".join(map(left.token_bytes.__getitem__, self.a.tolist())) == want
+                and b"".join(map(right.bytes.__getitem__, self.b.tolist())) == want):
+            pairs = []
+            for d, a_from, a_to, b in zip(docs, [0, *ends[:-1].tolist()], ends.tolist(), b_ids):
+                a = flat[a_from:a_to]
+                good = (d and b"".join(map(left.token_bytes.__getitem__, a.tolist())) == d
+                        and b"".join(map(right.bytes.__getitem__, b)) == d)
+                pairs.append((a, b) if good else (a[:0], []))
+            self.a = np.concatenate([a for a, _ in pairs]).astype(np.int64)
+            self.b = np.fromiter(chain.from_iterable(b for _, b in pairs), np.int64)
+            self.a_to, self.b_to = np.cumsum([len(a) for a, _ in pairs]), np.cumsum([len(b) for _, b in pairs])
         a_end, b_end = np.cumsum(left.token_sizes[self.a]), np.cumsum(right.sizes[self.b])
         full = np.flatnonzero(np.diff(self.a_to, prepend=0))
         a_from, b_from = np.append(0, self.a_to)[full], np.append(0, self.b_to)[full]
@@ -145,7 +202,7 @@ class Aligned:
         self.groups_to = np.searchsorted(self.group_a, self.a_to, "right")
 
     def lines(self, a_size: int, b_size: int) -> list[bytes]:
-        """Groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+        """Groups of each text as ``a1,a2|b1;a3|b2,b3;``."""
         if not len(self.a):
             return [b""] * len(self.a_to)
         # Tokens in the order of writing, each with the sign that follows it.
@@ -158,7 +215,11 @@ class Aligned:
         name[a_place], name[b_place] = sign_a * size + self.a, sign_b * size + self.b
         words = list(map(signed_decimals(size).__getitem__, name.tolist()))
         ends = (self.a_to + self.b_to).tolist()
-        return [b"".join(words[i:j])[:-1] for i, j in zip([0, *ends], ends)]
+        return [b"".join(words[i:j]) for i, j in zip([0, *ends], ends)]
+
+    def sums(self) -> np.ndarray:
+        """Tokens of A and B, groups and links of each text."""
+        return np.stack([np.diff(x, prepend=0) for x in (self.a_to, self.b_to, self.groups_to, self.links_to)], axis=1).astype(np.int64)
 
 
 @cache
@@ -167,6 +228,94 @@ def signed_decimals(size: int) -> list[bytes]:
     return [b"%d" % k + sign for sign in (b",", b"|", b";") for k in range(size)]
 
 
+class Parts:
+    """Aligned parts of texts; one per Python worker, beside the codec of A."""
+
+    def __init__(self, left: Codec, a_path: str, b_path: str):
+        self.left, self.right, self.paths = left, pieces(b_path), (a_path, b_path)
+        self.apart = self.right.apart() if left.cuts_known and not left.special else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[bytes, int] = {}              # part -> its row below
+        self.lines: list[bytes] = []
+        self.sums = np.zeros((1 << 14, 4), np.int64)   # all zeros: the part's tokens do not give its bytes
+        self.pairs = np.zeros(1 << 16, np.int64)       # linked id pairs of all rows, one after the other
+        self.ends = np.zeros(1 << 14, np.int64)
+        self.held = 0                                  # bytes of parts, lines and pairs
+
+    def _sizes(self) -> tuple[int, int]:
+        return len(self.left.token_bytes), len(self.right.bytes)
+
+    def _learn(self, new: list[bytes]) -> None:
+        new, ids, ends = self.left.coded(new)
+        al = Aligned.of_parts(new, ids, ends, self.left, self.right)
+        lines, n, last = al.lines(*self._sizes()), len(self.place), int(self.ends[len(self.place) - 1]) if self.place else 0
+        while n + len(new) > len(self.ends):
+            self.ends, self.sums = (np.concatenate([x, np.zeros_like(x)]) for x in (self.ends, self.sums))
+        to = last + len(al.link_a)
+        while to > len(self.pairs):
+            self.pairs = np.concatenate([self.pairs, np.zeros_like(self.pairs)])
+        self.ends[n:n + len(new)] = last + al.links_to
+        self.sums[n:n + len(new)] = al.sums()
+        self.pairs[last:to] = al.a[al.link_a] * len(self.right.bytes) + al.b[al.link_b]
+        self.lines += lines
+        self.place.update(zip(new, range(n, n + len(new))))
+        self.held += sum(map(len, new)) + sum(map(len, lines)) + 8 * len(al.link_a)
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, list, list]:
+        al = Aligned(texts, *self.paths)
+        pair = al.a[al.link_a] * len(self.right.bytes) + al.b[al.link_b]
+        to = al.links_to.tolist()
+        return al.sums(), al.lines(*self._sizes()), [pair[i:j] for i, j in zip([0, *to], to)]
+
+    def align(self, texts: list[str]) -> tuple[np.ndarray, list, list]:
+        """Sums, line and linked id pairs of each text."""
+        docs = [b" " + t.encode() if t else b"" for t in texts]
+        data = np.frombuffer(b"".join(docs), np.uint8)
+        if self.apart is None or not len(data):
+            return self._whole(texts)
+        text_ends = np.cumsum([len(d) for d in docs])
+        first = cuts(data)
+        first[1:] &= self.apart[data[:-1], data[1:]]
+        first[text_ends[text_ends < len(data)]] = True
+        first[0] = True
+        starts, names, which = distinct_parts(data, first)
+        new = [p for p in names if p not in self.place]
+        if new and (len(self.place) + len(new) > HELD_PARTS or self.held > HELD_BYTES):
+            self._forget()
+            new = names
+        if new:
+            self._learn(new)
+        rows = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+        row = rows[which]
+        sums, at = self.sums[row], np.searchsorted(starts, text_ends)
+        total = np.cumsum(sums[:, 3])
+        pair = self.pairs[np.repeat(self.ends[row] - total, sums[:, 3]) + np.arange(int(total[-1]))]
+        lines = pa.array([self.lines[r] for r in rows.tolist()], pa.large_binary()).take(pa.array(which))
+        _, offsets, written = lines.buffers()
+        offsets = np.frombuffer(offsets, np.int64, len(lines) + 1, 8 * lines.offset)
+        written = memoryview(written) if written else b""
+        bad = np.append(0, np.cumsum(sums[:, 0] == 0))[at]
+        sums = np.diff(np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(sums, axis=0)])[at], axis=0, prepend=np.zeros((1, 4), np.int64))
+        ends, to = np.append(0, offsets[at]).tolist(), np.append(0, np.append(0, total)[at]).tolist()
+        lines, pairs = [written[i:j] for i, j in zip(ends, ends[1:])], [pair[i:j] for i, j in zip(to, to[1:])]
+        again = np.flatnonzero(np.diff(bad, prepend=0)).tolist()
+        if again:
+            whole = self._whole([texts[k] for k in again])
+            sums[again] = whole[0]
+            for k, line, its in zip(again, *whole[1:]):
+                lines[k], pairs[k] = line, its
+        return sums, lines, pairs
+
+
+def aligned_parts(a_path: str, b_path: str) -> Parts:
+    left = codec(a_path, plain=True)
+    if left.aligned is None or left.aligned.paths != (a_path, b_path):
+        left.aligned = Parts(left, a_path, b_path)
+    return left.aligned
+
+
 def describe(a_path: str, b_path: str):
     """(id, text) -> id, n_a, n_b, n_groups, n_links, groups_sha256, and the
     distinct linked id pairs with their occurrences, packed."""
@@ -174,18 +323,16 @@ def describe(a_path: str, b_path: str):
         z = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for at, texts in text_slices(batch.select(["text"])):
-                al = Aligned(texts, a_path, b_path)
-                pair = al.a[al.link_a] * len(pieces(b_path).bytes) + al.b[al.link_b]
-                sha = [hashlib.sha256(x).hexdigest() if x else "" for x in
-                       al.lines(len(codec(a_path, plain=True).token_bytes), len(pieces(b_path).bytes))]
+                sums, lines, pairs = aligned_parts(a_path, b_path).align(texts)
+                sha = [hashlib.sha256(x[:-1]).hexdigest() if x else "" for x in lines]
                 packed = []
-                for i, j in zip([0, *al.links_to.tolist()], al.links_to.tolist()):
-                    code, times = np.unique(pair[i:j], return_counts=True)
+                for pair in pairs:
+                    code, times = np.unique(pair, return_counts=True)
                     packed.append(z.compress(np.diff(code, prepend=0).astype("<i8").tobytes() + times.astype("<i8").tobytes())
-                                  if j > i else b"")
-                n = [pa.array(np.diff(x, prepend=0).astype(np.int64)) for x in (al.a_to, al.b_to, al.groups_to, al.links_to)]
+                                  if len(pair) else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, len(texts)), *n, pa.array(sha, pa.string()), pa.array(packed, pa.binary())],
+                    [batch.column(0).slice(at, len(texts)), *[pa.array(np.ascontiguousarray(x)) for x in sums.T],
+                     pa.array(sha, pa.string()), pa.array(packed, pa.binary())],
                     ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"])
     return run
 

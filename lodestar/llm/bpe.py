@@ -86,6 +86,16 @@ def cuts(data: np.ndarray) -> np.ndarray:
     return (data == 32) & solid_after | (data == 10) & solid_before & solid_after | _MARK[data] & before
 
 
+def distinct_parts(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Starts of the parts of ``data``, which begin where ``first`` is set; the distinct
+    parts; for each part its place among them."""
+    starts = np.flatnonzero(first)
+    offsets = np.append(starts, len(data)).astype(np.int32)
+    parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = parts.dictionary_encode()
+    return starts, coded.dictionary.to_pylist(), coded.indices.to_numpy()
+
+
 class Codec:
     """Encoder and decoder of one tokenizer file; one per Python worker.
 
@@ -108,6 +118,7 @@ class Codec:
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         rule = config.get("pre_tokenizer") or {}
+        self.aligned = None   # what ``alignment`` holds beside this codec, and drops with it
         self.cuts_known = (config.get("normalizer") is None
                            and all(rule.get(k, v if k == "use_regex" else None) == v for k, v in _KNOWN.items()))
         self._forget()
@@ -131,22 +142,28 @@ class Codec:
         ends = np.searchsorted(np.cumsum(self.token_sizes[ids]), np.cumsum([len(p) for p in parts])) + 1
         return ids, np.diff(ends, prepend=0)
 
-    def _learn(self, new: list[bytes]) -> None:
+    def coded(self, new: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The parts in another order, their ids, one after the other, and where
+        each part's ids end."""
         # After anything, a part begins at a blank before a printable character.
         joins = [p for p in new if p[0] == 32 and len(p) > 1 and _PRINT[p[1]]]
         alone = [p for p in new if not (p[0] == 32 and len(p) > 1 and _PRINT[p[1]])]
         done = self._library([p.decode() for p in alone])
         ids, sizes = self._parts(joins)
         ids = np.concatenate([ids, np.fromiter(chain.from_iterable(done), "<u4")])
+        return joins + alone, ids, np.cumsum([*sizes.tolist(), *map(len, done)], dtype=np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        new, ids, ends = self.coded(new)
         n, last = len(self.place), int(self.ends[len(self.place) - 1]) if self.place else 0
-        ends = last + np.cumsum([*sizes.tolist(), *map(len, done)])
+        ends = last + ends
         while n + len(new) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while int(ends[-1]) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ends[n:n + len(new)] = ends
         self.ids[last:int(ends[-1])] = ids
-        self.place.update(zip(joins + alone, range(n, n + len(new))))
+        self.place.update(zip(new, range(n, n + len(new))))
 
     def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's ids end."""
@@ -160,11 +177,7 @@ class Codec:
             first = cuts(data)
             first[text_ends[text_ends < len(data)]] = True
             first[0] = True
-            starts = np.flatnonzero(first)
-            offsets = np.append(starts, len(data)).astype(np.int32)
-            parts = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-            coded = parts.dictionary_encode()
-            names = coded.dictionary.to_pylist()
+            starts, names, which = distinct_parts(data, first)
             new = [p for p in names if p not in self.place]
             if len(self.place) + len(new) > CACHED_PIECES:
                 self._forget()
@@ -172,7 +185,7 @@ class Codec:
             if new:
                 self._learn(new)
             row = np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
-            row = row[coded.indices.to_numpy()]
+            row = row[which]
             last = self.ends[row]
             size = last - np.where(row > 0, self.ends[row - 1], 0)
             total = np.cumsum(size)

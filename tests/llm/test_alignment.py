@@ -116,3 +116,53 @@ def test_empty_table_and_odd_rows(spark, odd, empty):
     assert alignment.align_report(empty, *paths).count() == 0
     rows = alignment.align_report(odd, *paths).collect()
     assert len(rows) == odd.count() and sum(r.n_a == 0 for r in rows) == 3
+
+
+MIXED = [*PARTS, ".", ",", "!", "?", ";", ":", " a.", " É,", "\n\n", "\r\n", " word", " word.", "\nword", " 日本", ".\n"]
+
+
+@pytest.fixture
+def parts():
+    paths = public_tokenizers.path(A), public_tokenizers.path(B)
+    return alignment.Parts(alignment.codec(paths[0], plain=True), *paths)
+
+
+@pytest.mark.parametrize("held", [(alignment.HELD_PARTS, alignment.HELD_BYTES), (20, 1 << 20), (1000, 500)])
+def test_texts_by_parts_are_as_whole_texts(parts, monkeypatch, held):
+    monkeypatch.setattr(alignment, "HELD_PARTS", held[0])
+    monkeypatch.setattr(alignment, "HELD_BYTES", held[1])
+    rng = random.Random(3)
+    for _ in range(12):
+        texts = ["".join(rng.choices(MIXED, k=rng.randint(0, 30))) for _ in range(40)] + ["", "▁ word a", "plain words, here.\nAnd there"]
+        got, want = parts.align(texts), parts._whole(texts)
+        assert got[0].tolist() == want[0].tolist() and [*map(bytes, got[1])] == want[1]
+        assert [x.tolist() for x in got[2]] == [x.tolist() for x in want[2]]
+        assert 0 < (got[0][:, 0] == 0).sum() < len(texts)
+
+
+def test_texts_without_any_good_part(parts):
+    sums, lines, pairs = parts.align(["▁", "▁▁"])
+    assert not sums.any() and [*map(bytes, lines)] == [b"", b""] and not any(map(len, pairs))
+    assert parts.align([""])[0].tolist() == [[0] * 4]
+
+
+def test_a_part_is_encoded_once(parts, monkeypatch):
+    seen = []
+    encode = alignment.Pieces.encode
+    monkeypatch.setattr(alignment.Pieces, "encode", lambda self, texts: seen.extend(texts) or encode(self, texts))
+    for _ in range(3):
+        parts.align(["one word and one word.\nAnd one, too"] * 50)
+    assert sorted(seen) == sorted(["one", "word", "and", "a.", "a\nAnd", "a,", "too"])
+
+
+def test_pieces_never_span_a_cut(parts):
+    assert parts.apart[ord("a"), 32] and parts.apart[ord("."), 10] and parts.apart[ord("a"), ord(".")]
+    assert not parts.apart[32, 32] and not parts.apart[ord("a"), ord("b")]
+
+
+def test_other_models_are_aligned_whole(parts):
+    texts = ["some words, some more"]
+    want = parts.align(texts)
+    parts.apart = None
+    got = parts.align(texts)
+    assert got[0].tolist() == want[0].tolist() and got[1] == [*map(bytes, want[1])] and not parts.place.get(b"absent")
